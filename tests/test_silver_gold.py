@@ -1,0 +1,179 @@
+import random
+from datetime import date, datetime, timedelta
+
+import pytest
+from helpers import bronze, event, event_rows, gold_by_hand, rows
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tellerbook.functions.columns import money_sum
+from tellerbook.operators.gold import gold_account_summary
+from tellerbook.operators.silver import build_silver, dedup_latest, flag_high_value, silver_cast
+from tellerbook.schemas import EVENT, GOLD, SILVER
+
+
+def gold(spark, items, **options):
+    return gold_account_summary(build_silver(bronze(spark, items)), **options)
+
+
+def many_events(seed, n=400):
+    """Redeliveries, corrections, ties and a third of all rows under one id."""
+    rng = random.Random(seed)
+    start = datetime(2026, 7, 7)
+    items = []
+    for _ in range(n):
+        id = "hot" if rng.random() < 0.33 else str(rng.randrange(n // 3))
+        moment = start + timedelta(days=rng.randrange(4), hours=rng.randrange(3))
+        zone = rng.choice(["", "+00:00", "-03:00"])
+        items.append(
+            event(
+                id,
+                moment.isoformat() + zone,
+                rng.choice([5.0, 7.25, 9999.99, 10000.0, 10000.01, 60000.0]),
+                sender_account=rng.choice(["100-10000", "200-20000"]),
+                transaction_type=rng.choice(["PIX", "TED"]),
+            )
+        )
+    return items + rng.sample(items, n // 4)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_gold_equals_the_result_by_hand(spark, seed):
+    items = many_events(seed)
+    assert rows(gold(spark, items)) == gold_by_hand(items)
+    assert rows(gold(spark, items, unique_ids=True)) == gold_by_hand(items)
+
+
+def test_result_does_not_depend_on_order_or_partitions(spark):
+    items = many_events(7)
+    expected = rows(build_silver(event_rows(spark, items)))
+    for seed, parts in ((1, 1), (2, 3), (3, 11)):
+        shuffled = random.Random(seed).sample(items, len(items))
+        assert rows(build_silver(event_rows(spark, shuffled).repartition(parts))) == expected
+
+
+def test_silver_ignores_redelivery_and_has_unique_ids(spark):
+    frame = event_rows(spark, many_events(5))
+    once = build_silver(frame)
+    assert rows(build_silver(frame.union(frame))) == rows(once)
+    assert once.count() == once.select("transaction_id").distinct().count()
+
+
+def test_gold_counts_every_silver_row(spark):
+    silver = build_silver(event_rows(spark, many_events(6)))
+    summary = gold_account_summary(silver)
+    counted = summary.agg(F.sum("qty_transactions")).first()[0]
+    assert counted == silver.count()
+    assert summary.where("value_high_level > total_value_usd").count() == 0
+
+
+def test_newer_version_on_another_day_replaces_the_old(spark):
+    items = [event("a"), event("a", "2026-07-08T01:00:00")]
+    assert [r.date_transaction for r in gold(spark, items).collect()] == [date(2026, 7, 8)]
+
+
+def test_tie_takes_the_larger_amount(spark):
+    items = [event("a", amount=7.0), event("a", amount=5.0)]
+    assert build_silver(bronze(spark, items)).first().amount_usd == 7.0
+
+
+def test_rows_without_a_time_lose_to_rows_with_one(spark):
+    items = [event("a", "None"), event("a")]
+    assert build_silver(event_rows(spark, items)).first().transaction_timestamp is not None
+
+
+def test_high_value_is_strict_and_never_null(spark):
+    amounts = [10000.0, 10000.01, None, float("nan"), float("inf")]
+    frame = spark.createDataFrame([(a,) for a in amounts], "amount_usd double")
+    flags = [r.is_high_value for r in flag_high_value(frame).collect()]
+    assert flags == [False, True, False, False, True]
+    low = flag_high_value(frame, threshold=5).where("amount_usd = 10000.0").first()
+    assert low.is_high_value
+
+
+def test_keyless_rows_are_dropped_by_the_cast(spark):
+    frame = event_rows(spark, [event(None), event("a")])
+    assert [r.transaction_id for r in silver_cast(frame).collect()] == ["a"]
+
+
+def test_group_without_high_values(spark):
+    row = gold(spark, [event("a", amount=3.0)]).first()
+    assert (row.qty_high_level, row.value_high_level) == (0, 0.0)
+
+
+def test_zone_decides_the_day(spark, other_zone):
+    row = gold(spark, [event("a", "2026-07-07T23:30:00-03:00")]).first()
+    assert row.date_transaction == date(2026, 7, 8)
+
+
+def test_null_keys_and_null_amounts_form_a_group(spark):
+    frame = event_rows(spark, [event("a", "None", None, sender_account=None)])
+    (row,) = gold_account_summary(build_silver(frame)).collect()
+    assert tuple(row) == (None, None, "PIX", 1, None, 0, 0.0)
+
+
+def test_distinct_count_on_repeated_ids(spark):
+    frame = event_rows(spark, [event("a"), event("a"), event("b")])
+    row = gold_account_summary(flag_high_value(silver_cast(frame))).first()
+    assert (row.qty_transactions, row.total_value_usd) == (2, 300.0)
+
+
+def test_schemas_with_and_without_rows(spark):
+    empty = spark.createDataFrame([], EVENT)
+    silver = build_silver(empty)
+    summary = gold_account_summary(silver)
+    assert [(f.name, f.dataType) for f in silver.schema] == [(f.name, f.dataType) for f in SILVER]
+    assert [(f.name, f.dataType) for f in summary.schema] == [(f.name, f.dataType) for f in GOLD]
+    assert summary.count() == 0
+
+
+@pytest.mark.parametrize(
+    ("amounts", "total"),
+    [
+        ([0.1] * 10, 1.0),
+        ([None, None], None),
+        ([None, 2.5], 2.5),
+        ([1e300, 0.25], 1e300),
+        ([0.001, 0.002], 0.003),
+        ([1e12, 0.01, -1e12], 0.01),
+        ([-0.5, 0.25], -0.25),
+    ],
+)
+def test_money_sum(spark, amounts, total):
+    frame = spark.createDataFrame([(a,) for a in amounts], T.StructType().add("a", "double"))
+    assert frame.agg(money_sum(F.col("a"))).first()[0] == total
+
+
+def test_money_sum_keeps_nan(spark):
+    frame = spark.createDataFrame([(1.0,), (float("nan"),)], "a double")
+    assert frame.agg(F.isnan(money_sum(F.col("a")))).first()[0]
+
+
+def test_dedup_limits_every_task_before_the_shuffle(spark):
+    """A key with a third of all rows sends one row per task."""
+    frame = event_rows(spark, [event("a")]).repartition(2)
+    plan = build_silver(frame)._jdf.queryExecution().executedPlan().toString()
+    before, exchange = plan.find("Partial"), plan.find("hashpartitioning(transaction_id")
+    assert plan.count("hashpartitioning") == 1
+    assert before > exchange > 0  # the plan prints the last step first
+
+
+def test_gold_adds_one_shuffle_and_no_python(spark):
+    frame = event_rows(spark, [event("a")]).repartition(2)
+    summary = gold_account_summary(build_silver(frame), unique_ids=True)
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 2
+    assert "Python" not in plan
+    assert "SinglePartition" not in plan
+
+
+def test_filter_and_columns_reach_the_scan(spark, folder):
+    event_rows(spark, [event("a")]).write.parquet(f"{folder}/t")
+    stored = build_silver(spark.read.parquet(f"{folder}/t")).where("transaction_id = 'a'")
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(transaction_id,a)" in plan
+
+
+def test_dedup_takes_any_key_and_order(spark):
+    frame = spark.createDataFrame([(1, 1, "x"), (1, 2, "y"), (2, 5, "z")], "k int, o int, v string")
+    assert rows(dedup_latest(frame, "k", ["o"])) == [(1, 2, "y"), (2, 5, "z")]
