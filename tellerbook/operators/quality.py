@@ -88,7 +88,7 @@ def observe_row_checks(
     counted again when lost shuffle files are recomputed.
     """
     seen = Observation(name)
-    return rows.observe(seen, *_failing(checks)), seen
+    return rows.observe(seen, F.count("*").alias("rows"), *_failing(checks)), seen
 
 
 def check_not_null(rows: DataFrame, columns: Sequence[str]) -> DataFrame:

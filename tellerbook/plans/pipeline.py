@@ -28,6 +28,7 @@ from tellerbook.sources.tables import (
     current_version,
     next_version,
     remove_folder,
+    version_path,
     write_daily,
 )
 from tellerbook.streaming.ingest import run_ingest
@@ -41,38 +42,38 @@ def _dated(silver: DataFrame) -> DataFrame:
     return silver.withColumn(DATE, utc_date(F.col(TIME)))
 
 
-def read_silver(spark: SparkSession, root: str) -> DataFrame:
+def read_silver(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """The stored silver rows; a filter on the date reads only those folders."""
+    number = current_version(spark, root) if version is None else version
     schema = StructType([*SILVER, StructField(DATE, DateType())])
-    return spark.read.schema(schema).parquet(current_version(spark, root))
+    return spark.read.schema(schema).parquet(version_path(root, number))
 
 
 def read_gold(spark: SparkSession, root: str) -> DataFrame:
-    path = current_version(spark, root)
+    path = version_path(root, current_version(spark, root))
     return spark.read.schema(GOLD).parquet(path).select(*GOLD.fieldNames())
 
 
-def write_gold(gold: DataFrame, root: str) -> str:
-    """Write a whole new version, by date and ordered by type within a file.
-
-    Readers move to it once it is complete; a failed run leaves the old one.
-    """
-    path = next_version(gold.sparkSession, root)
-    write_daily(gold, path, DATE, cluster="transaction_type")
-    return path
-
-
 def write_silver(
-    silver: DataFrame, root: str, checks: Sequence[RowCheck]
+    silver: DataFrame, root: str, checks: Sequence[RowCheck], version: int | None = None
 ) -> list[tuple[str, str, int]]:
     """Write a whole new version by date and count failing rows on the way."""
-    path = next_version(silver.sparkSession, root)
+    number = version or next_version(silver.sparkSession, root)
     together = _dated(silver).hint("rebalance", DATE)
     observed, seen = observe_row_checks(together, checks, "silver_checks")
-    observed.write.partitionBy(DATE).parquet(path)
+    observed.write.partitionBy(DATE).parquet(version_path(root, number))
     return [(c.name, c.level, seen.get[c.name]) for c in checks]
 
 
+def write_gold(gold: DataFrame, root: str, version: int | None = None) -> None:
+    """Write a whole new version, by date and ordered by type within a file.
+
+    Readers move to it once it is complete; a failed run leaves the old one.
+    """
+    number = version or next_version(gold.sparkSession, root)
+    write_daily(gold, version_path(root, number), DATE, cluster="transaction_type")
+
+
 def run_pipeline(
     spark: SparkSession,
     bronze_root: str,
@@ -84,16 +85,18 @@ def run_pipeline(
     """Silver, then its checks, then gold; gold is untouched if a check fails.
 
     Silver is de-duplicated once and stored, so the checks and gold do not
-    repeat that shuffle. Returns one (check, level, failing rows) per check.
+    repeat that shuffle. Silver and the gold made from it carry the same version
+    number. Returns one (check, level, failing rows) per check.
     """
     checks = silver_checks() if checks is None else checks
     silver = build_silver(read_bronze(spark, bronze_root), threshold)
-    results = write_silver(silver, silver_root, checks)
-    stored = read_silver(spark, silver_root)
+    version = next_version(spark, silver_root, gold_root)
+    results = write_silver(silver, silver_root, checks, version)
+    stored = read_silver(spark, silver_root, version)
     # One line.
     results += [tuple(row) for row in check_unique(stored, KEY).collect()]
     gate(results)
-    write_gold(gold_account_summary(stored, unique_ids=True), gold_root)
+    write_gold(gold_account_summary(stored, unique_ids=True), gold_root, version)
     return results
 
 
@@ -149,10 +152,10 @@ def refresh_gold_dates(
     The order is: stage, gold, silver. Until silver is replaced, running the
     same rows again finds the same work, so an interrupted run is repeated.
     """
-    silver_path = current_version(spark, silver_root)
-    gold_path = current_version(spark, gold_root)
+    version = current_version(spark, gold_root)
+    silver_path, gold_path = (version_path(r, version) for r in (silver_root, gold_root))
     work = working_folder(spark, "refresh")
-    stored = read_silver(spark, silver_root)
+    stored = read_silver(spark, silver_root, version)
 
     _dated(build_silver(fresh, threshold)).write.parquet(f"{work}/fresh")
     fresh = spark.read.schema(stored.schema).parquet(f"{work}/fresh")
@@ -161,28 +164,28 @@ def refresh_gold_dates(
     # Where earlier versions of these ids lie, then those versions themselves.
     earlier_dates = _dates(stored.select(KEY, DATE).join(ids, KEY, "left_semi"))
     earlier = stored.where(_on_dates(earlier_dates)).join(ids, KEY, "left_semi")
-    (
-        earlier.withColumn("_stored", F.lit(True))
-        .unionByName(fresh.withColumn("_stored", F.lit(False)))
-        .write.parquet(f"{work}/versions")
+    versions = earlier.withColumn("_stored", F.lit(True)).unionByName(
+        fresh.withColumn("_stored", F.lit(False))
     )
-    versions = spark.read.parquet(f"{work}/versions")
 
-    # An id changes if its latest version is new, or if an interrupted run
-    # left two rows of it behind.
-    columns = [c for c in stored.columns if c != KEY]
-    row = F.struct(TIME, *[c for c in columns if c != TIME])
+    # An id changes if its latest version is new, or if an interrupted run left
+    # two rows of it behind. An id has one stored row, or a few after such a run.
+    row = F.struct(TIME, *[c for c in stored.columns if c not in (KEY, TIME)])
+    before = F.when(F.col("_stored"), row)
     judged = versions.groupBy(KEY).agg(
         F.max(row).alias("_latest"),
-        F.max(F.when(F.col("_stored"), row)).alias("_before"),
-        F.count_if("_stored").alias("_copies"),
+        F.max(before).alias("_before"),
+        F.collect_list(F.when(F.col("_stored"), F.struct(DATE))).alias("_left"),
     )
-    changed = judged.where(~F.col("_latest").eqNullSafe(F.col("_before")) | (F.col("_copies") > 1))
-    changed.select(KEY, "_latest.*").select(*stored.columns).write.parquet(f"{work}/winners")
-    winners = spark.read.schema(stored.schema).parquet(f"{work}/winners")
-
-    left = versions.where("_stored").join(winners.select(KEY), KEY, "left_semi")
-    dates = _dates(left.select(DATE).union(winners.select(DATE)))
+    changed = judged.where(
+        ~F.col("_latest").eqNullSafe(F.col("_before")) | (F.size("_left") > 1)
+    ).select(KEY, "_latest.*", "_left")
+    changed.write.parquet(f"{work}/changed")
+    changed = spark.read.schema(changed.schema).parquet(f"{work}/changed")
+    winners = changed.select(*stored.columns)
+
+    left = changed.select(F.inline("_left"))
+    dates = _dates(left.union(winners.select(DATE)))
     if not dates:
         return []
 

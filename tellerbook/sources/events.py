@@ -37,9 +37,9 @@ def read_event_stream(
     spark: SparkSession,
     path: str,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """JSON lines landing in a folder, at most so many files or bytes a trigger."""
+    """JSON lines landing in a folder, at most so many files, or bytes, a trigger."""
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

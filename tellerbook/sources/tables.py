@@ -39,16 +39,21 @@ def versions(spark: SparkSession, root: str) -> list[tuple[int, bool]]:
     return sorted(found)
 
 
-def current_version(spark: SparkSession, root: str) -> str:
-    """Folder of the newest complete version."""
+def current_version(spark: SparkSession, root: str) -> int:
+    """Number of the newest complete version."""
     complete = [number for number, done in versions(spark, root) if done]
     if not complete:
         raise FileNotFoundError(f"no complete version under {root}")
-    return f"{root}/version={complete[-1]}"
+    return complete[-1]
 
 
-def next_version(spark: SparkSession, root: str) -> str:
-    number = max((number for number, _ in versions(spark, root)), default=0) + 1
+def next_version(spark: SparkSession, *roots: str) -> int:
+    """A number no version under any of the folders has."""
+    used = [number for root in roots for number, _ in versions(spark, root)]
+    return max(used, default=0) + 1
+
+
+def version_path(root: str, number: int) -> str:
     return f"{root}/version={number}"
 
 

@@ -54,7 +54,7 @@ def run_ingest(
     checkpoint: str,
     every: str | None = None,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     missing_text: str | None = None,
     rebalance: bool = False,
 ) -> StreamingQuery:
