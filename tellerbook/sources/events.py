@@ -38,9 +38,14 @@ def read_event_stream(
     path: str,
     max_files: int | None = None,
     max_bytes: int | None = None,
+    max_file_age: str = "3650 days",
 ) -> DataFrame:
-    """JSON lines landing in a folder, at most so many files, or bytes, a trigger."""
-    reader = spark.readStream.format("text")
+    """JSON lines landing in a folder, at most so many files, or bytes, a trigger.
+
+    Spark skips files older than ``max_file_age`` before the newest one seen. Its
+    own default of a week would lose backfilled files that keep their dates.
+    """
+    reader = spark.readStream.format("text").option("maxFileAge", max_file_age)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:

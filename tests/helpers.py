@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import json
+import os
 from collections import defaultdict
 from datetime import UTC, datetime
 
@@ -89,13 +91,17 @@ def gold_by_hand(items, threshold=10_000.0):
     )
 
 
-def lands(folder, name, items):
-    """Put a file of messages into a landing folder."""
-    import os
+_landed = itertools.count(1)
 
+
+def lands(folder, name, items, days_old=0):
+    """Put a file of messages into a landing folder, later than the ones before
+    unless ``days_old``."""
     os.makedirs(folder, exist_ok=True)
     text = "\n".join(i if isinstance(i, str) else json.dumps(i) for i in items)
     hidden = f"{folder}/.{name}"
     with open(hidden, "w") as file:
         file.write(text + "\n")
+    moment = 1_700_000_000 + next(_landed) - 86_400 * days_old
+    os.utime(hidden, (moment, moment))
     os.replace(hidden, f"{folder}/{name}")

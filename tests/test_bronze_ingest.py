@@ -160,6 +160,14 @@ def test_resume_takes_only_new_files(spark, folder):
     assert seen == [(0, "a"), (1, "b")]
 
 
+def test_files_that_keep_an_old_date_are_taken(spark, folder):
+    lands(f"{folder}/landing", "0.json", [event("a")])
+    ingest(spark, folder)
+    lands(f"{folder}/landing", "1.json", [event("b")], days_old=60)
+    ingest(spark, folder)
+    assert [r[0] for r in stored(spark, f"{folder}/bronze")] == ["a", "b"]
+
+
 def test_crash_between_write_and_commit_repeats_the_batch(spark, folder, tmp_path):
     for n in range(3):
         lands(f"{folder}/landing", f"{n}.json", [event(str(n)), event(f"{n}x")])
