@@ -38,7 +38,7 @@ def read_event_stream(
     path: str,
     max_files: int | None = None,
     max_bytes: int | None = None,
-    max_file_age: str = "3650 days",
+    max_file_age: str = "3650d",
 ) -> DataFrame:
     """JSON lines landing in a folder, at most so many files, or bytes, a trigger.
 
