@@ -30,6 +30,7 @@ from tellerbook.plans.pipeline import (  # noqa: E402
     run_pipeline,
     write_gold,
 )
+from tellerbook.plans.views import register_views  # noqa: E402
 from tellerbook.schemas import SILVER  # noqa: E402
 from tellerbook.session import working_folder  # noqa: E402
 from tellerbook.sources.adapters import (  # noqa: E402
@@ -114,6 +115,20 @@ def q_gold_clicks(spark: SparkSession, folder: str) -> DataFrame:
     return gold_account_summary(silver, unique_ids=True)
 
 
+def q_sql_over_views(spark: SparkSession, folder: str) -> DataFrame:
+    """The layers read from SQL: what each day moved, and through how many receivers."""
+    register_views(click_events(spark, folder), CLICK_THRESHOLD)
+    return spark.sql("""
+        SELECT g.date_transaction, g.qty, g.qty_high, s.receivers
+        FROM (SELECT date_transaction, sum(qty_transactions) AS qty,
+                     sum(qty_high_level) AS qty_high
+              FROM gold_account_summary GROUP BY date_transaction) g
+        JOIN (SELECT to_date(transaction_timestamp) AS day,
+                     count(DISTINCT receiver_account) AS receivers
+              FROM silver_transactions GROUP BY 1) s
+        ON g.date_transaction = s.day""")
+
+
 # Events
 
 
@@ -517,6 +532,11 @@ def oracle_sql() -> dict[str, str]:
         "gold_without_dedup": _gold_sql(_flag_sql(_LINEITEM)),
         "gold_orders": _gold_sql(_flag_sql(_ORDERS)),
         "gold_clicks": _CLICK_GOLD,
+        "sql_over_views": f"""
+SELECT CAST(ts AS DATE) AS date_transaction, count(*) AS qty,
+       CAST(count_if(value > 100) AS BIGINT) AS qty_high,
+       count(DISTINCT event_id) AS receivers
+FROM events GROUP BY 1""",
         "events_roundtrip": _CLICKS,
         "events_parse_props": (
             "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events"
