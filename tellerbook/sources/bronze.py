@@ -21,7 +21,9 @@ ACCEPTED = "accepted"
 QUARANTINED = "quarantined"
 
 
-def ensure_bronze(spark: SparkSession, root: str, table: str | None = None) -> None:
+def ensure_bronze(
+    spark: SparkSession, root: str, table: str | None = None, file_format: str = "parquet"
+) -> None:
     """Create the folder and, if named, the database and table over it."""
     make_folder(spark, root)
     if table:
@@ -30,13 +32,23 @@ def ensure_bronze(spark: SparkSession, root: str, table: str | None = None) -> N
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in BRONZE)
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {file_format} "
             f"PARTITIONED BY ({', '.join(BRONZE_PARTITIONS)}) LOCATION '{root}'"
         )
 
 
+def refresh_bronze_table(spark: SparkSession, table: str) -> None:
+    """Let the catalog table see the folders of batches written since."""
+    spark.catalog.recoverPartitions(table)
+
+
 def append_bronze(
-    rows: DataFrame, root: str, batch_id: int, ingest: str = "batch", rebalance: bool = False
+    rows: DataFrame,
+    root: str,
+    batch_id: int,
+    ingest: str = "batch",
+    rebalance: bool = False,
+    file_format: str = "parquet",
 ) -> None:
     """Add a batch of parsed events, or of plain event rows.
 
@@ -55,22 +67,33 @@ def append_bronze(
     if rebalance:
         placed = placed.hint("rebalance", "outcome", "transaction_type")
     (
-        placed.write.mode("overwrite")
+        placed.write.format(file_format)
+        .mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy("outcome", "transaction_type")
-        .parquet(f"{root}/ingest={ingest}/batch_id={int(batch_id)}")
+        .save(f"{root}/ingest={ingest}/batch_id={int(batch_id)}")
     )
 
 
-def _added_columns(spark: SparkSession, root: str) -> StructType:
+def _added_columns(spark: SparkSession, root: str, file_format: str) -> StructType:
     """Columns some batch has beyond the declared ones."""
-    merged = spark.read.option("mergeSchema", True).option("basePath", root).parquet(root).schema
+    reader = spark.read.format(file_format).option("mergeSchema", True)
+    merged = reader.option("basePath", root).load(root).schema
     return StructType([f for f in merged if f.name not in BRONZE.fieldNames()])
 
 
-def _log(spark: SparkSession, root: str, added: StructType | None = None) -> DataFrame:
+def _log(
+    spark: SparkSession, root: str, file_format: str, added: StructType | None = None
+) -> DataFrame:
     schema = StructType([*BRONZE, *(added or [])])
-    return spark.read.schema(schema).option("basePath", root).parquet(root)
+    return spark.read.format(file_format).schema(schema).option("basePath", root).load(root)
+
+
+def _accepted(log: DataFrame, added: StructType | None = None) -> DataFrame:
+    extra = [f.name for f in (added or [])]
+    return log.where(F.col("outcome") == ACCEPTED).select(
+        *EVENT.fieldNames(), *extra, "ingest", "batch_id", "ingested_at"
+    )
 
 
 def read_bronze(
@@ -78,6 +101,7 @@ def read_bronze(
     root: str,
     added: StructType | None = None,
     merge_schema: bool = False,
+    file_format: str = "parquet",
 ) -> DataFrame:
     """All accepted events, with ``ingest``, ``batch_id`` and ``ingested_at``.
 
@@ -86,13 +110,13 @@ def read_bronze(
     them give NULL.
     """
     if merge_schema:
-        added = _added_columns(spark, root)
-    extra = [f.name for f in (added or [])]
-    return (
-        _log(spark, root, added)
-        .where(F.col("outcome") == ACCEPTED)
-        .select(*EVENT.fieldNames(), *extra, "ingest", "batch_id", "ingested_at")
-    )
+        added = _added_columns(spark, root, file_format)
+    return _accepted(_log(spark, root, file_format, added), added)
+
+
+def read_bronze_table(spark: SparkSession, table: str) -> DataFrame:
+    """All accepted events of the catalog table."""
+    return _accepted(spark.table(table))
 
 
 def read_bronze_as_of(
@@ -100,12 +124,13 @@ def read_bronze_as_of(
     root: str,
     batch_id: int | None = None,
     instant: datetime | None = None,
+    file_format: str = "parquet",
 ) -> DataFrame:
     """Bronze as it stood after a batch, or at an instant.
 
     Batch numbers count per ingest; use an instant to look across several.
     """
-    rows = read_bronze(spark, root)
+    rows = read_bronze(spark, root, file_format=file_format)
     if batch_id is not None:
         rows = rows.where(F.col("batch_id") <= int(batch_id))
     if instant is not None:
@@ -113,9 +138,11 @@ def read_bronze_as_of(
     return rows
 
 
-def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+def read_quarantine(
+    spark: SparkSession, root: str, file_format: str = "parquet"
+) -> DataFrame:
     return (
-        _log(spark, root)
+        _log(spark, root, file_format)
         .where(F.col("outcome") == QUARANTINED)
         .select("value", "reason", "ingest", "batch_id", "ingested_at")
     )

@@ -68,7 +68,7 @@ def _decode(line: Column) -> Column:
 
 def _number(text: Column) -> Column:
     """Finite number or NULL; the suffixes d and f of other languages are not numbers."""
-    number = F.when(~text.rlike("[dDfF]$"), text.try_cast("double"))
+    number = F.when(~text.rlike(r"[dDfF]\s*$"), text.try_cast("double"))
     finite = ~F.isnan(number) & (F.abs(number) != F.lit(float("inf")))
     return F.when(finite, number)
 

@@ -27,6 +27,7 @@ def write_bronze_stream(
     checkpoint: str,
     every: str | None = None,
     rebalance: bool = False,
+    file_format: str = "parquet",
 ) -> StreamingQuery:
     """Append each batch of a parsed stream to bronze.
 
@@ -37,7 +38,7 @@ def write_bronze_stream(
     ingest = ingest_name(checkpoint)
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        append_bronze(batch, root, batch_id, ingest, rebalance)
+        append_bronze(batch, root, batch_id, ingest, rebalance, file_format)
 
     # Constant within a batch and the same when the batch is replayed.
     stamped = parsed.withColumn("ingested_at", F.current_timestamp())
@@ -57,16 +58,17 @@ def run_ingest(
     max_bytes: int | None = None,
     missing_text: str | None = None,
     rebalance: bool = False,
+    file_format: str = "parquet",
 ) -> StreamingQuery:
     """Ingest a landing folder; bad lines go to quarantine, the rest goes on.
 
     With ``every`` (such as "10 seconds") the query keeps running; otherwise
     this returns once everything landed so far is in bronze.
     """
-    ensure_bronze(spark, root)
+    ensure_bronze(spark, root, file_format=file_format)
     lines = read_event_stream(spark, landing, max_files, max_bytes)
     parsed = parse_events(lines, missing_text)
-    query = write_bronze_stream(parsed, root, checkpoint, every, rebalance)
+    query = write_bronze_stream(parsed, root, checkpoint, every, rebalance, file_format)
     if not every:
         query.awaitTermination()
     return query

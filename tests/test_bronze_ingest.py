@@ -14,7 +14,9 @@ from tellerbook.sources.bronze import (
     ensure_bronze,
     read_bronze,
     read_bronze_as_of,
+    read_bronze_table,
     read_quarantine,
+    refresh_bronze_table,
 )
 from tellerbook.streaming.ingest import ingest_name, run_ingest
 
@@ -111,13 +113,30 @@ def test_added_columns(spark, folder):
 
 
 def test_table_over_the_log(spark, folder):
-    for _ in range(2):
-        ensure_bronze(spark, f"{folder}/b", "teller_test.transactions_raw")
-    append_bronze(event_rows(spark, [event("a")]), f"{folder}/b", 0)
-    spark.catalog.refreshTable("teller_test.transactions_raw")
-    frame = spark.table("teller_test.transactions_raw")
-    assert set(EVENT.fieldNames()) <= set(frame.columns)
-    spark.sql("DROP DATABASE teller_test CASCADE")
+    table = "teller_test.transactions_raw"
+    try:
+        for n in range(2):
+            ensure_bronze(spark, f"{folder}/b", table)
+            append_bronze(parsed(spark, [event(str(n)), "junk"]), f"{folder}/b", n)
+            refresh_bronze_table(spark, table)
+        frame = read_bronze_table(spark, table)
+        assert rows(frame) == rows(read_bronze(spark, f"{folder}/b"))
+        assert frame.count() == 2
+        assert spark.table(table).where("outcome = 'quarantined'").count() == 2
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS teller_test CASCADE")
+
+
+def test_another_file_format(spark, folder):
+    lands(f"{folder}/landing", "0.json", [event("a"), "junk"])
+    ingest(spark, folder, file_format="orc")
+    root = f"{folder}/bronze"
+    wider = event_rows(spark, [event("b")]).withColumn("channel", F.lit("app"))
+    append_bronze(wider, root, 0, file_format="orc")
+    frame = read_bronze(spark, root, merge_schema=True, file_format="orc")
+    assert {(r.transaction_id, r.channel) for r in frame.collect()} == {("a", None), ("b", "app")}
+    assert read_bronze_as_of(spark, root, 0, file_format="orc").count() == 2
+    assert read_quarantine(spark, root, file_format="orc").count() == 1
 
 
 def test_rebalance_keeps_rows(spark, folder):

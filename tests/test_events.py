@@ -33,6 +33,8 @@ def outcome(spark, item, **options):
         (event(amount="NaN"), "bad amount", None),
         (event(amount=math.inf), "bad amount", None),
         (event(amount="12.5d"), "bad amount", None),
+        (event(amount="12.5f "), "bad amount", None),
+        (event(amount=" 12.5 "), None, 12.5),
         (event(amount="ten"), "bad amount", None),
         (event(amount=True), "bad amount", None),
         (event(amount=[1]), "bad amount", None),

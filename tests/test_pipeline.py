@@ -140,6 +140,17 @@ def test_refresh_touches_only_the_dates_concerned(book, tmp_path):
     assert book.gold_rows() == gold_by_hand([*days, *book_items(book)])
 
 
+def test_date_list_prunes_stored_silver(book):
+    book.append([event("a"), event("b", "2026-07-09T00:00:00"), event("c", "None")])
+    book.rebuild(checks=[])
+    stored = pipeline.read_silver(book.spark, book.silver)
+    for dates, found in (([date(2026, 7, 9)], {"b"}), ([None, date(2026, 7, 7)], {"a", "c"})):
+        frame = stored.where(pipeline._on_dates(dates))
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "date_transaction" in plan[plan.index("PartitionFilters") :].split("Pushed")[0]
+        assert {r.transaction_id for r in frame.collect()} == found
+
+
 def book_items(book):
     """The last batch as event dicts."""
     return [r.asDict() for r in book.fresh().collect()]
