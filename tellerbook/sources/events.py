@@ -56,21 +56,25 @@ def read_event_stream(
 def _decode(line: Column) -> Column:
     """One strict JSON object per line, decoded in a single pass.
 
-    The line is parsed inside an envelope: whatever follows the first object
-    then breaks the envelope instead of being skipped silently.
+    The line is parsed inside an envelope, as the only element of a list:
+    whatever follows the first object then breaks the envelope or makes the
+    list longer, instead of being skipped silently.
     """
     return F.from_json(
-        F.concat(F.lit('{"message":'), line, F.lit(',"whole":true}')),
-        f"struct<message:{_MESSAGE},whole:boolean,broken:string>",
+        F.concat(F.lit('{"messages":['), line, F.lit('],"whole":true}')),
+        f"struct<messages:array<{_MESSAGE}>,whole:boolean,broken:string>",
         {"columnNameOfCorruptRecord": "broken", "allowSingleQuotes": "false"},
     )
 
 
 def _number(text: Column) -> Column:
-    """Finite number or NULL; the suffixes d and f of other languages are not numbers."""
-    number = F.when(~text.rlike(r"[dDfF]\s*$"), text.try_cast("double"))
-    finite = ~F.isnan(number) & (F.abs(number) != F.lit(float("inf")))
-    return F.when(finite, number)
+    """Text as a number; the suffixes d and f of other languages make it none."""
+    return F.when(~text.rlike(r"[dDfF]\s*$"), text.try_cast("double"))
+
+
+def _finite(number: Column) -> Column:
+    """The number, or NULL for NaN and the infinities."""
+    return F.when(~F.isnan(number) & (F.abs(number) != F.lit(float("inf"))), number)
 
 
 def parse_events(lines: DataFrame, missing_text: str | None = None) -> DataFrame:
@@ -81,10 +85,15 @@ def parse_events(lines: DataFrame, missing_text: str | None = None) -> DataFrame
     text fields get that text and timestamps are not checked, so only lines
     that cannot be decoded or have no usable amount are rejected.
     """
-    message = F.col("_doc.message")
-    decoded = lines.select("value", _decode(F.col("value")).alias("_doc"))
+    # Exploding one document is a plain column, except that Spark does not move
+    # filters on the outcome below it, where they would parse the line again.
+    decoded = lines.select("value", F.explode(F.array(_decode(F.col("value")))).alias("_doc"))
+    message = F.get("_doc.messages", F.lit(0))
     broken = (
-        F.col("_doc.broken").isNotNull() | F.col("_doc.whole").isNull() | message.isNull()
+        F.col("_doc.broken").isNotNull()
+        | F.col("_doc.whole").isNull()
+        | message.isNull()
+        | (F.size("_doc.messages") != 1)
     )
     # NULL means either an absent key or an explicit null. Only lines with a
     # NULL amount are looked at again to tell the two apart.
@@ -97,7 +106,7 @@ def parse_events(lines: DataFrame, missing_text: str | None = None) -> DataFrame
         broken.alias("_broken"),
         *[message[name].alias(name) for name in EVENT_TEXT_FIELDS],
         F.when(absent, F.lit(0.0)).otherwise(_number(message["amount"])).alias("amount"),
-    )
+    ).withColumn("amount", _finite(F.col("amount")))
     reason = F.when(F.col("_broken"), F.lit(MALFORMED))
     if missing_text is None:
         for name in EVENT_TEXT_FIELDS:

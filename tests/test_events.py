@@ -1,5 +1,6 @@
 import json
 import math
+import random
 from datetime import date
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tellerbook.functions.columns import iso_text, utc_date, utc_instant
 from tellerbook.operators.silver import silver_cast
+from tellerbook.schemas import EVENT_TEXT_FIELDS
 from tellerbook.sources.events import accepted, encode_events, parse_events, quarantined
 
 
@@ -70,6 +72,10 @@ def test_line_outcome(spark, item, reason, amount):
         json.dumps(event()) + "," + json.dumps(event("b")),
         json.dumps(event()) + "}",
         json.dumps(event()) + "}{",
+        json.dumps(event()) + "]",
+        json.dumps(event()) + "]}{",
+        json.dumps(event()) + ', "amount": 1',
+        json.dumps(event()) + ', "x": {}',
         json.dumps(event()).replace('"', "'"),
     ],
 )
@@ -143,3 +149,62 @@ def test_iso_text(spark, other_zone):
 def test_parsing_stays_in_the_jvm(spark):
     plan = parse_events(lines(spark, [event()]))._jdf.queryExecution().toString()
     assert "Python" not in plan.split("== Physical Plan ==")[1]
+
+
+def altered(rng, text):
+    """The text with one small accident."""
+    at, char = rng.randrange(len(text)), rng.choice('{}[]",:0189.-+e \\tn/#')
+    return rng.choice(
+        [
+            text[:at] + char + text[at:],
+            text[:at] + text[at + 1 :],
+            text[:at] + char + text[at + 1 :],
+            text + text[at:],
+        ]
+    )
+
+
+def judged(text):
+    """What a plain reading makes of a line: its fate up to the timestamp."""
+    try:
+        fields = json.loads(text)
+    except ValueError:
+        return "malformed"
+    if not isinstance(fields, dict):
+        return "malformed"
+    for name in EVENT_TEXT_FIELDS:
+        if fields.get(name) is None:
+            return f"missing {name}"
+    try:
+        number = float(fields.get("amount", 0.0))
+    except (TypeError, ValueError):
+        number = math.nan
+    return number if math.isfinite(number) else "bad amount"
+
+
+def test_altered_lines_meet_the_fate_of_a_plain_reading(spark):
+    rng = random.Random(11)
+    whole = [
+        json.dumps(event()),
+        json.dumps(event(amount="12.5")),
+        json.dumps(without(event(), "amount")),
+        json.dumps(event() | {"more": {"y": [1, {"z": None}]}}),
+    ]
+    texts = sorted({altered(rng, rng.choice(whole)) for _ in range(3000)})
+    frame = parsed(spark, texts)
+    rejected = {r.value: r.reason for r in quarantined(frame).collect()}
+    assert frame.count() == len(texts)
+    for text in texts:
+        fate, reason = judged(text), rejected.get(text)
+        # A damaged timestamp or type is judged by other rules.
+        if reason not in ("bad timestamp", "blank transaction_type"):
+            assert reason == (fate if isinstance(fate, str) else None), text
+    kept = sorted(r.amount for r in accepted(frame).collect())
+    assert kept == sorted(judged(t) for t in texts if t not in rejected)
+
+
+def test_lines_are_parsed_once_whatever_is_asked(spark):
+    frame = parse_events(lines(spark, [event()]))
+    for part in (frame, accepted(frame), quarantined(frame)):
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1

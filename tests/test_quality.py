@@ -74,3 +74,18 @@ def test_observed_checks_count_while_writing(spark, folder):
     observed, seen = quality.observe_row_checks(frame, quality.not_null("k"), "t")
     observed.write.parquet(f"{folder}/out")
     assert seen.get["not_null:k"] == 7
+
+
+def test_relationship_counts_before_it_shuffles(spark):
+    """Without a broadcast, the join gets one row per child key."""
+    child = spark.range(100).selectExpr("IF(id % 3 = 0, 7, id) AS c")
+    parent = spark.range(50).selectExpr("id AS p")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = quality.check_relationship(child, "c", parent, "p")
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        below_join = plan[plan.index("SortMergeJoin") :]
+        assert "partial_count" in below_join
+        assert counts(frame)["relationship:c"][1] == child.where("c >= 50").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
