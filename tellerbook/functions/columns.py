@@ -20,9 +20,9 @@ def utc_instant(text: Column) -> Column:
         F.concat(text, F.lit("Z")).try_cast("timestamp"),
         F.concat(text, F.lit("T00:00:00Z")).try_cast("timestamp"),
         # Only text that names its own zone gets here with a result.
-        text.try_cast("timestamp"),
+        F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}[ T]"), text.try_cast("timestamp")),
     )
-    return F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}(?:[ T]|$)"), parsed)
+    return F.when(F.substring(text, 5, 1) == "-", parsed)
 
 
 def utc_date(instant: Column) -> Column:

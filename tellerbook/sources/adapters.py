@@ -6,8 +6,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerbook.functions.columns import iso_text
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -18,7 +16,7 @@ def _events(
 ) -> DataFrame:
     return rows.select(
         F.col(key).cast("string").alias("transaction_id"),
-        iso_text(F.col(time)).alias("timestamp"),
+        F.col(time).cast("timestamp_ntz").cast("string").alias("timestamp"),
         F.col(sender).cast("string").alias("sender_account"),
         F.col(receiver).cast("string").alias("receiver_account"),
         F.col(kind).alias("transaction_type"),

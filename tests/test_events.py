@@ -43,6 +43,11 @@ def outcome(spark, item, **options):
         (event(timestamp="None"), "bad timestamp", 100.0),
         (event(timestamp="12:30:00"), "bad timestamp", 100.0),
         (event(timestamp="2026"), "bad timestamp", 100.0),
+        (event(timestamp="9:30-03:00"), "bad timestamp", 100.0),
+        (event(timestamp="9:30-"), "bad timestamp", 100.0),
+        (event(timestamp="12026-07-07T00:00:00"), "bad timestamp", 100.0),
+        (event(timestamp="2026-W28-2"), "bad timestamp", 100.0),
+        (event(timestamp="2026-7-7 1:02:03+02:00"), None, 100.0),
         (event(timestamp="2026-07"), "bad timestamp", 100.0),
         (event(timestamp="2026-02-30T00:00:00"), "bad timestamp", 100.0),
         (event(transaction_type=""), "blank transaction_type", 100.0),
