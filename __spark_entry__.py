@@ -6,6 +6,7 @@ the DuckDB twin of each. Every query runs over its whole tables.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -388,9 +389,26 @@ def _in_utc(query: Query) -> Query:
     return run
 
 
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the training-data operators, where these are installed."""
+    there = importlib.util.find_spec
+    if there("tellerbook.llm") is None or there("tellerbook.llm.queries") is None:
+        return {}, {}
+    from tellerbook.llm.queries import llm_oracle_sql, llm_queries
+
+    found, twins = llm_queries(), llm_oracle_sql()
+    if there("corpus_pipeline") is not None:
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            twins["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, twins
+
+
 def queries() -> dict[str, Query]:
     """One entry per operator; each callable takes (spark, folder)."""
-    return {name: _in_utc(query) for name, query in _QUERIES.items()}
+    return {name: _in_utc(query) for name, query in (_QUERIES | _training_data()[0]).items()}
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -521,7 +539,7 @@ FROM hashed"""
 
 def oracle_sql() -> dict[str, str]:
     """The DuckDB twin of each query."""
-    return {
+    own = {
         "silver_cast": _LINEITEM,
         "silver_high_value": (
             f"SELECT transaction_id, amount_usd, is_high_value FROM ({_flag_sql(_ORDERS)})"
@@ -658,3 +676,4 @@ WHERE date_transaction BETWEEN DATE '{GAP[0]}' AND DATE '{GAP[1]}'""",
             f"THEN 5000000 + {_draw_sql(5, 5_000_001)} ELSE 500 + {_draw_sql(5, 199_501)} END",
         ),
     }
+    return own | _training_data()[1]
