@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tellerbook.llm.mixing import mix_plan
 from tellerbook.llm.near_dedup import near_duplicates
 from tellerbook.llm.packing import pack
+from tellerbook.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,12 +27,16 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_table(spark, folder, "documents"))
 
 
 def llm_queries() -> dict[str, Query]:
-    found = [op1_near_dedup, op4_mixing, op8_packing]
+    found = [op1_near_dedup, op4_mixing, op5_toxicity, op8_packing]
     return {f.__name__: f for f in found}
 
 
