@@ -33,7 +33,7 @@ from tellerbook.plans.pipeline import (  # noqa: E402
 )
 from tellerbook.plans.views import register_views  # noqa: E402
 from tellerbook.schemas import SILVER  # noqa: E402
-from tellerbook.session import working_folder  # noqa: E402
+from tellerbook.session import ship_package, working_folder  # noqa: E402
 from tellerbook.sources.adapters import (  # noqa: E402
     click_events,
     lineitem_events,
@@ -389,6 +389,14 @@ def _in_utc(query: Query) -> Query:
     return run
 
 
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, folder)
+
+    return run
+
+
 def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
     """Queries and SQL of the training-data operators, where these are installed."""
     there = importlib.util.find_spec
@@ -408,7 +416,8 @@ def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
 
 def queries() -> dict[str, Query]:
     """One entry per operator; each callable takes (spark, folder)."""
-    return {name: _in_utc(query) for name, query in (_QUERIES | _training_data()[0]).items()}
+    training = {name: _shipped(query) for name, query in _training_data()[0].items()}
+    return {name: _in_utc(query) for name, query in (_QUERIES | training).items()}
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -50,3 +52,19 @@ def working_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         return tempfile.mkdtemp(prefix=f"tellerbook-{purpose}-")
     return f"{shared.rstrip('/')}/tellerbook-{purpose}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let executors import this package, wherever it is installed.
+
+    Once per application; a cluster that has the package already loses nothing.
+    """
+    name = "tellerbook-package.zip"
+    if any(f.endswith(name) for f in spark.sparkContext.listFiles):
+        return
+    root = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="tellerbook-")) / name
+    with zipfile.ZipFile(path, "w") as package:
+        for file in sorted(root.rglob("*.py")):
+            package.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(path))
