@@ -227,13 +227,16 @@ def near_duplicates(documents: DataFrame, similarity: int = 80) -> DataFrame:
         )
     )
     dealt = stored(dealt, "dealt")
-    heads = heads.select("doc_id", "d1", "n_shingles", "sign", "deep")
     own = ["doc_id", "d1"]
+    # Most sets share no region: from here on only those that do are moved.
+    heads = heads.select("doc_id", "d1", "n_shingles", "sign", "deep")
+    heads = stored(heads.join(dealt.select(*own).distinct(), own), "crowd")
     members = dealt.join(heads, own)
     wanted = each_group(members, "g", _wanted(similarity), "doc_id long, d1 long, g long", *own)
     wanted = stored(wanted, "wanted")
 
-    texts = rows.join(wanted.select("doc_id").distinct(), "doc_id")
+    # The same kind of join at every size; the ids are too many to broadcast in general.
+    texts = rows.join(wanted.select("doc_id").distinct().hint("merge"), "doc_id")
     sets = texts.mapInArrow(_ship_sets, "doc_id long, d1 long, shingles binary")
     sets = sets.groupBy(*own).agg(F.max("shingles").alias("shingles"))
     whole = dealt.join(wanted, [*own, "g"], "left_semi").join(heads, own).join(sets, own)
