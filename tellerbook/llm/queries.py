@@ -10,6 +10,7 @@ from tellerbook.llm.mixing import mix_plan
 from tellerbook.llm.near_dedup import near_duplicates
 from tellerbook.llm.packing import pack
 from tellerbook.llm.toxicity import toxicity
+from tellerbook.llm.vector_dedup import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,8 +36,12 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_table(spark, folder, "documents"))
 
 
+def op10_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(_table(spark, folder, "embeddings"))
+
+
 def llm_queries() -> dict[str, Query]:
-    found = [op1_near_dedup, op4_mixing, op5_toxicity, op8_packing]
+    found = [op1_near_dedup, op4_mixing, op5_toxicity, op8_packing, op10_vector_dedup]
     return {f.__name__: f for f in found}
 
 
