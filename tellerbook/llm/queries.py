@@ -9,9 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from tellerbook.llm.mixing import mix_plan
 from tellerbook.llm.near_dedup import near_duplicates
 from tellerbook.llm.packing import pack
+from tellerbook.llm.pii import pseudonymise
 from tellerbook.llm.toxicity import toxicity
 from tellerbook.llm.vector_dedup import near_vectors
 
+#: The key of the registered query; jobs pass their own.
+PII_KEY = "registered-query"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -23,6 +27,10 @@ def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"), similarity=85)
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudonymise(_table(spark, folder, "documents"), PII_KEY)
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     plan = mix_plan(_table(spark, folder, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -41,7 +49,7 @@ def op10_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    found = [op1_near_dedup, op4_mixing, op5_toxicity, op8_packing, op10_vector_dedup]
+    found = [op1_near_dedup, op3_pii, op4_mixing, op5_toxicity, op8_packing, op10_vector_dedup]
     return {f.__name__: f for f in found}
 
 
