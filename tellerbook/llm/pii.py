@@ -26,8 +26,8 @@ KINDS = {
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": (
-        r"(?:(?<![0-9+])\+?1[ .-]?|(?<![0-9+]))(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])"
-        r"[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
+        r"(?:(?<![0-9+])\+?1[ .-]?|(?<![0-9+]))(?:\([0-9]{3}\) ?|[2-9][0-9]{2}[ .-])"
+        r"[0-9]{3}[ .-][0-9]{4}(?![0-9])"
     ),
     "foreign_phone": r"\+[2-9](?:[ .-]?\(?[0-9]\)?){7,13}(?![0-9])",
     "card": (
@@ -221,7 +221,14 @@ def _phone(match: Column, key: str) -> Column:
         line = F.lpad((new % 10000).cast("string"), 4, "0")
         return F.concat(country, *[p.cast("long").cast("string") for p in parts], line)
 
-    new = let(permuted(number, (80000, 80000), key, "phone"), written)
+    # Numbers outside the numbering plan keep the digits that put them there.
+    sub, rest = F.substring, F.concat(F.substring(own, 2, 2), F.substring(own, 5, 6))
+    other = let(
+        permuted_text(rest, key, "other phone", (DIGITS,)),
+        lambda n: F.concat(country, sub(own, 1, 1), sub(n, 1, 2), sub(own, 4, 1), sub(n, 3, 6)),
+    )
+    planned = (area >= 200) & (exchange >= 200)
+    new = F.when(planned, let(permuted(number, (80000, 80000), key, "phone"), written)).otherwise(other)
     return let(new, lambda n: _refilled(match, n))
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tellerbook.llm.fertility import quality_rules
 from tellerbook.llm.mixing import mix_plan
 from tellerbook.llm.near_dedup import near_duplicates
 from tellerbook.llm.packing import pack
@@ -44,12 +45,16 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_table(spark, folder, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules(_table(spark, folder, "documents"))
+
+
 def op10_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors(_table(spark, folder, "embeddings"))
 
 
 def llm_queries() -> dict[str, Query]:
-    found = [op1_near_dedup, op3_pii, op4_mixing, op5_toxicity, op8_packing, op10_vector_dedup]
+    found = [op1_near_dedup, op3_pii, op4_mixing, op5_toxicity, op8_packing, op9_quality_rules, op10_vector_dedup]
     return {f.__name__: f for f in found}
 
 
