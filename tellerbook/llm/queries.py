@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tellerbook.llm.extraction import extract
 from tellerbook.llm.fertility import quality_rules
 from tellerbook.llm.mixing import mix_plan
 from tellerbook.llm.near_dedup import near_duplicates
 from tellerbook.llm.packing import pack
 from tellerbook.llm.pii import pseudonymise
+from tellerbook.llm.quotes import reply_ordered
 from tellerbook.llm.toxicity import toxicity
 from tellerbook.llm.vector_dedup import near_vectors
 
@@ -41,6 +43,14 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(_table(spark, folder, "pages"))
+
+
+def op7_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    return reply_ordered(_table(spark, folder, "conversations"))
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_table(spark, folder, "documents"))
 
@@ -54,7 +64,7 @@ def op10_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    found = [op1_near_dedup, op3_pii, op4_mixing, op5_toxicity, op8_packing, op9_quality_rules, op10_vector_dedup]
+    found = [op1_near_dedup, op3_pii, op4_mixing, op5_toxicity, op6_html_extraction, op7_chat_formatting, op8_packing, op9_quality_rules, op10_vector_dedup]
     return {f.__name__: f for f in found}
 
 
