@@ -164,22 +164,19 @@ def mixed(documents: DataFrame, **settings) -> DataFrame:
     there is one, counts the new text. Documents of which nothing is taken go.
     """
     block = settings.get("block", BLOCK)
-    same = Window.partitionBy("doc_id", "source").orderBy("size", F.md5(F.coalesce("text", F.lit(""))))
-    rows = documents.withColumn("size", word_count("text")).withColumn("_i", F.row_number().over(same))
-    plan = mix_plan(documents, **settings)
-    again = Window.partitionBy("doc_id", "source").orderBy("size", "shard", "start")
-    plan = plan.withColumn("_i", F.row_number().over(again)).select(
-        F.col("doc_id").alias("_d"), F.col("source").alias("_s"), "_i",
-        "size", "taken", "start", "passes", "blocks", "picks", "turn",
-    )
-    return _cut(rows, plan, documents.columns, block)
-
-
-def _cut(rows: DataFrame, plan: DataFrame, columns: list[str], block: int) -> DataFrame:
-    plan = plan.withColumnsRenamed({"_i": "_j", "size": "_size"}).where("taken > 0")
-    at = F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_i") == F.col("_j"))
-    both = rows.join(plan, at)
-    rest = F.col("taken") - F.col("passes") * F.col("size")
+    # Rows and plan are numbered alike within a key, so repeated rows find their own part.
+    key = F.xxhash64("doc_id", "source")
+    same = Window.partitionBy("_key").orderBy("doc_id", "source", "size", F.md5(F.coalesce("text", F.lit(""))))
+    rows = documents.withColumn("_key", key).withColumn("size", word_count("text"))
+    rows = rows.withColumn("_i", F.row_number().over(same))
+    again = Window.partitionBy("_key").orderBy("doc_id", "source", "size", "shard", "start")
+    plan = mix_plan(documents, **settings).withColumn("_key", key).withColumn("_j", F.row_number().over(again))
+    plan = plan.where("taken > 0").select(
+        "_key", "_j", F.col("size").alias("_size"), "taken", "start", "passes", "blocks", "picks", "turn"
+    )
+    # The number is compared behind the join, which keeps the partitioning by key.
+    both = rows.join(plan, "_key").where("_i - _j = 0")
+    rest = F.col("taken") - F.col("passes") * F.col("_size")
     words = F.regexp_extract_all("text", F.lit(f"({WORD}[\\x20\\x09-\\x0D]*)"), F.lit(1))
     taken = F.expr(
         f"""concat_ws('', filter(_words, (w, i) ->
@@ -190,6 +187,6 @@ def _cut(rows: DataFrame, plan: DataFrame, columns: list[str], block: int) -> Da
     copies = F.concat(F.array_repeat("text", F.col("passes").cast("int")), partly)
     out = both.withColumn("_words", F.when((rest > 0) & (rest < F.col("size")), words)).withColumn("_text", F.explode(copies))
     out = out.withColumn("text", F.col("_text"))
-    if "n_chars" in columns:
+    if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.length("_text").cast("long"))
-    return out.select(*columns)
+    return out.select(*documents.columns)

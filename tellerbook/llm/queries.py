@@ -13,6 +13,7 @@ from tellerbook.llm.near_dedup import near_duplicates
 from tellerbook.llm.packing import pack
 from tellerbook.llm.pii import pseudonymise
 from tellerbook.llm.quotes import reply_ordered
+from tellerbook.llm.token_counts import token_counts
 from tellerbook.llm.toxicity import toxicity
 from tellerbook.llm.vector_dedup import near_vectors
 
@@ -30,6 +31,10 @@ def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"), similarity=85)
 
 
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(_table(spark, folder, "documents"))
+
+
 def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pseudonymise(_table(spark, folder, "documents"), PII_KEY)
 
@@ -64,7 +69,7 @@ def op10_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    found = [op1_near_dedup, op3_pii, op4_mixing, op5_toxicity, op6_html_extraction, op7_chat_formatting, op8_packing, op9_quality_rules, op10_vector_dedup]
+    found = [op1_near_dedup, op2_token_counts, op3_pii, op4_mixing, op5_toxicity, op6_html_extraction, op7_chat_formatting, op8_packing, op9_quality_rules, op10_vector_dedup]
     return {f.__name__: f for f in found}
 
 
