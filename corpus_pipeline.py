@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tellerbook.llm.mixing import mixed
 from tellerbook.llm.near_dedup import near_duplicates
@@ -22,7 +23,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents that are not predicted toxic; null and empty texts stay."""
     ship_package(spark)
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score(docs, model).where("predicted = 0").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return score(rows, model).where("predicted = 0").select("row.*")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -167,7 +167,8 @@ def mixed(documents: DataFrame, **settings) -> DataFrame:
     # Rows and plan are numbered alike within a key, so repeated rows find their own part.
     key = F.xxhash64("doc_id", "source")
     same = Window.partitionBy("_key").orderBy("doc_id", "source", "size", F.md5(F.coalesce("text", F.lit(""))))
-    rows = documents.withColumn("_key", key).withColumn("size", word_count("text"))
+    rows = documents.select(F.struct(*documents.columns).alias("_row"), "doc_id", "source", "text")
+    rows = rows.withColumn("_key", key).withColumn("size", word_count("text"))
     rows = rows.withColumn("_i", F.row_number().over(same))
     again = Window.partitionBy("_key").orderBy("doc_id", "source", "size", "shard", "start")
     plan = mix_plan(documents, **settings).withColumn("_key", key).withColumn("_j", F.row_number().over(again))
@@ -185,8 +186,11 @@ def mixed(documents: DataFrame, **settings) -> DataFrame:
     )
     partly = F.when(rest == 0, F.array()).when(rest == F.col("size"), F.array("text")).otherwise(F.array(taken))
     copies = F.concat(F.array_repeat("text", F.col("passes").cast("int")), partly)
-    out = both.withColumn("_words", F.when((rest > 0) & (rest < F.col("size")), words)).withColumn("_text", F.explode(copies))
-    out = out.withColumn("text", F.col("_text"))
-    if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.length("_text").cast("long"))
-    return out.select(*documents.columns)
+    out = both.withColumn("_words", F.when((rest > 0) & (rest < F.col("size")), words))
+    out = out.withColumn("_text", F.explode(copies))
+    new = {"text": F.col("_text"), "n_chars": F.length("_text").cast(_kind(documents, "n_chars"))}
+    return out.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in documents.columns])
+
+
+def _kind(rows: DataFrame, name: str) -> str:
+    return dict(rows.dtypes).get(name, "long")

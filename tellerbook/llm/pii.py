@@ -287,10 +287,15 @@ def pseudonymise(documents: DataFrame, key: str) -> DataFrame:
     pairs = F.zip_with("_rest", "_new", lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
     changed = F.size(F.filter(F.zip_with("_found", "_new", lambda a, b: a != b), lambda x: x))
     columns = [c for c in documents.columns if c != "n_pseudonyms"]
-    rows = documents.select(*columns).withColumn("_found", found).withColumn("_rest", rest)
-    rows = rows.withColumn("_new", F.when(F.size("_found") > 0, new))
-    rows = rows.withColumn("n_pseudonyms", F.coalesce(F.when(F.size("_found") > 0, changed), F.lit(0)).cast("long"))
-    rows = rows.withColumn("text", F.when(F.size("_found") > 0, F.array_join(pairs, "")).otherwise(F.col("text")))
+    # Further columns travel as one, so none can clash with those made here.
+    rows = documents.select(F.struct(*columns).alias("_row"), "text")
+    rows = rows.withColumn("_found", found).withColumn("_rest", rest)
+    some = F.size("_found") > 0
+    rows = rows.withColumn("_new", F.when(some, new))
+    rows = rows.withColumn("_n", F.coalesce(F.when(some, changed), F.lit(0)).cast("long"))
+    rows = rows.withColumn("text", F.when(some, F.array_join(pairs, "")).otherwise(F.col("text")))
+    made = {"text": F.col("text")}
     if "n_chars" in columns:
-        rows = rows.withColumn("n_chars", F.when(F.size("_found") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long"))
-    return rows.select(*columns, "n_pseudonyms")
+        kind = documents.schema["n_chars"].dataType
+        made["n_chars"] = F.when(some, F.length("text")).otherwise(F.col("_row")["n_chars"]).cast(kind)
+    return rows.select(*[made.get(c, F.col("_row")[c]).alias(c) for c in columns], F.col("_n").alias("n_pseudonyms"))

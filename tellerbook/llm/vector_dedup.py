@@ -24,7 +24,7 @@ from tellerbook.llm.graph import components
 from tellerbook.llm.groups import each_group
 from tellerbook.llm.store import need_columns, stored
 
-TILE = 512
+TILE = 1024
 
 
 def quantised(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -1,0 +1,103 @@
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tellerbook.llm import near_dedup
+from tellerbook.llm.graph import components
+from tellerbook.llm.near_dedup import near_duplicates
+
+from llm_helpers import ODD, documents, spoken
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+
+
+def brute(texts, similarity):
+    sets, up = [shingles(t) for t in texts], list(range(len(texts)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= similarity * len(a | b):
+                x, y = find(i), find(j)
+                up[max(x, y)] = min(x, y)
+    return {i: (len(s), find(i)) for i, s in enumerate(sets)}
+
+
+def result(frame):
+    rows = frame.collect()
+    assert all(r.kept == (r.doc_id == r.component_id) for r in rows if r.doc_id is not None)
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in rows}
+
+
+@pytest.mark.parametrize("similarity", [80, 85])
+def test_classes_equal_brute_force(spark, random, similarity):
+    texts = []
+    for _ in range(25):
+        base = spoken(random, int(random.integers(30, 200)))
+        for _ in range(int(random.integers(1, 8))):
+            copy = list(base)
+            for _ in range(int(random.integers(0, 6))):
+                copy[int(random.integers(0, len(copy)))] = "changed"
+            texts.append(" ".join(copy))
+    assert result(near_duplicates(documents(spark, texts), similarity)) == brute(texts, similarity)
+
+
+def test_a_dense_region_is_compared_whole(spark, random, monkeypatch):
+    """Many copies of one text, no two alike: regions split deeper and into blocks."""
+    base = spoken(random, 150)
+    texts = []
+    for i in range(150):
+        copy = list(base)
+        for _ in range(int(random.integers(1, 5))):
+            copy[int(random.integers(0, len(copy)))] = f"own{i}"
+        texts.append(" ".join(copy))
+    monkeypatch.setattr(near_dedup, "DENSE", 20)
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    assert result(near_duplicates(documents(spark, texts), 85)) == brute(texts, 85)
+
+
+def test_odd_texts(spark):
+    frame = documents(spark, ODD, extra=True)
+    found = result(near_duplicates(frame))
+    assert found == brute(ODD, 80)
+    assert found[4] == (1, 3) and found[0] == (0, 0) and found[7] == (1, 7)
+
+
+def test_null_ids_and_repeated_rows(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(5, text), (5, text), (9, text + " x"), (None, text), (3, None)]
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in found) == [
+        (-1, -1, True), (3, 3, True), (5, 5, True), (5, 5, True), (9, 5, False),
+    ]
+
+
+def test_an_empty_table(spark):
+    assert near_duplicates(documents(spark, [])).collect() == []
+
+
+def test_components_of_long_paths_and_stars(spark, random):
+    edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(5, 5), (3, 2)]
+    order = random.permutation(len(edges))
+    frame = spark.createDataFrame([edges[i] for i in order], "a long, b long")
+    groups = defaultdict(set)
+    for row in components(frame).collect():
+        groups[row.root].add(row.node)
+    assert dict(groups) == {100: set(range(100, 161)), 7: {7, *range(200, 260)}, 2: {2, 3}}
+
+
+def test_signatures_estimate_similarity(random):
+    a = random.integers(0, 1 << 63, 4000).astype(np.uint64)
+    one, two = near_dedup.signature(a[:3000]), near_dedup.signature(a[1000:])
+    assert abs((one == two).mean() - 0.5) < 0.2
