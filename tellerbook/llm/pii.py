@@ -29,7 +29,7 @@ KINDS = {
         r"(?:(?<![0-9+])\+?1[ .-]?|(?<![0-9+]))(?:\([0-9]{3}\) ?|[2-9][0-9]{2}[ .-])"
         r"[0-9]{3}[ .-][0-9]{4}(?![0-9])"
     ),
-    "foreign_phone": r"\+[2-9](?:[ .-]?\(?[0-9]\)?){7,13}(?![0-9])",
+    "foreign_phone": r"\+[2-9](?:[ .-]?(?:\([0-9]{1,5}\)|[0-9])){7,13}(?![0-9])",
     "card": (
         r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
     ),
@@ -79,7 +79,7 @@ def _rotated(text: Column, number: Column, alphabets: tuple[str, ...]) -> Column
         for letters in alphabets:
             place = F.instr(F.lit(letters), c)
             turned = F.substring(F.lit(letters), ((place - 1 + step) % len(letters) + 1).cast("int"), F.lit(1))
-            out = F.when(place > 0, turned).otherwise(out)
+            out = F.when((place > 0) & (c != ""), turned).otherwise(out)
         return out
 
     return F.array_join(F.transform(F.split(text, ""), moved), "")
