@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tellerbook.llm.pii import let
 from tellerbook.llm.store import need_columns, stored
 
 STRETCH = 256
@@ -63,14 +64,17 @@ def _with_passages(rows: DataFrame) -> DataFrame:
 
 def without_quotes(text: Column) -> Column:
     """The lines of level 0, without announcements of quotes and blank lines at the end."""
-    lines = F.split(text, "\n", -1)
 
-    def own(x: Column, i: Column) -> Column:
-        below = F.coalesce(F.get(lines, i + 1), F.lit(""))
-        announces = x.rlike(ANNOUNCED) & below.rlike(r"^[ \t]*(?:>.*)?$")
-        return ~x.rlike(MARKS) & ~announces
+    def kept_of(lines: Column) -> Column:
+        def own(x: Column, i: Column) -> Column:
+            below = F.coalesce(F.get(lines, i + 1), F.lit(""))
+            announces = x.rlike(ANNOUNCED) & below.rlike(r"^[ \t]*(?:>.*)?$")
+            return ~x.rlike(MARKS) & ~announces
 
-    kept = F.regexp_replace(F.array_join(F.filter(lines, own), "\n"), r"\s+\z", "")
+        return F.filter(lines, own)
+
+    kept = let(F.split(text, "\n", -1), kept_of)
+    kept = F.regexp_replace(F.array_join(kept, "\n"), r"\s+\z", "")
     return F.when(text.rlike(r"(?m)" + MARKS), kept).otherwise(text)
 
 

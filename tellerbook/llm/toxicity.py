@@ -33,9 +33,10 @@ RUNS = (3, 4, 5)
 #: The softmax sees averages enlarged, which speeds up training.
 GAIN = 6.0
 #: The classifier is fitted on at most so many labelled texts of each class.
-SAMPLE = {0: 3000, 1: 1000}
-#: Characters handled at once.
-_CHUNK = 1 << 19
+SAMPLE = {0: 2000, 1: 800}
+#: Characters handled at once, and vectors gathered at once.
+_CHUNK = 1 << 18
+_PART = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: list[np.ndarray] = []
 
@@ -127,6 +128,17 @@ class Model:
         return np.round(np.where(np.isnan(chance), 0.0, chance), 6)
 
 
+def _sums(rows: np.ndarray, at: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of ``rows[at]`` from each start to the next, a bounded part at a time."""
+    out = np.empty((len(starts), rows.shape[1]), rows.dtype)
+    cuts = np.unique(np.searchsorted(starts, np.arange(0, len(at), _PART)))
+    for a, b in zip(cuts, [*cuts[1:], len(starts)], strict=True):
+        if a < b:
+            end = starts[b] if b < len(starts) else len(at)
+            np.add.reduceat(rows[at[starts[a] : end]], starts[a:b] - starts[a], axis=0, out=out[a:b])
+    return out
+
+
 class _Bags:
     """The bag of each distinct word, and which words each text has."""
 
@@ -154,22 +166,26 @@ class _Bags:
         self.count = len(lengths)
         self.lengths = np.array(lengths, np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
-        self.used, cell = np.unique(np.concatenate(cells), return_inverse=True)
-        self.cell = cell.astype(np.int32)
+        cells = np.concatenate(cells)
+        self.used = np.flatnonzero(np.bincount(cells, minlength=BUCKETS))
+        place = np.zeros(BUCKETS, np.int32)
+        place[self.used] = np.arange(len(self.used), dtype=np.int32)
+        self.cell = place[cells]
+        del cells
         order = np.argsort(self.cell, kind="stable")
+        self.cell_starts = np.searchsorted(self.cell, np.arange(len(self.used)), sorter=order)
         self.word_of = np.repeat(np.arange(self.count, dtype=np.int32), self.lengths)[order]
-        self.cell_starts = np.searchsorted(self.cell[order], np.arange(len(self.used)))
         #: Pairs of a text and a word it has, by text.
         self.owner, self.word = np.concatenate(owners), np.concatenate(words)
         self.owner_starts = np.flatnonzero(np.append(True, np.diff(self.owner) > 0))
 
     def averages(self, table: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(table[self.cell], self.starts, axis=0) / self.lengths[:, None].astype(np.float32)
+        return _sums(table, self.cell, self.starts) / self.lengths[:, None].astype(np.float32)
 
     def slopes(self, back: np.ndarray) -> np.ndarray:
         """How the loss changes with the table, from how it changes with the averages."""
         back = back / self.lengths[:, None].astype(np.float32)
-        return np.add.reduceat(back[self.word_of], self.cell_starts, axis=0)
+        return _sums(back, self.word_of, self.cell_starts)
 
     def worst(self, logits: np.ndarray) -> np.ndarray:
         """Of each text with words, the pair with the highest logit, the first of equal ones."""
