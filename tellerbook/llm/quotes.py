@@ -104,17 +104,22 @@ def _latest_before(asked: DataFrame, events: DataFrame, keys: list[str]) -> Data
 
 
 def quote_links(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, level, source): which earlier turn each quoted level of a message comes from."""
+    """(conv_id, turn, level, source): which earlier turn each quoted level of a message comes from.
+
+    Rows of equal conv_id and turn are parts of one message.
+    """
     rows = messages.where("conv_id IS NOT NULL AND turn IS NOT NULL AND text IS NOT NULL")
     quoting = rows.where(F.col("text").rlike(r"(?m)" + MARKS))
-    units = _with_passages(quoting).select("conv_id", "turn", F.explode("units").alias("unit"))
+    # An outer explode: Spark derives a filter from an inner one and would cut up all texts to apply it.
+    units = _with_passages(quoting).select("conv_id", "turn", F.explode_outer("units").alias("unit"))
     units = units.select("conv_id", "turn", F.col("unit.level").alias("level"), F.xxhash64("unit.text").alias("hash"))
-    quoted = units.where("level > 0").distinct()
+    quoted = stored(units.where("level > 0").distinct(), "quoted")
     # Only conversations with quotes, and of these only passages that are quoted.
     own = rows.join(quoted.select("conv_id").distinct(), "conv_id", "left_semi")
-    own = _with_passages(own).select("conv_id", "turn", F.explode("units").alias("unit"))
+    own = _with_passages(own).select("conv_id", "turn", F.explode_outer("units").alias("unit"))
     own = own.where("unit.level = 0").select("conv_id", "turn", F.xxhash64("unit.text").alias("hash"))
     own = own.join(quoted.select("conv_id", "hash").distinct(), ["conv_id", "hash"], "left_semi")
+    own = stored(own, "quoted-from")
     linked = _latest_before(quoted, own, ["conv_id", "hash"]).where("before IS NOT NULL")
     return linked.groupBy("conv_id", "turn", "level").agg(F.max("before").alias("source"))
 
@@ -124,7 +129,8 @@ def reply_ordered(conversations: DataFrame) -> DataFrame:
 
     Returns conv_id, position (from 0), turn, role, text, reply_to (a turn, null for
     the first), quoted (turns quoted, by level) and formatted. The order is that of
-    turns, which replies follow; equal turns go by role and text. Null conv_id or
+    turns, which replies follow; equal turns are parts of one message, go by role and
+    text, and share their links. Null conv_id or
     turn: the message comes out without position or links. A null text stays null.
     Repeated rows come out as often; further columns play no part.
     """
