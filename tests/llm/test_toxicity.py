@@ -1,0 +1,94 @@
+import zlib
+
+import numpy as np
+import pytest
+from llm_helpers import ODD, documents, spoken
+from pyspark.sql import functions as F
+
+from tellerbook.llm.toxicity import BUCKETS, RUNS, Model, Text, _Bags, fit, held_out, score, toxicity, train
+
+BAD = ["grumblefex", "snarkwolt", "vilepotch"]
+MISSPELT = ["grumblefexx", "gruumblefex", "snarkwolts", "snarkwollt", "vilepotche", "xvilepotch"]
+
+
+def made(random, n, words=BAD):
+    texts, labels = [], []
+    for i in range(n):
+        text = spoken(random, int(random.integers(5, 150)), 150)
+        if i % 4 == 0:
+            text.insert(int(random.integers(0, len(text))), str(random.choice(words)))
+        texts.append(" ".join(text))
+        labels.append(int(i % 4 == 0))
+    return texts, labels
+
+
+@pytest.fixture(scope="module")
+def model():
+    return train(*made(np.random.default_rng(1), 400))
+
+
+def test_held_out_accuracy(model):
+    texts, labels = made(np.random.default_rng(2), 400)
+    assert ((model.scores(texts) >= 0.7).astype(int) == labels).mean() > 0.99
+
+
+def test_unseen_misspellings(model):
+    texts, labels = made(np.random.default_rng(3), 400, MISSPELT)
+    found = (model.scores(texts) >= 0.7).astype(int)
+    assert ((found == 1) & (np.array(labels) == 1)).sum() > 90 and ((found == 1) & (np.array(labels) == 0)).sum() < 3
+
+
+def test_a_long_text_does_not_dilute(model):
+    clean = " ".join(spoken(np.random.default_rng(4), 30_000, 150))
+    plain, toxic = model.scores([clean, f"{clean} snarkwolt {clean}"])
+    assert plain < 0.7 <= toxic
+
+
+def test_scores_equal_word_by_word_sums():
+    random = np.random.default_rng(5)
+    model = Model(random.normal(size=BUCKETS).astype(np.float32), 0.3)
+    texts = ["Ab cde\tfghij  x", "", None, " \n", "éé 😀 " * 50, "z" * 700_000, "a b"]
+    bags = _Bags([t for t in texts if t and t.split()])
+    logits = 0.3 + 6.0 * bags.averages(model.buckets[bags.used][:, None])[:, 0]
+    worst = iter(logits[bags.word[bags.worst(logits)]])
+    want = [1 / (1 + np.exp(-np.clip(next(worst), -40, 40))) if t and t.split() else 0.0 for t in texts]
+    assert np.allclose(model.scores(texts), want, atol=1e-4)
+
+
+def test_runs_of_a_word():
+    own = Text(["abc de"])
+    assert [own.run_counts(k).tolist() for k in RUNS] == [[3, 2], [2, 1], [1, 0]]
+    assert Text(["xabcx"]).run_buckets(3)[2] == Text(["abc"]).run_buckets(3)[1]
+
+
+def test_tables(spark, random):
+    texts, marks = made(random, 90)
+    frame = documents(spark, texts + ODD)
+    labels = spark.createDataFrame([(i, m, "x") for i, m in enumerate(marks)], "doc_id long, toxic int, lang string")
+    rows = toxicity(frame, labels).collect()
+    assert len(rows) == len(texts) + len(ODD)
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)
+
+
+def test_held_out_labels_are_not_learnt(spark, random):
+    texts, marks = made(random, 60)
+    frame = documents(spark, texts)
+    labels = spark.createDataFrame(list(enumerate(marks)), "doc_id long, toxic int")
+    turned = labels.withColumn("toxic", F.when(held_out("doc_id"), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert (fit(frame, labels).buckets == fit(frame, turned).buckets).all()
+
+
+def test_empty_tables_and_one_class(spark):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert toxicity(documents(spark, []), none).collect() == []
+    labels = spark.createDataFrame([(0, 0), (1, 0), (2, None), (None, 1)], "doc_id long, toxic int")
+    rows = toxicity(documents(spark, ["a b", "c", "d", None], extra=True), labels).collect()
+    assert len(rows) == 4 and all(r.predicted == 0 for r in rows)
+
+
+def test_columns_stay(spark):
+    frame = documents(spark, ["a", None], extra=True)
+    out = score(frame, Model(np.zeros(BUCKETS, np.float32), 0.0))
+    assert out.columns == [*(c for c in frame.columns if c != "score"), "score", "predicted"] and out.count() == 2
