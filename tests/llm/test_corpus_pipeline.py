@@ -13,8 +13,8 @@ from tellerbook.llm.store import stored
 def folder_of(spark, random, tmp_path):
     """Documents with toxic words, copies and cards, and the labels of some."""
     texts = []
-    for i in range(60):
-        words = spoken(random, int(random.integers(20, 120)))
+    for i in range(120):
+        words = spoken(random, int(random.integers(20, 120)), 60)
         if i % 5 == 0:
             words[3] = "snarkwolt"
         if i % 7 == 0:
@@ -24,14 +24,14 @@ def folder_of(spark, random, tmp_path):
     frame = documents(spark, texts, extra=True)
     frame = frame.union(frame.where("doc_id IN (3, 5)"))
     frame.write.parquet(f"{tmp_path}/documents.parquet")
-    labels = [(i, 1, int(i % 5 == 0)) for i in range(50)]
+    labels = [(i, 1, int(i % 5 == 0)) for i in range(110)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     return str(tmp_path)
 
 
 def test_each_stage_takes_effect(spark, folder_of):
     docs = spark.read.parquet(f"{folder_of}/documents.parquet")
-    before, columns = docs, docs.columns
+    columns = docs.columns
     seen = {}
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, folder_of)
@@ -41,18 +41,17 @@ def test_each_stage_takes_effect(spark, folder_of):
         seen[name] = docs
 
     ids = {name: sorted(r.doc_id for r in seen[name].select("doc_id").collect()) for name in seen}
-    toxic = set(range(0, 60, 5))
-    assert set(range(60)) - set(ids["toxicity"]) == toxic
+    toxic = set(range(0, 120, 5))
+    assert set(range(120)) - set(ids["toxicity"]) == toxic
     classes = near_duplicates(seen["toxicity"], 80).where("kept").select("doc_id").distinct()
     assert ids["near_dedup"] == sorted(r.doc_id for r in classes.collect())
-    assert {60, 61}.isdisjoint(ids["near_dedup"]) and ids["near_dedup"].count(3) == 1
+    assert {120, 121}.isdisjoint(ids["near_dedup"]) and ids["near_dedup"].count(3) == 1
     want = pseudonymise(seen["near_dedup"], corpus_pipeline.KEY).select(*columns)
     assert sorted(map(str, want.collect())) == sorted(map(str, seen["pii"].collect()))
     assert seen["pii"].where("text LIKE '%4539578763621486%'").count() == 0
     taken = {r.doc_id: r.taken for r in mix_plan(seen["pii"]).collect()}
     assert set(ids["mixing"]) == {k for k, n in taken.items() if n}
     assert ids["packing"] and set(ids["packing"]) == set(ids["mixing"])
-    del before
 
 
 def test_the_registered_pipeline_is_the_stages(spark, folder_of):
