@@ -16,6 +16,7 @@ from tellerbook.operators.quality import (
     check_unique,
     gate,
     observe_row_checks,
+    run_row_checks,
     silver_checks,
 )
 from tellerbook.operators.silver import build_silver
@@ -141,13 +142,15 @@ def refresh_gold_dates(
     silver_root: str,
     gold_root: str,
     threshold: float = HIGH_VALUE_THRESHOLD,
+    checks: Sequence[RowCheck] | None = None,
 ) -> list[date | None]:
     """Bring stored silver and gold up to date with new bronze rows.
 
     Equals a full rebuild, but reads whole rows only of the dates concerned:
     those the new versions fall on and those their earlier versions leave.
     Stored silver is searched by id over two narrow columns. Ids are unique on
-    both sides of every join. Returns the dates rewritten.
+    both sides of every join. Returns the dates rewritten. Nothing is replaced if
+    a check fails on the rows that would be written.
 
     The order is: stage, gold, silver. Until silver is replaced, running the
     same rows again finds the same work, so an interrupted run is repeated.
@@ -193,6 +196,11 @@ def refresh_gold_dates(
     kept.unionByName(winners).write.parquet(f"{work}/staged")
     staged = spark.read.schema(stored.schema).parquet(f"{work}/staged")
 
+    # The gate stands before anything is replaced. Ids are unique by construction.
+    checks = silver_checks() if checks is None else checks
+    if checks:
+        gate(tuple(r) for r in run_row_checks(staged, checks).collect())
+
     filled = set(_dates(staged))
     emptied = [d for d in dates if d not in filled]
     _replace_dates(gold_account_summary(staged, unique_ids=True), gold_path, emptied)

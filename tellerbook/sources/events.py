@@ -38,12 +38,12 @@ def read_event_stream(
     path: str,
     max_files: int | None = None,
     max_bytes: int | None = None,
-    max_file_age: str = "3650d",
+    max_file_age: str = "1000000d",
 ) -> DataFrame:
     """JSON lines landing in a folder, at most so many files, or bytes, a trigger.
 
-    Spark skips files older than ``max_file_age`` before the newest one seen. Its
-    own default of a week would lose backfilled files that keep their dates.
+    Spark skips files older than ``max_file_age`` before the newest one seen. The
+    default here is an age that no file can reach, so none is lost.
     """
     reader = spark.readStream.format("text").option("maxFileAge", max_file_age)
     if max_files:
@@ -58,15 +58,27 @@ def _decode(line: Column) -> Column:
 
     The line is parsed inside an envelope, as the only element of a list:
     whatever follows the first object then breaks the envelope or makes the
-    list longer, instead of being skipped silently.
+    list longer, instead of being skipped silently. The envelope ends in the
+    line's digest, which a line that closes the envelope itself cannot know.
     """
     return F.from_json(
-        F.concat(F.lit('{"messages":['), line, F.lit('],"whole":true}')),
-        f"struct<messages:array<{_MESSAGE}>,whole:boolean,broken:string>",
+        _envelope(line),
+        f"struct<messages:array<{_MESSAGE}>,whole:string,broken:string>",
         {"columnNameOfCorruptRecord": "broken", "allowSingleQuotes": "false"},
     )
 
 
+def _envelope(line: Column) -> Column:
+    return F.concat(F.lit('{"messages":['), line, F.lit('],"whole":"'), F.sha2(line, 256), F.lit('"}'))
+
+
+def _closes_envelope(line: Column) -> Column:
+    """True for a line that ends the list early; only a line with a bracket can."""
+    keys = F.json_object_keys(_envelope(line))
+    whole = F.coalesce(keys == F.array(F.lit("messages"), F.lit("whole")), F.lit(False))
+    return F.contains(line, F.lit("]")) & ~whole
+
+
 def _number(text: Column) -> Column:
     """Text as a number; the suffixes d and f of other languages make it none."""
     return F.when(~text.rlike(r"[dDfF]\s*$"), text.try_cast("double"))
@@ -91,7 +103,9 @@ def parse_events(lines: DataFrame, missing_text: str | None = None) -> DataFrame
     message = F.get("_doc.messages", F.lit(0))
     broken = (
         F.col("_doc.broken").isNotNull()
-        | F.col("_doc.whole").isNull()
+        | ~F.col("_doc.whole").eqNullSafe(F.sha2("value", 256))
+        | _closes_envelope(F.col("value"))
+        | ~F.is_valid_utf8("value")
         | message.isNull()
         | (F.size("_doc.messages") != 1)
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,13 +10,14 @@ from tellerbook.sources.bronze import append_bronze, ensure_bronze
 from tellerbook.sources.events import parse_events, read_event_stream
 
 
-def ingest_name(checkpoint: str) -> str:
-    """Name of the ingest a checkpoint stands for.
+def ingest_name(batch: DataFrame) -> str:
+    """Name of the ingest that a batch belongs to: the id of its query.
 
-    Batch numbers restart with a new checkpoint; naming the folder after it
-    keeps a replay from a fresh checkpoint beside the earlier batches.
+    Spark keeps the id in the checkpoint. Batch numbers restart with a new
+    checkpoint, even one at the path of an old one; under a new id its batches
+    lie beside the earlier ones.
     """
-    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
 def write_bronze_stream(
@@ -35,10 +34,8 @@ def write_bronze_stream(
     once; a repeated batch overwrites its own folder. Without ``every`` the
     query takes what is there and stops.
     """
-    ingest = ingest_name(checkpoint)
-
     def land(batch: DataFrame, batch_id: int) -> None:
-        append_bronze(batch, root, batch_id, ingest, rebalance, file_format)
+        append_bronze(batch, root, batch_id, ingest_name(batch), rebalance, file_format)
 
     # Constant within a batch and the same when the batch is replayed.
     stamped = parsed.withColumn("ingested_at", F.current_timestamp())

@@ -1,4 +1,7 @@
+import json
+import os
 from datetime import UTC, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from helpers import event, event_rows, gold_by_hand, lands, parsed, rows, without
@@ -18,7 +21,7 @@ from tellerbook.sources.bronze import (
     read_quarantine,
     refresh_bronze_table,
 )
-from tellerbook.streaming.ingest import ingest_name, run_ingest
+from tellerbook.streaming.ingest import run_ingest
 
 FIELDS = EVENT.fieldNames()
 
@@ -228,8 +231,27 @@ def test_fresh_checkpoint_adds_beside_the_old_batches(spark, folder):
     log = read_bronze(spark, f"{folder}/bronze")
     assert log.count() == 5
     assert build_silver(log).count() == 3
-    names = {ingest_name(f"{folder}/{c}") for c in ("first", "second")}
-    assert {r.ingest for r in log.collect()} == names
+    ids = {json.loads(Path(folder, c, "metadata").read_text())["id"] for c in ("first", "second")}
+    assert {r.ingest for r in log.collect()} == ids
+
+
+def test_a_new_checkpoint_at_an_old_path_overwrites_nothing(spark, folder):
+    lands(f"{folder}/landing", "0.json", [event(str(i)) for i in range(5)])
+    ingest(spark, folder)
+    Path(folder, "c").rename(Path(folder, "lost"))
+    Path(folder, "landing", "0.json").rename(Path(folder, "expired.json"))
+    lands(f"{folder}/landing", "1.json", [event("new")])
+    ingest(spark, folder)
+    assert [r[0] for r in stored(spark, f"{folder}/bronze")] == ["0", "1", "2", "3", "4", "new"]
+
+
+def test_a_file_of_any_age_arrives(spark, folder):
+    lands(f"{folder}/landing", "0.json", [event("a")])
+    ingest(spark, folder)
+    lands(f"{folder}/landing", "1.json", [event("b")])
+    os.utime(Path(folder, "landing", "1.json"), (1_000, 1_000))
+    ingest(spark, folder)
+    assert [r[0] for r in stored(spark, f"{folder}/bronze")] == ["a", "b"]
 
 
 def test_missing_text_mode(spark, folder):

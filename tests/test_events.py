@@ -82,6 +82,11 @@ def test_line_outcome(spark, item, reason, amount):
         json.dumps(event()) + ', "amount": 1',
         json.dumps(event()) + ', "x": {}',
         json.dumps(event()).replace('"', "'"),
+        json.dumps(event()) + '],"x":[1',
+        json.dumps(event()) + '],"whole":true,"y":[{"z":1}',
+        json.dumps(event()) + '],"whole":true} junk',
+        '{"transaction_id":"lost"}],"messages":[' + json.dumps(event()),
+        json.dumps(event()) + '],"messages":[' + json.dumps(event("b")),
     ],
 )
 def test_malformed_lines_are_kept_whole(spark, text):
@@ -90,6 +95,16 @@ def test_malformed_lines_are_kept_whole(spark, text):
     assert accepted(frame).count() == 0
 
 
+def test_text_that_is_not_utf8_is_rejected(spark):
+    raw = json.dumps(event(sender_account="341-?8765")).encode().replace(b"?", b"\xff")
+    frame = spark.createDataFrame([(bytearray(raw),)], "raw binary").selectExpr("CAST(raw AS string) AS value")
+    assert [r.reason for r in quarantined(parse_events(frame)).collect()] == ["malformed"]
+
+
+def test_brackets_inside_a_line_are_no_fault(spark):
+    assert outcome(spark, event(sender_account="a]}") | {"list": [1, [2]]}) == (None, 100.0)
+
+
 def test_no_line_is_lost(spark):
     items = [event(str(i)) for i in range(5)] + ["junk", event(amount=None)]
     frame = parsed(spark, items)

@@ -38,8 +38,10 @@ class Book:
             F.col("batch_id") == self.batches - 1
         )
 
-    def refresh(self):
-        return pipeline.refresh_gold_dates(self.spark, self.fresh(), self.silver, self.gold)
+    def refresh(self, **options):
+        return pipeline.refresh_gold_dates(
+            self.spark, self.fresh(), self.silver, self.gold, **options
+        )
 
     def gold_rows(self):
         return rows(pipeline.read_gold(self.spark, self.gold))
@@ -171,7 +173,7 @@ def test_refresh_with_rows_without_a_time(book):
     book.append([event("a", "None"), event("b")])
     book.rebuild(checks=[])
     book.append([event("a"), event("c", "None")])
-    assert book.refresh() == [date(2026, 7, 7), None]
+    assert book.refresh(checks=[]) == [date(2026, 7, 7), None]
     seen = {(r[0], r[3]) for r in book.gold_rows()}
     assert seen == {(date(2026, 7, 7), 2), (None, 1)}
     book.append([event("c")])
@@ -249,3 +251,13 @@ def test_backfill_of_an_outage(spark, folder, book):
     before = book.gold_rows()
     book.rebuild()
     assert book.gold_rows() == before
+
+
+def test_the_gate_stands_before_a_refresh(spark, book):
+    book.append([event("a"), event("b", "2026-07-08T12:00:00")])
+    book.rebuild()
+    silver, gold = book.silver_rows(), book.gold_rows()
+    book.append([event("c", amount=float("inf"))])
+    with pytest.raises(QualityError):
+        book.refresh()
+    assert (book.silver_rows(), book.gold_rows()) == (silver, gold)
