@@ -30,10 +30,11 @@ def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def seeded(seed: int, *columns: str) -> Column:
-    """A non-negative long from a hash of the seed and the columns' text."""
+def seeded(seed: int, *columns: str, part: int = 1) -> Column:
+    """A non-negative long from a hash of the seed and the columns' text; each hash has parts 1 and 16."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns]
-    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *parts)), 1, 15), 16, 10).cast("long")
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
+    return F.conv(F.substring(digest, part, 15), 16, 10).cast("long")
 
 
 def apportion(parties: DataFrame, group: Sequence[str], name: str, votes: str, seats: str) -> DataFrame:
@@ -116,7 +117,7 @@ def mix_plan(
     placed = (
         rows.join(named, F.col("source").eqNullSafe(F.col("_s")))
         .withColumn("_h", order)
-        .withColumn("shard", F.pmod(F.xxhash64("_h"), "shards"))
+        .withColumn("shard", F.pmod(seeded(seed, "doc_id", part=16), "shards"))
         .select("doc_id", "source", "size", "source_size", "target", "quota", "_h", "shard")
     )
     lots = placed.groupBy("source", "shard", F.col("quota").alias("seats")).agg(F.sum("size").alias("words"))
@@ -133,7 +134,7 @@ def mix_plan(
     at = (
         at.withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("words") / block)).cast("long"))
         .withColumn("picks", F.least("blocks", F.round(rest / block)).cast("long"))
-        .withColumn("turn", F.pmod(F.xxhash64("source", "shard", F.lit(seed)), "blocks"))
+        .withColumn("turn", F.pmod(seeded(seed, "source", "shard"), "blocks"))
     )
     taken = F.col("passes") * F.col("size") + (words_before("start + size", block) - words_before("start", block))
     return at.select(

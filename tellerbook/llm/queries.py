@@ -73,5 +73,107 @@ def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in found}
 
 
+_NEAR_DOCUMENTS = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * shared.n >= 85 * (p.n + q.n - shared.n)),
+reached(a, b) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a)
+SELECT a AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(b) AS component_id, min(b) = a AS kept
+FROM reached LEFT JOIN sizes ON doc_id = a GROUP BY a
+"""
+
+_MIX = r"""
+WITH sizes AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5(concat_ws(':', '17', coalesce(CAST(doc_id AS VARCHAR), chr(0)))) AS d
+  FROM documents),
+plain AS (
+  SELECT source, sum(size)::BIGINT AS source_size, least(4096, ceil(count(*) / 512))::BIGINT AS shards,
+         [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight
+  FROM sizes GROUP BY source),
+levels AS (
+  SELECT *, 2.0::DOUBLE * source_size AS most,
+    (1.5::DOUBLE * sum(source_size) OVER ()
+     - coalesce(sum(2.0::DOUBLE * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM plain WINDOW o AS (ORDER BY 2.0::DOUBLE * source_size / weight, source NULLS LAST)),
+targets AS (
+  SELECT source, source_size, shards,
+    least(most, coalesce(max(CASE WHEN most / weight > level THEN level END) OVER () * weight, most)) AS target
+  FROM levels),
+seats AS (SELECT round(sum(target) / 64)::BIGINT AS n FROM targets),
+quotients AS (
+  SELECT source, row_number() OVER (ORDER BY target / (2 * s + 1) DESC, source NULLS LAST, s) AS place
+  FROM targets, seats, generate_series(0, seats.n) AS g(s) WHERE target > 0),
+quotas AS (SELECT source, count(*) AS quota FROM quotients, seats WHERE place <= n GROUP BY source),
+placed AS (
+  SELECT z.*, t.source_size, t.target, coalesce(q.quota, 0) AS quota, ('0x' || substr(d, 1, 15))::BIGINT AS h,
+         ('0x' || substr(d, 16, 15))::BIGINT % t.shards AS shard
+  FROM sizes z JOIN targets t ON z.source IS NOT DISTINCT FROM t.source
+  LEFT JOIN quotas q ON z.source IS NOT DISTINCT FROM q.source),
+shard_sizes AS (
+  SELECT source, shard, any_value(quota) AS quota, sum(size)::BIGINT AS words FROM placed GROUP BY source, shard),
+shares AS (
+  SELECT source, shard, quota,
+    row_number() OVER (PARTITION BY source ORDER BY words::DOUBLE / (2 * s + 1) DESC, shard, s) AS place
+  FROM (SELECT *, unnest(generate_series(0, quota)) AS s FROM shard_sizes WHERE words > 0)),
+lots AS (SELECT source, shard, count(*) AS lot FROM shares WHERE place <= quota GROUP BY source, shard),
+due AS (
+  SELECT w.*, least(coalesce(lot, 0) * 64, 2 * words) AS due,
+    greatest(1, ceil(words / 64))::BIGINT AS blocks,
+    ('0x' || substr(md5(concat_ws(':', '17', coalesce(w.source, chr(0)), w.shard)), 1, 15))::BIGINT
+      % greatest(1, ceil(words / 64))::BIGINT AS turn
+  FROM shard_sizes w
+  LEFT JOIN lots l ON w.source IS NOT DISTINCT FROM l.source AND w.shard = l.shard),
+picked AS (
+  SELECT *, CASE WHEN words > 0 THEN due // words ELSE 0 END AS passes,
+    least(blocks, round(CASE WHEN words > 0 THEN due % words ELSE 0 END / 64))::BIGINT AS picks
+  FROM due),
+spans AS (
+  SELECT p.doc_id, p.size, p.source_size, p.target, k.passes, k.picks, k.blocks, k.turn,
+    sum(p.size) OVER (PARTITION BY p.source, p.shard ORDER BY p.h, p.doc_id, p.size ROWS UNBOUNDED PRECEDING)::BIGINT
+      AS last
+  FROM placed p JOIN picked k ON p.source IS NOT DISTINCT FROM k.source AND p.shard = k.shard),
+ends AS (
+  SELECT *, last - size AS first, (last // 64 + turn) * picks // blocks AS l0, (last // 64 + 1 + turn) * picks // blocks AS l1,
+    ((last - size) // 64 + turn) * picks // blocks AS f0, ((last - size) // 64 + 1 + turn) * picks // blocks AS f1
+  FROM spans)
+SELECT doc_id, size, source_size, target,
+  passes * size + (64 * l0 + last % 64 * (l1 - l0)) - (64 * f0 + first % 64 * (f1 - f0)) AS taken
+FROM ends
+"""
+
+_NEAR_VECTORS = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b
+  FROM good x JOIN good y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.98),
+reached(a, b) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT r.a AS vec_id, coalesce(any_value(n), 0) AS n_links, min(r.b) AS component_id, min(r.b) = r.a AS kept
+FROM reached r LEFT JOIN counted c ON c.a = r.a GROUP BY r.a
+"""
+
+
 def llm_oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB twins where SQL can express the whole query."""
+    return {"op1_near_dedup": _NEAR_DOCUMENTS, "op4_mixing": _MIX, "op10_vector_dedup": _NEAR_VECTORS}
