@@ -317,6 +317,29 @@ def q_gold_refresh_dates(spark: SparkSession, folder: str) -> DataFrame:
     return read_gold(spark, gold)
 
 
+def q_gate_closed(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch with endless amounts reaches gold neither by refresh nor by rebuild."""
+    root = working_folder(spark, "gate")
+    bronze, silver, gold = f"{root}/bronze", f"{root}/silver", f"{root}/gold"
+    events = click_events(spark, folder)
+    append_bronze(events, bronze, 0)
+    run_pipeline(spark, bronze, silver, gold, CLICK_THRESHOLD)
+    bad = events.withColumn("amount", F.lit(float("inf")))
+    own_ids = F.concat(F.lit("bad-"), "transaction_id")
+    append_bronze(bad.withColumn("transaction_id", own_ids), bronze, 1)
+    fresh = read_bronze(spark, bronze).where(F.col("batch_id") > 0)
+    for attempt in (
+        lambda: refresh_gold_dates(spark, fresh, silver, gold, CLICK_THRESHOLD),
+        lambda: run_pipeline(spark, bronze, silver, gold, CLICK_THRESHOLD),
+    ):
+        try:
+            attempt()
+        except quality.QualityError:
+            continue
+        raise AssertionError("the gate stayed open")
+    return read_gold(spark, gold)
+
+
 # Streams
 
 
@@ -668,6 +691,7 @@ UNION ALL SELECT 1, o_orderstatus, count(*) FROM orders GROUP BY o_orderstatus""
 SELECT * FROM ({_CLICK_GOLD})
 WHERE date_transaction BETWEEN DATE '{GAP[0]}' AND DATE '{GAP[1]}'""",
         "gold_after_backfill": _CLICK_GOLD,
+        "gate_closed": _CLICK_GOLD,
         "gold_refresh_dates": _gold_sql(
             _silver_sql(f"{_CLICKS} UNION ALL {_CORRECTIONS}", 100)
         ),

@@ -10,7 +10,8 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 # Settings the jobs are written for. On a cluster pass the same ones to
-# spark-submit; the shuffle partition count is only AQE's starting point.
+# spark-submit, and size spark.sql.shuffle.partitions to the data: adaptive
+# execution merges partitions, but adds none to an exchange that groups by key.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
