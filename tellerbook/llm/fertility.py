@@ -3,9 +3,11 @@
 A public vocabulary measures each text: characters per token, the share of tokens
 that are raw bytes (white space apart), and the entropy of the tokens, as a share of
 the highest possible for so many tokens. Bands come from the quartiles over all
-documents that pass the base rules, by language and by length (each doubling of the
-number of tokens is a class of its own, as short texts vary more and entropy depends
-on length). A document outside a band is rejected.
+distinct texts that pass the base rules, by language and by length (each doubling of
+the number of tokens is a class of its own, as short texts vary more and entropy
+depends on length). A document outside a band is rejected. Exact copies count as one
+text, near copies as a few: a text stands for those of its class with which it shares
+one of ``ORDERS`` least hashes of its windows, one order after the other.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellerbook.llm.store import need_columns, stored
-from tellerbook.llm.words import chunks, windows, word_hashes
+from tellerbook.llm.words import chunks, mix, windows, word_hashes
 
 WINDOW = 5
 #: A band's ends lie WIDTH times as far from the median as the quartile on that side.
@@ -34,12 +36,15 @@ SCRIPTS = (
     (0x1E00, "Latin"), (0x1F00, "Greek"), (0x2000, "other"), (0x3040, "Kana"), (0x3100, "other"),
     (0x3400, "Han"), (0xA000, "other"), (0xAC00, "Hangul"), (0xD7B0, "other"),
 )
+#: Orders of the windows, by whose least ones near copies are found (fixed values).
+ORDERS = mix(np.arange(2001, 2005, dtype=np.uint64))
 _FIRST = np.array([a for a, _ in SCRIPTS], np.uint32)
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 KINDS = (
     "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-    "n_repeat_words long, n_tokens long, chars_per_token double, byte_share double, entropy double"
+    "n_repeat_words long, n_tokens long, chars_per_token double, byte_share double, entropy double, "
+    "least array<long>"
 )
 
 
@@ -62,16 +67,20 @@ def _pieces(path: str):
     return found, raw
 
 
-def repeated_words(hashes: np.ndarray) -> int:
+def least(own: np.ndarray) -> list[int]:
+    """The least of a text's windows in each order; those of near copies are mostly equal."""
+    return [int(mix(own ^ order).min().view(np.int64)) for order in ORDERS] if len(own) else []
+
+
+def repeated_words(own: np.ndarray) -> int:
     """Words inside windows of five that occur twice or more, the first ones included."""
-    own = windows(hashes, WINDOW)
     if not len(own):
         return 0
     _, back, counts = np.unique(own, return_inverse=True, return_counts=True)
     twice = np.flatnonzero(counts[back] > 1)
     if not len(twice):
         return 0
-    edge = np.zeros(len(hashes) + 1, np.int64)
+    edge = np.zeros(len(own) + WINDOW, np.int64)
     np.add.at(edge, twice, 1)
     np.add.at(edge, twice + WINDOW, -1)
     return int((np.cumsum(edge) > 0).sum())
@@ -125,6 +134,7 @@ def _measure(vocabulary: str | None):
                 tokens = [_measured(ids, int(c), raw) for ids, c in zip(pieces.encode(whole, num_threads=1), chars, strict=True)]
                 langs = batch.column(2).slice(at, n).to_pylist()
                 columns = list(zip(*tokens, strict=True))
+                owns = [windows(hashes[a:b], WINDOW) for a, b in zip(first[:-1], first[1:], strict=True)]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": batch.column(0).slice(at, n),
@@ -133,11 +143,10 @@ def _measure(vocabulary: str | None):
                         "word_chars": words,
                         "n_symbols": symbols,
                         "n_dup_lines": np.array([repeated_lines(t) for t in texts], np.int64),
-                        "n_repeat_words": np.array(
-                            [repeated_words(hashes[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)], np.int64
-                        ),
+                        "n_repeat_words": np.array([repeated_words(own) for own in owns], np.int64),
                         "n_tokens": np.array(columns[0], np.int64),
                         **{m: pa.array(c, pa.float64()) for m, c in zip(MEASURES, columns[1:], strict=True)},
+                        "least": pa.array([least(own) for own in owns], pa.list_(pa.int64())),
                     }
                 )
 
@@ -152,6 +161,21 @@ def _outside(measure: str) -> Column:
     return (F.col(measure) < middle - below) | (F.col(measure) > middle + above)
 
 
+def _distinct(measured: DataFrame) -> DataFrame:
+    """One row of each group of copies in a class, by one order after the other.
+
+    A near copy stays only if it has a least window of its own in every order. Each
+    step is an aggregate by class and hash, so copies of a text meet in the tasks
+    that hold them, before any exchange.
+    """
+    chosen = measured.where("NOT base_failed")
+    for k in range(len(ORDERS)):
+        own = F.struct(F.xxhash64("least", *MEASURES).alias("h"), "least", *MEASURES)
+        chosen = chosen.groupBy("lang", "doubling", F.col("least")[k].alias("_least")).agg(F.min(own).alias("own"))
+        chosen = chosen.select("lang", "doubling", "own.least", *[f"own.{m}" for m in MEASURES])
+    return chosen
+
+
 def quality_rules(documents: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """The base counts, tokeniser measures and the verdict on every document.
 
@@ -167,7 +191,7 @@ def quality_rules(documents: DataFrame, vocabulary: str | None = None) -> DataFr
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     measured = measured.withColumn("base_failed", failed)
     measured = measured.withColumn("doubling", F.floor(F.log2(F.greatest(F.lit(1), F.col("n_tokens")))))
-    bands = measured.where("NOT base_failed").groupBy("lang", "doubling").agg(
+    bands = _distinct(measured).groupBy("lang", "doubling").agg(
         *[F.percentile_approx(m, list(QUANTILES), 10_000).alias(f"{m}_band") for m in MEASURES]
     )
     joined = measured.join(bands, ["lang", "doubling"], "left")

@@ -73,3 +73,21 @@ def test_measures_equal_the_tokenizer(judged, spark):
 def test_scripts():
     assert script("привет мир") == "script: Cyrillic" and script("hello 你") == "script: Latin"
     assert script("12 %") == "script: none"
+
+
+@pytest.mark.parametrize("near", [False, True])
+def test_copies_of_one_text_do_not_narrow_the_bands(spark, random, near):
+    """Two thirds of the rows are copies of one text; near copies have one word of their own."""
+    short = "the of and to in is was for that with from this have are not but they his her she".split()
+    long = "parliament information government understanding university department international development".split()
+
+    def text(share, i):
+        pick = [long if random.random() < share else short for _ in range(60)]
+        return " ".join(p[int(random.integers(0, len(p)))] for p in pick) + f" number {i}"
+
+    own = [text(i / 120, i) for i in range(120)]
+    copied = own[0].split()
+    copies = [" ".join([*copied[:k], f"y{i}", *copied[k + 1 :]]) if near else own[0] for i in range(240) for k in [i % 100]]
+    alone = {r.doc_id for r in quality_rules(documents(spark, own)).collect() if r.kept}
+    found = {r.doc_id for r in quality_rules(documents(spark, own + copies)).collect() if r.kept}
+    assert len(alone) > 100 and alone <= found
