@@ -11,6 +11,7 @@ wastes less than one sequence.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,6 +30,10 @@ LOT = 512
 LINEAR, QUADRATIC = 1.0, 1 / 1024
 #: The pattern that splits text before the merges of the rank file (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: White space of PATTERN. The matcher keeps a state for each character of a run, a million at most.
+SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+RUN = 100_000
+_LONG = re.compile(f"(?<!{SPACE}){SPACE}{{{RUN},}}+")
 
 
 @lru_cache(maxsize=2)
@@ -48,18 +53,36 @@ def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def token_ids(ranks: str, text: str) -> list[int]:
+    """The ids of a text of any length.
+
+    PATTERN makes one piece of a run of white space, without its last character if
+    text follows. Long runs are merged as that piece, apart from the matcher.
+    """
+    encode = encoder(ranks).encode_ordinary
+    if len(text) < RUN:
+        return encode(text)
+    ids, at = [], 0
+    for run in _LONG.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += encode(text[at : run.start()])
+        ids += encoder(ranks)._core_bpe.encode_single_piece(text[run.start() : end].encode())
+        at = end
+    return ids + encode(text[at:])
+
+
 def checksum(ids: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4").tobytes())
 
 
 def _encoded(ranks: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks or default_ranks()).encode_ordinary
+        path = ranks or default_ranks()
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
                 ids = [
-                    np.asarray([*encode(t or ""), 0], dtype="<u4") for t in part.column(1).to_pylist()
+                    np.asarray([*token_ids(path, t or ""), 0], dtype="<u4") for t in part.column(1).to_pylist()
                 ]
                 heads = [[checksum(x[s : s + LENGTH]) for s in range(0, len(x) - LENGTH + 1, LENGTH)] for x in ids]
                 tails = [x[len(h) * LENGTH :].tobytes() for x, h in zip(ids, heads, strict=True)]

@@ -1,3 +1,4 @@
+import re
 import zlib
 from collections import defaultdict
 
@@ -7,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tellerbook.llm.packing import LENGTH, default_ranks, encoder, pack, place
+from tellerbook.llm.packing import LENGTH, SPACE, default_ranks, encoder, pack, place, token_ids
 
 from llm_helpers import ODD, documents, spoken
 
@@ -78,3 +79,25 @@ def test_repeated_rows_and_empty_tables(spark):
     found = pack(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((p.doc_id or -1, p.length) for p in found) == [(-1, 2), (1, 3), (1, 3)]
     assert pack(documents(spark, [])).collect() == []
+
+
+LONG = [" " * 2_000_000 + "word", "a\n" + "\n" * 2_000_000, "x" + " \t" * 1_000_000 + "7" + "\u3000" * 300_000 + "!"]
+
+
+@pytest.mark.parametrize("i", range(len(LONG)))
+def test_long_runs_of_white_space(tokenizer, i):
+    assert token_ids(default_ranks(), LONG[i]) == tokenizer.encode(LONG[i], add_special_tokens=False).ids
+
+
+def test_a_document_with_a_long_run_is_packed(spark):
+    pieces = pack(documents(spark, [LONG[0], "a b"])).collect()
+    assert sum(p.length for p in pieces if p.doc_id == 0) == 2_000_001
+
+
+def test_runs_are_cut_where_the_pattern_cuts(tokenizer, monkeypatch):
+    """All short runs cut apart; characters that are white space only to Python stay in the matcher."""
+    monkeypatch.setattr("tellerbook.llm.packing.RUN", 3)
+    monkeypatch.setattr("tellerbook.llm.packing._LONG", re.compile(f"(?<!{SPACE}){SPACE}{{3,}}+"))
+    for c in [*map(chr, range(0x3100)), "\ufeff"]:
+        for text in (f"a  {c}  x", f"{c * 4}x", f"a{c * 5}", f" {c} \n!{c * 3}", f"q {c * 3} 's"):
+            assert token_ids(default_ranks(), text) == tokenizer.encode(text, add_special_tokens=False).ids
