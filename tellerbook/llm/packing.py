@@ -30,6 +30,8 @@ LOT = 512
 LINEAR, QUADRATIC = 1.0, 1 / 1024
 #: The pattern that splits text before the merges of the rank file (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The added token of byte_bpe_50k.json and its id, which no rank file holds (fixed values).
+ADDED, ADDED_ID = "<|endoftext|>", 50256
 #: White space of PATTERN. The matcher keeps a state for each character of a run, a million at most.
 SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 RUN = 100_000
@@ -38,7 +40,7 @@ _LONG = re.compile(f"(?<!{SPACE}){SPACE}{{{RUN},}}+")
 
 @lru_cache(maxsize=2)
 def encoder(ranks: str):
-    """The byte-level BPE of a rank file; special tokens in a text are ordinary text."""
+    """The byte-level BPE of a rank file, without added tokens."""
     import tiktoken
 
     with open(ranks, "rb") as lines:
@@ -56,10 +58,16 @@ def default_ranks() -> str:
 def token_ids(ranks: str, text: str) -> list[int]:
     """The ids of a text of any length.
 
-    PATTERN makes one piece of a run of white space, without its last character if
+    With the default rank file ADDED is one token, which parts the text around it, as
+    in the vocabulary's tokenizer. PATTERN makes one piece of a run of white space, without its last character if
     text follows. Long runs are merged as that piece, apart from the matcher.
     """
     encode = encoder(ranks).encode_ordinary
+    if ADDED in text and ranks == default_ranks():
+        ids = []
+        for part in text.split(ADDED):
+            ids += [*token_ids(ranks, part), ADDED_ID]
+        return ids[:-1]
     if len(text) < RUN:
         return encode(text)
     ids, at = [], 0
@@ -149,7 +157,8 @@ def pack(documents: DataFrame, ranks: str | None = None) -> DataFrame:
     Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset. A
     null or empty text is the end id alone. Repeated rows are documents of their
     own and null ids are allowed; an empty table gives no pieces. ``ranks`` is the
-    path of a rank file at every executor; by default the one of byte_bpe_50k.
+    path of a rank file at every executor; by default the one of byte_bpe_50k, whose
+    added token <|endoftext|> is one token in texts too. Other rank files add none.
     Further columns play no part.
     """
     rows = need_columns(documents, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")

@@ -101,3 +101,30 @@ def test_runs_are_cut_where_the_pattern_cuts(tokenizer, monkeypatch):
     for c in [*map(chr, range(0x3100)), "\ufeff"]:
         for text in (f"a  {c}  x", f"{c * 4}x", f"a{c * 5}", f" {c} \n!{c * 3}", f"q {c * 3} 's"):
             assert token_ids(default_ranks(), text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+END = "<|endoftext|>"
+WITH_END = [f"x{END}", f"a {END} b", END * 3, f"{END}\n\n{END} c", f"<|end{END}oftext|>", " " * 200_000 + END + "\n" * 200_000 + "d"]
+
+
+def test_the_added_token_is_one_token(spark):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = [whole.encode(t, add_special_tokens=False).ids for t in WITH_END]
+    assert [token_ids(default_ranks(), t) for t in WITH_END] == expected
+    assert expected[0] == [87, 50256]
+    found = {p.doc_id: p for p in pack(documents(spark, WITH_END[:2])).collect()}
+    for i in range(2):
+        ids = np.array([*expected[i], 0], "<u4")
+        assert (found[i].doc_tokens, found[i].ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.sampled_from([END, "a", " ", "\n", "<|", "|>", "endoftext", "é"]), max_size=30))
+def test_added_tokens_anywhere(parts):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    text = "".join(parts)
+    assert token_ids(default_ranks(), text) == whole.encode(text, add_special_tokens=False).ids
