@@ -15,14 +15,47 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 
+#: Characters of an IBAN by country (fixed values of the registry).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+MONTHS = (
+    "January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November",
+    "December",
+)
+_MONTH = "(?:" + "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in MONTHS) + "|Sept)"
+
+
+def _grouped_iban() -> str:
+    """IBANs in groups of four, of the length of their country: what follows is not taken for a group."""
+    forms = []
+    for n, lands in IBAN_LENGTHS.items():
+        rest = f"[ -][A-Z0-9]{{{n % 4}}}" if n % 4 else ""
+        forms.append(f"(?:{lands.replace(' ', '|')})[0-9]{{2}}(?:[ -][A-Z0-9]{{4}}){{{n // 4 - 1}}}{rest}")
+    return f"(?<![A-Za-z0-9])(?:{'|'.join(forms)})(?![A-Za-z0-9])"
+
+
 #: Fixed patterns of the candidates, in the order in which they are tried.
 KINDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "access_key": r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "hex_secret": r"(?i:(?<![a-z])(?:token|secret|password|api_?key) ?[=:] ?\"?)[0-9a-f]{12,64}(?![0-9A-Za-z])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
-    "iso_date": r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])",
-    "day_first_date": r"(?<![0-9./])[0-9]{2}(?:\.[0-9]{2}\.|/[0-9]{2}/)[0-9]{4}(?![0-9])",
+    "grouped_iban": _grouped_iban(),
+    "iso_date": (
+        r"(?<![0-9-])[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?![0-9-])|(?<![0-9/])[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}(?![0-9/])"
+    ),
+    "numeric_date": (
+        r"(?<![0-9./])[0-9]{1,2}(?:\.[0-9]{1,2}\.|/[0-9]{1,2}/)[0-9]{4}(?![0-9])"
+        r"|(?<![0-9./-])[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}(?![0-9-])"
+    ),
+    "named_date": (
+        rf"(?<![A-Za-z]){_MONTH}\.? [0-9]{{1,2}},? [0-9]{{4}}(?![0-9])"
+        rf"|(?<![0-9])[0-9]{{1,2}}\.? {_MONTH}\.?,? [0-9]{{4}}(?![0-9])"
+    ),
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": (
@@ -109,14 +142,14 @@ def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
 
-def _refilled(shape: Column, digits: Column) -> Column:
-    """The digits in the places of those of the shape, separators as they were."""
+def _refilled(shape: Column, chars: Column, place: str = "[0-9]") -> Column:
+    """The characters in the places of the shape's (its digits), separators as they were."""
 
-    def place(c: Column, i: Column) -> Column:
-        before = F.length(_digits(F.substring(shape, F.lit(1), i)))
-        return F.when(c.rlike("[0-9]"), F.substring(digits, before + 1, F.lit(1))).otherwise(c)
+    def put(c: Column, i: Column) -> Column:
+        before = F.length(F.regexp_replace(F.substring(shape, F.lit(1), i), f"[^{place[1:]}", ""))
+        return F.when(c.rlike(place), F.substring(chars, before + 1, F.lit(1))).otherwise(c)
 
-    return F.array_join(F.transform(F.split(shape, ""), place), "")
+    return F.array_join(F.transform(F.split(shape, ""), put), "")
 
 
 def _luhn_sum(digits: Column) -> Column:
@@ -155,32 +188,71 @@ def _mod97(text: Column) -> Column:
 
 
 def _iban(match: Column, key: str) -> Column:
-    land, account = F.substring(match, 1, 2), F.substring(match, F.lit(5), F.length(match))
-    valid = _mod97(F.concat(account, F.substring(match, 1, 4))) == 1
+    """Groups play no part in the value; a card number within a group of what is no IBAN is one."""
+    plain = F.regexp_replace(match, "[ -]", "")
+    land, account = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
+    valid = _mod97(F.concat(account, F.substring(plain, 1, 4))) == 1
 
     def checked(new: Column) -> Column:
         check = 98 - _mod97(F.concat(new, land, F.lit("00")))
         return F.concat(land, F.lpad(check.cast("string"), 2, "0"), new)
 
-    return F.when(valid, let(permuted_text(account, key, "iban", (DIGITS, UPPER)), checked))
+    new = let(let(permuted_text(account, key, "iban", (DIGITS, UPPER)), checked), lambda n: _refilled(match, n, "[A-Z0-9]"))
+    card = F.regexp_extract(match, KINDS["card"], 0)
+    before = F.instr(match, card) - 1
+    around = F.substring(match, F.lit(1), before), F.substring(match, before + F.length(card) + 1, F.length(match))
+    return F.when(valid, new).when(card != "", F.concat(around[0], _card(card, key), around[1]))
 
 
-def _date(match: Column, day: Column, pattern: Column, key: str) -> Column:
+def _date(day: Column, write, key: str) -> Column:
     number = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
     inside = (number >= 0) & (number < DAYS[0] * DAYS[1])
     new = F.date_add(F.lit(FIRST_DAY).cast("date"), permuted(number, DAYS, key, "date").cast("int"))
-    return F.when(inside, let(new, lambda n: pattern_of(n, pattern)))
+    return F.when(inside, let(new, write))
+
 
+def _numeric_date(match: Column, key: str) -> Column:
+    """Year first, or else day first if the calendar has such a day, or else month first."""
+    parts, mark = F.split(match, "[./-]"), F.regexp_extract(match, "[./-]", 0)
+    year_first, day_first = F.length(parts[0]) == 4, _day(parts[2], parts[1], parts[0])
+    day = F.when(year_first, _day(parts[0], parts[1], parts[2])).otherwise(
+        F.coalesce(day_first, _day(parts[2], parts[0], parts[1]))
+    )
+    short = F.exists(parts, lambda p: F.length(p) == 1)
 
-def pattern_of(day: Column, pattern: Column) -> Column:
-    """A date as yyyy-MM-dd, dd.MM.yyyy or dd/MM/yyyy."""
-    y, m, d = (F.lpad(f(day).cast("string"), n, "0") for f, n in ((F.year, 4), (F.month, 2), (F.dayofmonth, 2)))
-    return F.when(pattern == "-", F.concat_ws("-", y, m, d)).otherwise(F.concat(d, pattern, m, pattern, y))
+    def write(new: Column) -> Column:
+        y = F.year(new).cast("string")
+        m, d = (
+            F.when(short, f(new).cast("string")).otherwise(F.lpad(f(new).cast("string"), 2, "0"))
+            for f in (F.month, F.dayofmonth)
+        )
+        order = F.when(year_first, F.array(y, m, d)).when(day_first.isNotNull(), F.array(d, m, y))
+        parts = order.otherwise(F.array(m, d, y))
+        return F.concat(parts[0], mark, parts[1], mark, parts[2])
+
+    return _date(day, write, key)
+
+
+def _named_date(match: Column, key: str) -> Column:
+    """A date with an English month, written out or cut to three letters as it was."""
+    name, year = F.regexp_extract(match, "[A-Z][a-z]+", 0), F.regexp_extract(match, "[0-9]{4}$", 0)
+    number = r"(?<![0-9])[0-9]{1,2}(?![0-9])"
+    starts = F.lit("".join(m[:3] for m in MONTHS))
+    month = ((F.instr(starts, F.substring(name, 1, 3)) + 2) / 3).cast("int").cast("string")
+
+    def write(new: Column) -> Column:
+        names = F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.month(new))
+        names = F.when(F.length(name) > 3, names).otherwise(F.substring(names, 1, 3))
+        out = F.regexp_replace(match, F.lit("[0-9]{4}$"), F.year(new).cast("string"))
+        out = F.regexp_replace(out, F.lit(number), F.dayofmonth(new).cast("string"))
+        return F.regexp_replace(out, F.lit("[A-Z][a-z]+"), names)
+
+    return _date(_day(year, month, F.regexp_extract(match, number, 0)), write, key)
 
 
 def _day(year: Column, month: Column, day: Column) -> Column:
     """The calendar day, null if there is none."""
-    return F.try_to_date(F.concat_ws("-", year, month, day), "yyyy-MM-dd")
+    return F.try_to_date(F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")), "yyyy-MM-dd")
 
 
 def _ip(match: Column, key: str) -> Column:
@@ -252,15 +324,9 @@ def pseudonym(match: Column, key: str) -> Column:
         F.when(at > 0, email)
         .when(match.rlike(f"^(?:{KINDS['access_key']})$"), access)
         .when(match.rlike("[=:]"), F.concat(opening, permuted_text(secret, key, "secret", (HEX,))))
+        .when(match.rlike(f"^(?:{KINDS['named_date']})$"), _named_date(match, key))
         .when(match.rlike("^[A-Z]"), _iban(match, key))
-        .when(
-            match.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
-            _date(match, _day(sub(match, 1, 4), sub(match, 6, 2), sub(match, 9, 2)), F.lit("-"), key),
-        )
-        .when(
-            match.rlike(r"^[0-9]{2}[./][0-9]{2}[./][0-9]{4}$"),
-            _date(match, _day(sub(match, 7, 4), sub(match, 4, 2), sub(match, 1, 2)), sub(match, 3, 1), key),
-        )
+        .when(match.rlike(f"^(?:{KINDS['iso_date']}|{KINDS['numeric_date']})$"), _numeric_date(match, key))
         .when(match.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"), _ip(match, key))
         .when(match.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), _ssn(match, key))
         .when(match.rlike(f"^(?:{KINDS['phone']})$"), _phone(match, key))
@@ -273,9 +339,16 @@ def pseudonym(match: Column, key: str) -> Column:
 def pseudonymise(documents: DataFrame, key: str) -> DataFrame:
     """``documents`` with personal data in ``text`` replaced, and ``n_pseudonyms``.
 
-    Emails, access keys, hexadecimal secrets behind their name, IBANs, dates from
-    1900 to 2099, IPv4 addresses, social security numbers, telephone and card
-    numbers. What fails validation stays as it is. A null text stays null with 0
+    Emails, access keys, hexadecimal secrets behind their name, IBANs (compact or in
+    groups of four), dates from 1900 to 2099 (year first with - or /, day or month
+    first with . / or -, English months in title case), IPv4 addresses, social
+    security numbers, telephone and card numbers. IBANs, cards
+    and dates get the same pseudonym in each of their forms; a date that reads both
+    ways is read day first, and one that is only month first stays so. Not recognised: two-digit years, ordinals (May 5th),
+    other languages' months, telephone numbers without separators or with a
+    leading 0 (2125550187, 030 1234567), IPv6, IBANs in small letters or in groups
+    of countries outside IBAN_LENGTHS, names and postal addresses. What fails
+    validation stays as it is. A null text stays null with 0
     pseudonyms; text of any length is read whole; ``n_chars``, if there is one, is
     that of the new text. All other columns stay, but for an earlier n_pseudonyms;
     repeated rows and equal values get equal results.

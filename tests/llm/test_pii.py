@@ -100,3 +100,51 @@ def test_odd_texts_and_clashing_columns(spark):
 def test_no_python_in_the_plan(spark):
     plan = pseudonymise(documents(spark, ["x"]), KEY)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def day(form):
+    return lambda x: datetime.datetime.strptime(x, form)
+
+
+def mod97(x):
+    x = re.sub("[ -]", "", x)
+    return int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
+
+
+FORMS = {
+    "GB29 NWBK 6016 1331 9268 19": lambda x: re.fullmatch(r"GB\d\d [A-Z]{4}( \d{4}){3} \d\d", x) and mod97(x),
+    "DE89 3704 0044 0532 0130 00": lambda x: re.fullmatch(r"DE\d\d( \d{4}){4} \d\d", x) and mod97(x),
+    "12/25/1987": lambda x: re.fullmatch(r"\d\d/\d\d/\d{4}", x) and day("%m/%d/%Y")(x),
+    "12-25-1987": lambda x: re.fullmatch(r"\d\d-\d\d-\d{4}", x) and day("%m-%d-%Y")(x),
+    "5/11/1999": day("%d/%m/%Y"),
+    "5.11.1999": day("%d.%m.%Y"),
+    "1999/05/11": lambda x: re.fullmatch(r"\d{4}/\d\d/\d\d", x) and day("%Y/%m/%d")(x),
+    "1999-5-1": day("%Y-%m-%d"),
+    "May 5, 1987": day("%b %d, %Y"),
+    "September 30 1987": day("%B %d %Y"),
+    "5 Feb. 2001": day("%d %b. %Y"),
+}
+
+
+def test_other_written_forms(spark):
+    texts = [f"see {v}, end" for v in FORMS] + [f"({v}) AND {v} NEXT" for v in FORMS]
+    found, counts = changed(spark, texts)
+    assert counts == [1] * len(FORMS) + [2] * len(FORMS)
+    for value, one, two in zip(FORMS, found, found[len(FORMS) :], strict=False):
+        new = re.fullmatch(r"see (.*), end", one)[1]
+        assert new != value and FORMS[value](new) and two == f"({new}) AND {new} NEXT", value
+
+
+def test_forms_of_a_value_are_linked(spark):
+    ibans, days = ["AT61 1904 3002 3457 3201", "AT611904300234573201"], ["1987-12-25", "12/25/1987", "25.12.1987", "December 25, 1987"]
+    found, _ = changed(spark, [*ibans, *days])
+    assert found[0].replace(" ", "") == found[1] != ibans[1]
+    read = [day(f)(x) for f, x in zip(["%Y-%m-%d", "%m/%d/%Y", "%d.%m.%Y", "%B %d, %Y"], found[2:], strict=True)]
+    assert len(set(read)) == 1 and read[0] != datetime.datetime(1987, 12, 25)
+
+
+def test_other_forms_that_are_no_values_stay(spark):
+    texts = ["GB29 NWBK 6016 1331 9268 18", "13/13/1999", "2/30/1999", "1999/02/30", "Feb 30, 1999", "May 1987", "31 June 2000"]
+    assert changed(spark, texts) == (texts, [0] * len(texts))
+    (text,), counts = changed(spark, ["DE89 4539 5787 6362 1486 00"])
+    assert text.startswith("DE89 ") and text.endswith(" 00") and luhn(text[5:24]) and counts == [1]
