@@ -4,13 +4,15 @@ Every distinct shingle set gets a signature of 128 minima. The forest keeps
 ``ORDERS`` orders of it, each over positions of its own. In every order, sets
 that begin with the same values are neighbours: their longest common prefix is at
 least the region's depth. A region is four values deep; where more than
-``DENSE`` sets share these, it is split at six values. Members of a region are
+``DENSE`` sets share these, it is split at six values, or as many fewer as the
+similarity asks for (``deep_values``). Members of a region are
 compared by signature, and pairs that may reach the threshold by their whole
 sets. A region of any size is compared in blocks of ``BLOCK`` sets, so no task
 holds more than two blocks and no pair of a region is left out.
 
 A pair at a similarity of 0.85 shares four values of an order with probability
-0.52, and in none of 20 orders with 4e-7 (six values, dense regions: 8e-5). The
+0.52, and in none of 20 orders with 4e-7 (six values, dense regions: 8e-5). At 0.80
+it is in none with 3e-5 (five values, dense regions: 4e-4). The
 signature filter lies five standard deviations below the threshold.
 """
 
@@ -32,6 +34,8 @@ SIZE = 128
 ORDERS = 20
 DEPTHS = (4, 6)
 DENSE = 1024
+#: A pair at the threshold is in no dense region with at most this probability, if four values allow it.
+MISS = 4e-4
 BLOCK = 256
 
 _MULTIPLIERS = (mix(np.arange(1, SIZE + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -58,34 +62,44 @@ def prefixes(signatures: np.ndarray, depth: int) -> np.ndarray:
     return mix(total)
 
 
+def deep_values(similarity: int) -> int:
+    """The values that split dense regions: as many as ``MISS`` allows, at most six and at least a region's four."""
+    share = similarity / 100
+    depths = range(DEPTHS[0], DEPTHS[1] + 1)
+    return max((d for d in depths if (1 - share**d) ** ORDERS <= MISS), default=DEPTHS[0])
+
+
 def _listed(values: np.ndarray, kind: pa.DataType) -> pa.Array:
     n, width = values.shape
     flat = pa.array(values.reshape(-1), kind)
     return pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, width, dtype=np.int32)), flat)
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n = batch.num_rows
-        sizes, one, two = np.zeros(n, np.int64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-        signs = np.zeros((n, SIZE), np.uint32)
-        for i, own in enumerate(shingle_sets(batch.column(1))):
-            sizes[i] = len(own)
-            if len(own):
-                one[i] = own.sum(dtype=np.uint64)
-                two[i] = mix(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
-                signs[i] = signature(own)
-        yield pa.RecordBatch.from_pydict(
-            {
-                "doc_id": batch.column(0),
-                "n_shingles": sizes,
-                "d1": one.view(np.int64),
-                "d2": two.view(np.int64),
-                "sign": pa.array([s.tobytes() for s in signs.astype(np.uint16)], pa.binary()),
-                "shallow": _listed(prefixes(signs, DEPTHS[0]).view(np.int64), pa.int64()),
-                "deep": _listed(prefixes(signs, DEPTHS[1]).view(np.int64), pa.int64()),
-            }
-        )
+def _sketches(deep: int):
+    def function(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            sizes, one, two = np.zeros(n, np.int64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+            signs = np.zeros((n, SIZE), np.uint32)
+            for i, own in enumerate(shingle_sets(batch.column(1))):
+                sizes[i] = len(own)
+                if len(own):
+                    one[i] = own.sum(dtype=np.uint64)
+                    two[i] = mix(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
+                    signs[i] = signature(own)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "doc_id": batch.column(0),
+                    "n_shingles": sizes,
+                    "d1": one.view(np.int64),
+                    "d2": two.view(np.int64),
+                    "sign": pa.array([s.tobytes() for s in signs.astype(np.uint16)], pa.binary()),
+                    "shallow": _listed(prefixes(signs, DEPTHS[0]).view(np.int64), pa.int64()),
+                    "deep": _listed(prefixes(signs, deep).view(np.int64), pa.int64()),
+                }
+            )
+
+    return function
 
 
 def _ship_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +199,7 @@ def near_duplicates(documents: DataFrame, similarity: int = 80) -> DataFrame:
     """
     rows = need_columns(documents, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
     kinds = "doc_id long, n_shingles long, d1 long, d2 long, sign binary, shallow array<long>, deep array<long>"
-    sketches = stored(rows.mapInArrow(_sketches, kinds), "sketches")
+    sketches = stored(rows.mapInArrow(_sketches(deep_values(similarity)), kinds), "sketches")
 
     same = ["n_shingles", "d1", "d2"]
     full = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")

@@ -101,3 +101,16 @@ def test_signatures_estimate_similarity(random):
     a = random.integers(0, 1 << 63, 4000).astype(np.uint64)
     one, two = near_dedup.signature(a[:3000]), near_dedup.signature(a[1000:])
     assert abs((one == two).mean() - 0.5) < 0.2
+
+
+def test_dense_regions_at_80_miss_few_pairs(spark, random, monkeypatch):
+    """Pairs at the threshold whose every region counts as dense: 180 shingles, 160 of them shared."""
+    monkeypatch.setattr(near_dedup, "DENSE", 1)
+    pairs, texts = 4000, []
+    for i in range(pairs):
+        words = [f"p{i}w{k}" for k in range(184)]
+        texts += [" ".join(words), " ".join("own" if k in (20, 60, 100, 140) else w for k, w in enumerate(words))]
+    found = near_duplicates(documents(spark, texts), 80)
+    missed = found.where("doc_id % 2 = 1 AND kept").count()
+    assert missed <= pairs * 1e-3
+    assert near_dedup.deep_values(80) == 5 and near_dedup.deep_values(85) == 6
