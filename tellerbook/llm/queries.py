@@ -5,17 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tellerbook.llm.extraction import extract
 from tellerbook.llm.fertility import quality_rules
 from tellerbook.llm.mixing import mix_plan
 from tellerbook.llm.near_dedup import near_duplicates
 from tellerbook.llm.packing import pack
+from tellerbook.llm.periodic import periodic_runs
 from tellerbook.llm.pii import pseudonymise
 from tellerbook.llm.quotes import reply_ordered
 from tellerbook.llm.token_counts import token_counts
 from tellerbook.llm.toxicity import toxicity
 from tellerbook.llm.vector_dedup import near_vectors
+from tellerbook.llm.whitening import whiten
+from tellerbook.llm.words import WORD
 
 #: The key of the registered query; jobs pass their own.
 PII_KEY = "registered-query"
@@ -68,8 +72,57 @@ def op10_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors(_table(spark, folder, "embeddings"))
 
 
+def with_periodic_tails(documents: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth id by crc32 has its text's end replaced by a period.
+
+    From word a on, word i becomes word a + (i - a) % p; a and p come from the crc32.
+    """
+    hashed = documents.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    chosen = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})")))
+    rows = hashed.select("doc_id", "text", chosen.alias("w"), F.expr("h div 10").alias("g"))
+    rows = rows.select("*", F.size("w").cast("long").alias("n"))
+    rows = rows.select("*", F.when(F.col("n") > 0, F.col("g") % F.col("n")).alias("a"))
+    rows = rows.select("*", F.expr("1 + (n - a) div (3 + g % 8)").alias("p"))
+    period = "slice(w, CAST(a + 1 AS int), CAST(p AS int))"
+    again = f"flatten(array_repeat({period}, CAST((n - a) div p + 1 AS int)))"
+    changed = F.expr(f"array_join(concat(slice(w, 1, CAST(a AS int)), slice({again}, 1, CAST(n - a AS int))), ' ')")
+    return rows.select("doc_id", F.when(F.col("n") > 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs(with_periodic_tails(_table(spark, folder, "documents")))
+    lines = F.expr(r"array_join(transform(runs, r -> concat_ws(',', r.start, r.length, r.period) || '\n'), '')")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "strongest.start",
+        "strongest.length",
+        "strongest.period",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whiten(_table(spark, folder, "embeddings"), components=16)
+    rows = found.select("*", F.posexplode("whitened").alias("at", "value"))
+    return rows.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        "n",
+        F.col("deviation").try_cast("long").alias("deviation"),
+        F.col("value").alias("whitened"),
+        F.get("explained", "at").alias("explained"),
+        "identity_error",
+    )
+
+
 def llm_queries() -> dict[str, Query]:
-    found = [op1_near_dedup, op2_token_counts, op3_pii, op4_mixing, op5_toxicity, op6_html_extraction, op7_chat_formatting, op8_packing, op9_quality_rules, op10_vector_dedup]
+    found = [
+        op1_near_dedup, op2_token_counts, op3_pii, op4_mixing, op5_toxicity, op6_html_extraction, op7_chat_formatting,
+        op8_packing, op9_quality_rules, op10_vector_dedup, op11_periodic_runs, op13_embedding_whitening,
+    ]
     return {f.__name__: f for f in found}
 
 
@@ -174,6 +227,59 @@ FROM reached r LEFT JOIN counted c ON c.a = r.a GROUP BY r.a
 """
 
 
+# The crc32 of an id's digits, by its polynomial; runs as stretches of equal windows of
+# eight words, each lag by itself.
+_PERIODIC = r"""
+WITH steps AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+hashed AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    xor(4294967295, list_reduce(list_concat([4294967295],
+        list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+      lambda crc, b: xor(crc >> 8, t[xor(crc & 255, b) + 1]))) AS h
+  FROM documents, steps),
+placed AS (SELECT *, len(w) AS n, h // 10 AS g, (h // 10) % greatest(len(w), 1) AS a FROM hashed),
+words AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i:
+    w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) ELSE w END AS w
+  FROM placed),
+grams AS (
+  SELECT doc_id, i, array_to_string(w[i + 1:i + 8], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(n - 7)) AS i FROM words WHERE n >= 24)),
+matches AS (
+  SELECT y.doc_id, y.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.s = y.s AND x.i < y.i),
+islands AS (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM matches),
+stretches AS (
+  SELECT doc_id, min(i) - q AS start, max(i) + 8 - min(i) + q AS length, q AS period
+  FROM islands GROUP BY doc_id, q, island HAVING max(i) + 8 - min(i) + q >= greatest(24, 3 * q)),
+runs AS (
+  SELECT * FROM stretches s WHERE NOT EXISTS (
+    SELECT 1 FROM stretches t WHERE t.doc_id = s.doc_id AND t.period < s.period
+      AND t.start <= s.start AND t.start + t.length >= s.start + s.length)),
+best AS (
+  SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) = 1),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+  FROM runs GROUP BY doc_id),
+spelt AS (SELECT doc_id, unnest(w) AS word, unnest(range(n)) AS i FROM words),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM spelt s WHERE NOT EXISTS (
+    SELECT 1 FROM runs r WHERE r.doc_id = s.doc_id AND s.i >= r.start + r.period AND s.i < r.start + r.length)
+  GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
+
 def llm_oracle_sql() -> dict[str, str]:
     """DuckDB twins where SQL can express the whole query."""
-    return {"op1_near_dedup": _NEAR_DOCUMENTS, "op4_mixing": _MIX, "op10_vector_dedup": _NEAR_VECTORS}
+    return {
+        "op1_near_dedup": _NEAR_DOCUMENTS,
+        "op4_mixing": _MIX,
+        "op10_vector_dedup": _NEAR_VECTORS,
+        "op11_periodic_runs": _PERIODIC,
+    }

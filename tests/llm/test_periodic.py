@@ -1,0 +1,111 @@
+import hashlib
+import zlib
+
+import pytest
+from llm_helpers import ODD, documents, spoken
+
+from tellerbook.llm.periodic import periodic_runs, text_runs
+from tellerbook.llm.queries import op11_periodic_runs, with_periodic_tails
+
+
+def smallest_period(words):
+    return next(q for q in range(1, len(words) + 1) if words[q:] == words[: len(words) - q])
+
+
+def brute(words):
+    """Every lag's maximal stretches, kept where the lag is the smallest period."""
+    found = []
+    for q in range(1, len(words) // 3 + 1):
+        same = [words[i] == words[i - q] for i in range(q, len(words))] + [False]
+        begun = None
+        for k, equal in enumerate(same):
+            if equal and begun is None:
+                begun = k
+            elif not equal and begun is not None:
+                length = k - begun + q
+                if length >= max(24, 3 * q) and smallest_period(words[begun : begun + length]) == q:
+                    found.append((begun, length, q))
+                begun = None
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def periodic_text(random):
+    """Words of a small vocabulary with periods, nested, broken off and next to each other."""
+    words = spoken(random, int(random.integers(0, 40)), int(random.integers(1, 6)))
+    for _ in range(int(random.integers(1, 5))):
+        base = spoken(random, int(random.integers(1, 12)), int(random.integers(1, 4)))
+        if random.random() < 0.3:
+            base = base * int(random.integers(2, 5)) + spoken(random, 1)
+        words += (base * int(random.integers(2, 8)))[: int(random.integers(5, 200))]
+        if random.random() < 0.5:
+            words += spoken(random, int(random.integers(1, 9)), 3)
+    return words
+
+
+def test_runs_equal_brute_force(random):
+    found = 0
+    for _ in range(300):
+        words = periodic_text(random)
+        runs = brute(words)
+        found += len(runs)
+        assert text_runs(" ".join(words).encode()) == ([w.encode() for w in words], runs)
+    assert found > 300
+
+
+def expected(doc_id, text):
+    words = (text or "").encode().split()
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(words)
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    runs = brute(words)
+    dropped = {i for s, length, q in runs for i in range(s + q, s + length)}
+    best = min(runs, key=lambda r: (-r[1] / r[2], r[0], r[2]), default=(None,) * 3)
+    return (
+        doc_id, len(runs), *best, best[0] is not None and 1000 * best[1] // best[2],
+        hashlib.sha256("".join(f"{s},{length},{q}\n" for s, length, q in runs).encode()).hexdigest(),
+        hashlib.sha256(b" ".join(w for i, w in enumerate(words) if i not in dropped)).hexdigest(),
+    )
+
+
+def test_query_equals_brute_force(spark, random, tmp_path):
+    texts = [" ".join(periodic_text(random)) for _ in range(120)] + [t for t in ODD if len(t or "") < 1000]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in op11_periodic_runs(spark, str(tmp_path)).collect()}
+    assert len(rows) == len(texts)
+    for i, text in enumerate(texts):
+        r = rows[i]
+        own = (r.doc_id, r.n_runs, r.start, r.length, r.period, r.exponent_milli or False, r.runs_sha256, r.collapsed_sha256)
+        assert own == expected(i, text)
+
+
+def test_very_long_and_odd_texts(spark):
+    texts = [*ODD, "a " * 1_000_000, " ".join(["x y z"] * 100_000 + ["end"])]
+    rows = {r.doc_id: r for r in periodic_runs(documents(spark, texts, extra=True)).collect()}
+    assert [rows[i].n_words for i in range(3)] == [0, 0, 0]
+    assert rows[0].collapsed == "" and rows[0].runs == [] and rows[0].strongest is None
+    assert [tuple(r) for r in rows[7].runs] == [(0, 40_000, 1)] and rows[7].collapsed == "word"
+    assert [tuple(r) for r in rows[9].runs] == [(0, 1_000_000, 1)] and rows[9].collapsed == "a"
+    assert [tuple(r) for r in rows[10].runs] == [(0, 300_000, 3)] and rows[10].collapsed == "x y z end"
+    assert rows[6].collapsed == ODD[6]
+
+
+def test_null_and_repeated_ids_and_no_rows(spark):
+    text = "p q " * 20
+    frame = spark.createDataFrame([(None, text), (1, text), (1, text), (None, None)], "doc_id long, text string")
+    rows = periodic_runs(frame).collect()
+    assert sorted((r.doc_id or -1, r.collapsed) for r in rows) == [(-1, ""), (-1, "p q"), (1, "p q"), (1, "p q")]
+    assert sorted(r.text or "" for r in with_periodic_tails(frame).collect())[0] == ""
+    assert periodic_runs(frame.limit(0)).collect() == []
+
+
+def test_text_that_is_no_utf8(spark):
+    frame = spark.sql("SELECT 1L AS doc_id, CAST(X'61ff20' AS string) || repeat('b ', 30) AS text")
+    assert periodic_runs(frame).selectExpr("hex(collapsed) AS c").head().c == "61FF2062"
+
+
+@pytest.mark.parametrize("n", [23, 24])
+def test_least_length(n):
+    assert len(text_runs(b"w " * n)[1]) == (n >= 24)
