@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tellerbook.llm.extraction import extract
 from tellerbook.llm.fertility import quality_rules
+from tellerbook.llm.licenses import BETWEEN_BLOCKS, TEMPLATES, scan_licenses
+from tellerbook.llm.licenses import WORD as LICENSE_WORD
 from tellerbook.llm.mixing import mix_plan
 from tellerbook.llm.near_dedup import near_duplicates
 from tellerbook.llm.packing import pack
@@ -104,6 +106,20 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_licenses(_table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.at").alias("first_word"),
+        F.array_max("places.at").alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct("places.label")), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     found = whiten(_table(spark, folder, "embeddings"), components=16)
     rows = found.select("*", F.posexplode("whitened").alias("at", "value"))
@@ -121,7 +137,7 @@ def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     found = [
         op1_near_dedup, op2_token_counts, op3_pii, op4_mixing, op5_toxicity, op6_html_extraction, op7_chat_formatting,
-        op8_packing, op9_quality_rules, op10_vector_dedup, op11_periodic_runs, op13_embedding_whitening,
+        op8_packing, op9_quality_rules, op10_vector_dedup, op11_periodic_runs, op12_license_scans, op13_embedding_whitening,
     ]
     return {f.__name__: f for f in found}
 
@@ -274,6 +290,45 @@ SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * le
 FROM documents d LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
 
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_NOTICES = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(TEMPLATES))
+
+# Every block against every template, token by token.
+_LICENSES = rf"""
+WITH lowered AS (SELECT doc_id, translate(coalesce(text, ''), {_LETTERS}) AS t FROM documents),
+words AS (SELECT doc_id, regexp_extract_all(t, '{LICENSE_WORD}') AS w FROM lowered),
+places AS (
+  SELECT doc_id, i, CASE WHEN w[i + 2] = 'license' AND w[i + 1] IN ('mit', 'apache') THEN w[i + 1]
+    WHEN w[i + 1] = 'general' AND w[i + 2] = 'public' AND w[i + 3] = 'license' THEN 'gpl' END AS label
+  FROM (SELECT doc_id, w, unnest(range(len(w))) AS i FROM words)),
+base AS (
+  SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS labels
+  FROM places WHERE label IS NOT NULL GROUP BY doc_id),
+notices(template, label, t) AS (VALUES {_NOTICES}),
+parts AS (
+  SELECT doc_id, block, regexp_extract_all(part, '{LICENSE_WORD}') AS w
+  FROM (SELECT doc_id, unnest(b) AS part, generate_subscripts(b, 1) AS block
+        FROM (SELECT doc_id, regexp_split_to_array(t, '{BETWEEN_BLOCKS}') AS b FROM lowered))),
+tokens AS (
+  SELECT DISTINCT doc_id, block, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, block, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM parts WHERE len(w) > 0)),
+asked AS (
+  SELECT DISTINCT template, label, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT template, label, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i
+        FROM (SELECT template, label, regexp_extract_all(translate(t, {_LETTERS}), '{LICENSE_WORD}') AS w FROM notices))),
+sizes AS (SELECT template, count(*) AS size FROM asked GROUP BY template),
+met AS (
+  SELECT doc_id, label, count(*) / any_value(size) AS containment
+  FROM tokens JOIN asked USING (s) JOIN sizes USING (template)
+  GROUP BY doc_id, block, template, label HAVING 100 * count(*) >= 80 * any_value(size)),
+best AS (SELECT doc_id, max(containment) AS score, list(DISTINCT label) AS labels FROM met GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(best.labels, [])))), ',') AS labels,
+  coalesce(score, 0.0::DOUBLE) AS score
+FROM words LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id)
+"""
+
 
 def llm_oracle_sql() -> dict[str, str]:
     """DuckDB twins where SQL can express the whole query."""
@@ -282,4 +337,5 @@ def llm_oracle_sql() -> dict[str, str]:
         "op4_mixing": _MIX,
         "op10_vector_dedup": _NEAR_VECTORS,
         "op11_periodic_runs": _PERIODIC,
+        "op12_license_scans": _LICENSES,
     }
