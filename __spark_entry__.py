@@ -25,8 +25,10 @@ from tellerbook.operators.silver import (  # noqa: E402
     silver_cast,
 )
 from tellerbook.operators.synth import transactions_for  # noqa: E402
+from tellerbook.plans.deltas import fold_changes, refresh_gold_deltas  # noqa: E402
 from tellerbook.plans.pipeline import (  # noqa: E402
     read_gold,
+    read_silver,
     refresh_gold_dates,
     run_pipeline,
     write_gold,
@@ -69,6 +71,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The events table has small values; this threshold flags some of them.
 CLICK_THRESHOLD = 100.0
 GAP = ("2024-01-10", "2024-01-15")
+# Folders of the id index.
+BUCKETS = 16
 
 
 def _plain_time(rows: DataFrame) -> DataFrame:
@@ -310,13 +314,38 @@ def q_gold_refresh_dates(spark: SparkSession, folder: str) -> DataFrame:
     root = working_folder(spark, "refresh")
     bronze, silver, gold = f"{root}/bronze", f"{root}/silver", f"{root}/gold"
     append_bronze(click_events(spark, folder), bronze, 0)
-    run_pipeline(spark, bronze, silver, gold, CLICK_THRESHOLD)
+    run_pipeline(spark, bronze, silver, gold, CLICK_THRESHOLD, buckets=BUCKETS)
     append_bronze(_corrections(spark, folder), bronze, 1)
     fresh = read_bronze(spark, bronze).where(F.col("batch_id") > 0)
     refresh_gold_dates(spark, fresh, silver, gold, CLICK_THRESHOLD)
     return read_gold(spark, gold)
 
 
+def q_gold_delta_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """The same corrections by signed differences; coming again, they change nothing."""
+    root = working_folder(spark, "delta")
+    bronze, silver, gold = f"{root}/bronze", f"{root}/silver", f"{root}/gold"
+    append_bronze(click_events(spark, folder), bronze, 0)
+    run_pipeline(spark, bronze, silver, gold, CLICK_THRESHOLD, buckets=BUCKETS)
+    append_bronze(_corrections(spark, folder), bronze, 1)
+    fresh = read_bronze(spark, bronze).where(F.col("batch_id") > 0)
+    refresh_gold_deltas(spark, fresh, silver, gold, CLICK_THRESHOLD)
+    if refresh_gold_deltas(spark, fresh, silver, gold, CLICK_THRESHOLD):
+        raise AssertionError("a rerun changed something")
+    return read_gold(spark, gold)
+
+
+def q_silver_after_deltas(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver itself after a delta refresh whose changes are folded into the day folders."""
+    root = working_folder(spark, "fold")
+    bronze, silver, gold = f"{root}/bronze", f"{root}/silver", f"{root}/gold"
+    append_bronze(click_events(spark, folder), bronze, 0)
+    run_pipeline(spark, bronze, silver, gold, CLICK_THRESHOLD, buckets=BUCKETS)
+    refresh_gold_deltas(spark, _corrections(spark, folder), silver, gold, CLICK_THRESHOLD)
+    fold_changes(spark, silver, gold)
+    return _plain_time(read_silver(spark, silver).select(*SILVER.fieldNames()))
+
+
 def q_gate_closed(spark: SparkSession, folder: str) -> DataFrame:
     """A batch with endless amounts reaches gold neither by refresh nor by rebuild."""
     root = working_folder(spark, "gate")
@@ -511,6 +540,7 @@ GROUP BY 1, 2, 3"""
 
 _CLICK_SILVER = _silver_sql(_CLICKS, 100)
 _CLICK_GOLD = _gold_sql(_CLICK_SILVER)
+_CORRECTED_SILVER = _silver_sql(f"{_CLICKS} UNION ALL {_CORRECTIONS}", 100)
 
 # The faulty lines, and what becomes of each.
 _FAULTY = """
@@ -692,9 +722,9 @@ SELECT * FROM ({_CLICK_GOLD})
 WHERE date_transaction BETWEEN DATE '{GAP[0]}' AND DATE '{GAP[1]}'""",
         "gold_after_backfill": _CLICK_GOLD,
         "gate_closed": _CLICK_GOLD,
-        "gold_refresh_dates": _gold_sql(
-            _silver_sql(f"{_CLICKS} UNION ALL {_CORRECTIONS}", 100)
-        ),
+        "gold_refresh_dates": _gold_sql(_CORRECTED_SILVER),
+        "gold_delta_refresh": _gold_sql(_CORRECTED_SILVER),
+        "silver_after_deltas": _CORRECTED_SILVER,
         "stream_ingest_gold": _gold_sql(_silver_sql(_LINEITEM)),
         "stream_dedup": _CLICK_SILVER,
         "stream_daily_window": _CLICK_GOLD,

@@ -43,6 +43,12 @@ def exceeds(amount: Column, threshold: float) -> Column:
     return F.coalesce((amount > F.lit(float(threshold))) & ~F.isnan(amount), F.lit(False))
 
 
+def whole_cents(amount: Column) -> Column:
+    """A DOUBLE amount as a decimal if it is whole cents, else NULL."""
+    cents = amount.try_cast("decimal(15,2)")
+    return F.when(cents.cast("double") == amount, cents.cast("decimal(18,2)"))
+
+
 def money_sum(amount: Column) -> Column:
     """Sum of a DOUBLE amount, NULL when every amount is.
 
@@ -50,8 +56,7 @@ def money_sum(amount: Column) -> Column:
     not depend on row order; anything else is added as plain doubles. The
     decimal part has room for 10^12 rows of 10^13 each.
     """
-    cents = amount.try_cast("decimal(15,2)")
-    whole = F.coalesce(cents.cast("double") == amount, F.lit(False))
-    exact = F.sum(F.when(whole, cents.cast("decimal(18,2)"))).cast("double")
-    rest = F.sum(F.when(~whole, amount))
+    cents = whole_cents(amount)
+    exact = F.sum(cents).cast("double")
+    rest = F.sum(F.when(cents.isNull(), amount))
     return F.when(exact.isNull(), rest).otherwise(exact + F.coalesce(rest, F.lit(0.0)))

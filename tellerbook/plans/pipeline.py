@@ -5,62 +5,45 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
 
-from tellerbook.functions.columns import utc_date
 from tellerbook.operators.gold import gold_account_summary
 from tellerbook.operators.quality import (
     RowCheck,
     check_unique,
     gate,
     observe_row_checks,
-    run_row_checks,
     silver_checks,
 )
 from tellerbook.operators.silver import build_silver
 from tellerbook.operators.synth import synthesize_transactions
-from tellerbook.schemas import DATE, GOLD, HIGH_VALUE_THRESHOLD, KEY, SILVER
+from tellerbook.plans.deltas import fold_changes, has_parts, replace_parts, write_parts
+from tellerbook.plans.index import find, update_index, write_index
+from tellerbook.plans.stored import (
+    TIME,
+    dated,
+    dates_of,
+    read_gold,
+    read_silver,
+    replace_dates,
+)
+from tellerbook.plans.stored import on_dates as _on_dates
+from tellerbook.schemas import DATE, HIGH_VALUE_THRESHOLD, KEY
 from tellerbook.session import working_folder
 from tellerbook.sources.bronze import read_bronze
 from tellerbook.sources.events import write_events
-from tellerbook.sources.tables import (
-    current_version,
-    next_version,
-    remove_folder,
-    version_path,
-    write_daily,
-)
+from tellerbook.sources.tables import current_version, next_version, version_path, write_daily
 from tellerbook.streaming.ingest import run_ingest
 
-TIME = "transaction_timestamp"
-# A folder name Spark gives to the NULL partition; fixed value.
-_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
-
-
-def _dated(silver: DataFrame) -> DataFrame:
-    return silver.withColumn(DATE, utc_date(F.col(TIME)))
-
-
-def read_silver(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """The stored silver rows; a filter on the date reads only those folders."""
-    number = current_version(spark, root) if version is None else version
-    schema = StructType([*SILVER, StructField(DATE, DateType())])
-    return spark.read.schema(schema).parquet(version_path(root, number))
-
-
-def read_gold(spark: SparkSession, root: str) -> DataFrame:
-    path = version_path(root, current_version(spark, root))
-    return spark.read.schema(GOLD).parquet(path).select(*GOLD.fieldNames())
-
+__all__ = ["backfill", "read_gold", "read_silver", "refresh_gold_dates", "run_pipeline", "write_gold", "write_silver"]
 
 def write_silver(
     silver: DataFrame, root: str, checks: Sequence[RowCheck], version: int | None = None
 ) -> list[tuple[str, str, int]]:
     """Write a whole new version by date and count failing rows on the way."""
     number = version or next_version(silver.sparkSession, root)
-    together = _dated(silver).hint("rebalance", DATE)
+    together = dated(silver).hint("rebalance", DATE)
     observed, seen = observe_row_checks(together, checks, "silver_checks")
     observed.write.partitionBy(DATE).parquet(version_path(root, number))
     return [(c.name, c.level, seen.get[c.name]) for c in checks]
@@ -82,12 +65,15 @@ def run_pipeline(
     gold_root: str,
     threshold: float = HIGH_VALUE_THRESHOLD,
     checks: Sequence[RowCheck] | None = None,
+    buckets: int | None = None,
 ) -> list[tuple[str, str, int]]:
     """Silver, then its checks, then gold; gold is untouched if a check fails.
 
     Silver is de-duplicated once and stored, so the checks and gold do not
     repeat that shuffle. Silver and the gold made from it carry the same version
-    number. Returns one (check, level, failing rows) per check.
+    number. With ``buckets`` the ids are indexed in so many folders and gold is kept in
+    parts too, as refreshes by date or by signed deltas use. Returns one (check,
+    level, failing rows) per check.
     """
     checks = silver_checks() if checks is None else checks
     silver = build_silver(read_bronze(spark, bronze_root), threshold)
@@ -97,6 +83,9 @@ def run_pipeline(
     # One line.
     results += [tuple(row) for row in check_unique(stored, KEY).collect()]
     gate(results)
+    if buckets:
+        write_index(stored, silver_root, version, buckets)
+        write_parts(stored, gold_root, version)
     write_gold(gold_account_summary(stored, unique_ids=True), gold_root, version)
     return results
 
@@ -117,25 +106,6 @@ def backfill(
     run_ingest(spark, landing, bronze_root, checkpoint)
 
 
-def _on_dates(dates: Sequence[date | None]) -> Column:
-    known = [d for d in dates if d is not None]
-    on = F.col(DATE).isin(known)
-    return on | F.col(DATE).isNull() if len(known) < len(dates) else on
-
-
-def _dates(rows: DataFrame) -> list[date | None]:
-    """Distinct dates: a list bounded by the calendar, not by the data."""
-    return [row[0] for row in rows.select(DATE).distinct().collect()]
-
-
-def _replace_dates(rows: DataFrame, table: str, emptied: Sequence[date | None]) -> None:
-    """Replace the date folders these rows fall in and remove the emptied ones."""
-    for day in emptied:
-        folder = f"{DATE}={day.isoformat() if day else _NULL_FOLDER}"
-        remove_folder(rows.sparkSession, f"{table}/{folder}")
-    write_daily(rows, table, DATE, cluster="transaction_type", replace="dynamic")
-
-
 def refresh_gold_dates(
     spark: SparkSession,
     fresh: DataFrame,
@@ -148,24 +118,26 @@ def refresh_gold_dates(
 
     Equals a full rebuild, but reads whole rows only of the dates concerned:
     those the new versions fall on and those their earlier versions leave.
-    Stored silver is searched by id over two narrow columns. Ids are unique on
+    Where these lie is looked up in the index of stored silver, if it has one, else
+    stored silver is searched by id over two narrow columns. Ids are unique on
     both sides of every join. Returns the dates rewritten. Nothing is replaced if
     a check fails on the rows that would be written.
 
-    The order is: stage, gold, silver. Until silver is replaced, running the
+    The order is: stage, gold, silver, index. Until silver is replaced, running the
     same rows again finds the same work, so an interrupted run is repeated.
     """
     version = current_version(spark, gold_root)
     silver_path, gold_path = (version_path(r, version) for r in (silver_root, gold_root))
     work = working_folder(spark, "refresh")
+    fold_changes(spark, silver_root, gold_root)
     stored = read_silver(spark, silver_root, version)
 
-    _dated(build_silver(fresh, threshold)).write.parquet(f"{work}/fresh")
+    dated(build_silver(fresh, threshold)).write.parquet(f"{work}/fresh")
     fresh = spark.read.schema(stored.schema).parquet(f"{work}/fresh")
     ids = fresh.select(KEY)
 
     # Where earlier versions of these ids lie, then those versions themselves.
-    earlier_dates = _dates(stored.select(KEY, DATE).join(ids, KEY, "left_semi"))
+    earlier_dates = dates_of(find(spark, stored, silver_root, version, ids))
     earlier = stored.where(_on_dates(earlier_dates)).join(ids, KEY, "left_semi")
     versions = earlier.withColumn("_stored", F.lit(True)).unionByName(
         fresh.withColumn("_stored", F.lit(False))
@@ -188,21 +160,26 @@ def refresh_gold_dates(
     winners = changed.select(*stored.columns)
 
     left = changed.select(F.inline("_left"))
-    dates = _dates(left.union(winners.select(DATE)))
+    dates = dates_of(left.union(winners.select(DATE)))
     if not dates:
         return []
 
+    # The rows to be written are counted and checked by the job that stages them.
+    checks = silver_checks() if checks is None else checks
     kept = stored.where(_on_dates(dates)).join(winners.select(KEY), KEY, "left_anti")
-    kept.unionByName(winners).write.parquet(f"{work}/staged")
+    staging = kept.unionByName(winners).hint("rebalance", DATE)
+    observed, seen = observe_row_checks(staging, checks, "refresh_checks")
+    observed.write.partitionBy(DATE).parquet(f"{work}/staged")
     staged = spark.read.schema(stored.schema).parquet(f"{work}/staged")
 
     # The gate stands before anything is replaced. Ids are unique by construction.
-    checks = silver_checks() if checks is None else checks
-    if checks:
-        gate(tuple(r) for r in run_row_checks(staged, checks).collect())
+    gate((c.name, c.level, seen.get[c.name]) for c in checks)
 
-    filled = set(_dates(staged))
+    filled = set(dates_of(staged))
     emptied = [d for d in dates if d not in filled]
-    _replace_dates(gold_account_summary(staged, unique_ids=True), gold_path, emptied)
-    _replace_dates(staged, silver_path, emptied)
+    if has_parts(spark, gold_root, version):
+        replace_parts(spark, staged, silver_root, gold_root, version, emptied)
+    replace_dates(gold_account_summary(staged, unique_ids=True), gold_path, emptied)
+    replace_dates(staged, silver_path, emptied)
+    update_index(spark, silver_root, version, winners)
     return sorted(dates, key=lambda d: (d is None, d))

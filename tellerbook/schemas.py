@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql.types import (
     BooleanType,
     DateType,
+    DecimalType,
     DoubleType,
     LongType,
     StringType,
@@ -76,3 +77,18 @@ GOLD = StructType(
         StructField("value_high_level", DoubleType()),
     ]
 )
+
+# Gold in parts that add up: numbers of rows, whole cents, other amounts and how many.
+GOLD_PARTS = StructType(
+    [
+        StructField("qty", LongType()),
+        StructField("n_whole", LongType()),
+        StructField("cents", DecimalType(38, 2)),
+        StructField("n_rest", LongType()),
+        StructField("rest", DoubleType()),
+        StructField("n_high", LongType()),
+        StructField("high_cents", DecimalType(38, 2)),
+        StructField("n_high_rest", LongType()),
+        StructField("high_rest", DoubleType()),
+    ]
+)

@@ -25,20 +25,29 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def versions(spark: SparkSession, root: str) -> list[tuple[int, bool]]:
-    """Numbered versions under a folder and whether each one is complete."""
+def numbered(spark: SparkSession, root: str, prefix: str) -> list[tuple[int, bool]]:
+    """Numbered folders under a folder and whether each one is complete."""
     p, fs = _path(spark, root)
     if not fs.exists(p):
         return []
     found = []
     for status in fs.listStatus(p):
         name = status.getPath().getName()
-        if name.startswith("version="):
+        if name.startswith(prefix):
             done = exists(spark, f"{root}/{name}/_SUCCESS")
-            found.append((int(name.removeprefix("version=")), done))
+            found.append((int(name.removeprefix(prefix)), done))
     return sorted(found)
 
 
+def complete(spark: SparkSession, root: str, prefix: str) -> list[int]:
+    return [number for number, done in numbered(spark, root, prefix) if done]
+
+
+def versions(spark: SparkSession, root: str) -> list[tuple[int, bool]]:
+    """Numbered versions under a folder and whether each one is complete."""
+    return numbered(spark, root, "version=")
+
+
 def current_version(spark: SparkSession, root: str) -> int:
     """Number of the newest complete version."""
     complete = [number for number, done in versions(spark, root) if done]
@@ -65,7 +74,7 @@ def write_daily(
     mode: str = "overwrite",
     replace: str = "static",
 ) -> None:
-    """Write one folder per day.
+    """Write one folder per day, or per value of another column.
 
     The rebalance puts a day's rows together so that a folder gets few files,
     and splits a day that is too large for one task.
