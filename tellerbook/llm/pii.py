@@ -5,7 +5,8 @@ by its image under a keyed permutation of all values of its format: a Feistel
 network over two parts whose sizes multiply to the format's number of values. So
 equal values stay equal in all documents, different values stay different, and a
 pseudonym is valid like the original: a card number has a right check digit, a
-date is a day of the calendar, an address has octets up to 255.
+date is a day of the calendar, an address has octets up to 255. No value is its own
+pseudonym: the permutation is the network backwards, one step, and the network again.
 """
 
 from __future__ import annotations
@@ -83,10 +84,13 @@ def _number(key: str, *parts: Column | str) -> Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
-def permuted(value: Column, sizes: tuple[int, int], key: str, kind: str) -> Column:
-    """A keyed permutation of the numbers below the product of the two sizes."""
+def _rounds(backwards: bool, n: int) -> Column:
+    return F.array(*[F.lit(i) for i in (range(n - 1, -1, -1) if backwards else range(n))])
+
+
+def _network(value: Column, sizes: tuple[int, int], key: str, kind: str, backwards: bool) -> Column:
+    """A Feistel network over the numbers below the product of the two sizes, or its inverse."""
     a, b = sizes
-    rounds = F.array(*[F.lit(i) for i in range(ROUNDS)])
     start = F.struct(F.floor(value / b).cast("long").alias("x"), (value % b).cast("long").alias("y"))
 
     def turn(now: Column, i: Column) -> Column:
@@ -95,7 +99,24 @@ def permuted(value: Column, sizes: tuple[int, int], key: str, kind: str) -> Colu
             moved, lambda x: F.struct(x.alias("x"), ((now["y"] + _number(key, kind, i, "y", x)) % b).alias("y"))
         )
 
-    return F.aggregate(rounds, start, turn, lambda now: now["x"] * b + now["y"])
+    def back(now: Column, i: Column) -> Column:
+        moved = F.pmod(now["y"] - _number(key, kind, i, "y", now["x"]), F.lit(b))
+        return let(
+            moved,
+            lambda y: F.struct(F.pmod(now["x"] - _number(key, kind, i, "x", y), F.lit(a)).alias("x"), y.alias("y")),
+        )
+
+    return F.aggregate(_rounds(backwards, ROUNDS), start, back if backwards else turn, lambda now: now["x"] * b + now["y"])
+
+
+def permuted(value: Column, sizes: tuple[int, int], key: str, kind: str) -> Column:
+    """A keyed permutation of the numbers below the product of the two sizes; none stays.
+
+    The network backwards, a step of one, and the network again: the step leaves no number
+    in its place, so neither does the whole.
+    """
+    a, b = sizes
+    return let(_network(value, sizes, key, kind, True), lambda n: _network((n + 1) % (a * b), sizes, key, kind, False))
 
 
 def let(value: Column, body) -> Column:
@@ -103,39 +124,88 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _rotated(text: Column, number: Column, alphabets: tuple[str, ...]) -> Column:
+def _turned(c: Column, step: Column, alphabets: tuple[str, ...]) -> Column:
+    """The character moved on by so many steps in its alphabet."""
+    out = c
+    for letters in alphabets:
+        place = F.instr(F.lit(letters), c)
+        turned = F.substring(F.lit(letters), (F.pmod(place - 1 + step, F.lit(len(letters))) + 1).cast("int"), F.lit(1))
+        out = F.when((place > 0) & (c != ""), turned).otherwise(out)
+    return out
+
+
+def _rotated(text: Column, number: Column, alphabets: tuple[str, ...], backwards: bool) -> Column:
     """Each character moved on within its alphabet, by steps drawn from the number."""
 
     def moved(c: Column, at: Column) -> Column:
         step = F.pmod(F.xxhash64(number, at), F.lit(1 << 40))
-        out = c
-        for letters in alphabets:
-            place = F.instr(F.lit(letters), c)
-            turned = F.substring(F.lit(letters), ((place - 1 + step) % len(letters) + 1).cast("int"), F.lit(1))
-            out = F.when((place > 0) & (c != ""), turned).otherwise(out)
-        return out
+        return _turned(c, -step if backwards else step, alphabets)
 
     return F.array_join(F.transform(F.split(text, ""), moved), "")
 
 
-def permuted_text(text: Column, key: str, kind: str, alphabets: tuple[str, ...]) -> Column:
-    """A keyed permutation of the texts with the same classes of characters in the same places.
+def _text_network(text: Column, key: str, kind: str, tweak: Column, alphabets: tuple[str, ...], backwards: bool) -> Column:
+    """A Feistel network over the two halves of a text of alphabet characters, or its inverse.
 
-    A Feistel network over the two halves, which take turns: each character of one
-    moves on in its alphabet by a number that key and other half determine, then the
-    halves change places. Characters of no alphabet stay.
+    Each character of one half moves on in its alphabet by a number that key and other
+    half determine, then the halves change places.
     """
     half = F.floor(F.length(text) / 2).cast("int")
     start = F.struct(
         F.substring(text, F.lit(1), half).alias("x"), F.substring(text, half + 1, F.length(text)).alias("y")
     )
-    rounds = F.array(*[F.lit(i) for i in range(2 * ROUNDS)])
 
     def turn(now: Column, i: Column) -> Column:
-        x = let(_number(key, kind, i, now["y"]), lambda n: _rotated(now["x"], n, alphabets))
+        x = let(_number(key, kind, tweak, i, now["y"]), lambda n: _rotated(now["x"], n, alphabets, False))
         return F.struct(now["y"].alias("x"), x.alias("y"))
 
-    return F.aggregate(rounds, start, turn, lambda now: F.concat(now["x"], now["y"]))
+    def back(now: Column, i: Column) -> Column:
+        x = let(_number(key, kind, tweak, i, now["x"]), lambda n: _rotated(now["y"], n, alphabets, True))
+        return F.struct(x.alias("x"), now["x"].alias("y"))
+
+    rounds = _rounds(backwards, 2 * ROUNDS)
+    return F.aggregate(rounds, start, back if backwards else turn, lambda now: F.concat(now["x"], now["y"]))
+
+
+def _next_letter(c: Column, key: str, kind: str, tweak: Column, alphabets: tuple[str, ...]) -> Column:
+    """The character behind ``c`` in a keyed order of its alphabet, the first behind the last."""
+    out = c
+    for letters in alphabets:
+        drawn = F.transform(
+            F.split(F.lit(letters), ""), lambda x: F.struct(_number(key, kind, tweak, x).alias("n"), x.alias("c"))
+        )
+        order = F.transform(F.array_sort(drawn), lambda x: x["c"])
+        behind = let(order, lambda o: F.element_at(o, (F.array_position(o, c) % len(letters) + 1).cast("int")))
+        out = F.when((F.instr(F.lit(letters), c) > 0) & (c != ""), behind).otherwise(out)
+    return out
+
+
+def permuted_text(
+    text: Column, key: str, kind: str, alphabets: tuple[str, ...], tweak: Column | None = None
+) -> Column:
+    """A keyed permutation of the texts with the same classes of characters in the same places.
+
+    Characters of no alphabet stay and play no part. The others go backwards through a
+    Feistel network, the first of them one step on in its alphabet, and through the
+    network again: so no text is its own image. One character alone has no halves; it
+    goes to the next in a keyed order of its alphabet. A ``tweak`` chooses the
+    permutation.
+    """
+    tweak = F.lit("") if tweak is None else tweak
+    letters = "".join(alphabets)
+    own = F.regexp_replace(text, f"[^{letters}]", "")
+
+    def image(chars: Column) -> Column:
+        back = _text_network(chars, key, kind, tweak, alphabets, True)
+        step = let(
+            back,
+            lambda t: F.concat(_turned(F.substring(t, 1, 1), F.lit(1), alphabets), F.substring(t, F.lit(2), F.length(t))),
+        )
+        whole = let(step, lambda t: _text_network(t, key, kind, tweak, alphabets, False))
+        return F.when(F.length(chars) == 1, _next_letter(chars, key, kind, tweak, alphabets)).otherwise(whole)
+
+    changed = let(let(own, image), lambda t: F.when(own == text, t).otherwise(_refilled(text, t, f"[{letters}]")))
+    return F.when(F.length(own) > 0, changed).otherwise(text)
 
 
 def _digits(text: Column) -> Column:
@@ -308,12 +378,11 @@ def pseudonym(match: Column, key: str) -> Column:
     """The pseudonym of a candidate; the candidate itself if it is not valid."""
     alnum = (DIGITS, LOWER, UPPER)
     at = F.instr(match, "@")
-    email = F.concat(
-        permuted_text(F.substring(match, F.lit(1), at - 1), key, "email", alnum), F.substring(match, at, F.length(match))
-    )
-    foreign = F.concat(
-        F.substring(match, 1, 3), permuted_text(F.substring(match, F.lit(4), F.length(match)), key, "foreign", (DIGITS,))
-    )
+    domain = F.substring(match, at, F.length(match))
+    email = F.concat(permuted_text(F.substring(match, F.lit(1), at - 1), key, "email", alnum, domain), domain)
+    digits = _digits(match)
+    number = permuted_text(F.substring(digits, F.lit(3), F.length(digits)), key, "foreign", (DIGITS,))
+    foreign = let(F.concat(F.substring(digits, 1, 2), number), lambda n: _refilled(match, n))
     secret = F.regexp_extract(match, r"([0-9a-f]{12,64})$", 1)
     opening = F.substring(match, F.lit(1), F.length(match) - F.length(secret))
     access = F.concat(
@@ -342,14 +411,14 @@ def pseudonymise(documents: DataFrame, key: str) -> DataFrame:
     Emails, access keys, hexadecimal secrets behind their name, IBANs (compact or in
     groups of four), dates from 1900 to 2099 (year first with - or /, day or month
     first with . / or -, English months in title case), IPv4 addresses, social
-    security numbers, telephone and card numbers. IBANs, cards
-    and dates get the same pseudonym in each of their forms; a date that reads both
+    security numbers, telephone and card numbers. IBANs, cards, dates and
+    telephone numbers get the same pseudonym in each of their forms; a date that reads both
     ways is read day first, and one that is only month first stays so. Not recognised: two-digit years, ordinals (May 5th),
     other languages' months, telephone numbers without separators or with a
     leading 0 (2125550187, 030 1234567), IPv6, IBANs in small letters or in groups
     of countries outside IBAN_LENGTHS, names and postal addresses. What fails
     validation stays as it is. A null text stays null with 0
-    pseudonyms; text of any length is read whole; ``n_chars``, if there is one, is
+    pseudonyms, an empty one empty; an empty table stays empty; text of any length is read whole; ``n_chars``, if there is one, is
     that of the new text. All other columns stay, but for an earlier n_pseudonyms;
     repeated rows and equal values get equal results.
     """

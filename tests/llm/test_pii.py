@@ -5,7 +5,7 @@ import pytest
 from llm_helpers import ODD, documents
 from pyspark.sql import functions as F
 
-from tellerbook.llm.pii import DIGITS, permuted, permuted_text, pseudonymise
+from tellerbook.llm.pii import DIGITS, LOWER, UPPER, permuted, permuted_text, pseudonymise
 
 KEY = "test"
 
@@ -148,3 +148,85 @@ def test_other_forms_that_are_no_values_stay(spark):
     assert changed(spark, texts) == (texts, [0] * len(texts))
     (text,), counts = changed(spark, ["DE89 4539 5787 6362 1486 00"])
     assert text.startswith("DE89 ") and text.endswith(" 00") and luhn(text[5:24]) and counts == [1]
+
+
+KEYS = ["corpus-pipeline", "registered-query", "k", "test", *(f"key-{i}" for i in range(6))]
+
+
+def test_no_name_of_one_character_stays(spark):
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    rows = spark.createDataFrame([(c, d) for c in letters for d in ("@x.org", "@mail.example.com")], "c string, d string")
+    alphabets = (DIGITS, LOWER, UPPER)
+    images = [permuted_text(F.col("c"), key, "email", alphabets, F.col("d")).alias(key) for key in KEYS]
+    found = rows.select("*", *images).collect()
+    for key in KEYS:
+        for domain in ("@x.org", "@mail.example.com"):
+            own = {r.c: r[key] for r in found if r.d == domain}
+            assert sorted(own.values()) == sorted(letters)
+            assert all(a != b and (a.isdigit(), a.isupper()) == (b.isdigit(), b.isupper()) for a, b in own.items())
+            # No shift: one known pair tells nothing about the others.
+            assert len({(ord(own[c]) - ord(c)) % 26 for c in letters[:26]}) > 5
+        assert len({tuple(r[key] for r in found if r.d == d) for d in ("@x.org", "@mail.example.com")}) == 2
+
+
+def test_short_names_in_addresses(spark):
+    texts = ["a@x.org", "see j@x.org.", ".b_@x.org", "a@x.org"]
+    found, counts = changed(spark, texts, "corpus-pipeline")
+    assert counts == [1] * 4 and found[0] == found[3]
+    assert re.fullmatch("[a-z]@x.org", found[0]) and re.fullmatch(r"see [a-z]@x\.org\.", found[1])
+    assert not any(a == b for a, b in zip(texts, found, strict=True))
+
+
+def test_nothing_is_its_own_pseudonym(spark):
+    text = F.lpad(F.col("id").cast("string"), 3, "0")
+    rows = spark.range(1000).select("id", permuted_text(text, KEY, "t", (DIGITS,)).alias("t"), permuted(F.col("id"), (40, 25), KEY, "n").alias("n"))
+    rows = rows.collect()
+    assert all(int(r.t) != r.id and r.n != r.id for r in rows) and {r.n for r in rows} == set(range(1000))
+
+
+def test_foreign_numbers_are_linked(spark):
+    forms = ["+44 20 7946 0958", "+442079460958", "+44-20-7946-0958", "+44 (20) 79460958"]
+    found, counts = changed(spark, forms)
+    assert counts == [1] * 4 and len({re.sub(r"\D", "", x) for x in found}) == 1
+    assert [re.sub(r"\d", "0", x) for x in found] == [re.sub(r"\d", "0", x) for x in forms]
+    assert found[1].startswith("+44") and found[1] != forms[1]
+
+
+def generated(random):
+    """Values of every kind, drawn without the operator's patterns."""
+
+    def digits(n):
+        return "".join(random.choice(list(DIGITS), n))
+
+    def word(n):
+        return "".join(random.choice(list("abcdefghijklmnopqrstuvwxyz"), n))
+
+    payload = digits(15)
+    card = next(payload + c for c in DIGITS if luhn(payload + c))
+    account = digits(18)
+    iban = next(f"DE{n:02d}{account}" for n in range(98, 1, -1) if mod97(f"DE{n:02d}{account}"))
+    y, m, d = int(random.integers(1900, 2100)), int(random.integers(1, 13)), int(random.integers(1, 29))
+    return [
+        f"{word(int(random.integers(1, 9)))}@{word(3)}.org", f"{word(1)}.{word(1)}@{word(4)}.com", card,
+        " ".join(card[i : i + 4] for i in range(0, 16, 4)), iban, " ".join(iban[i : i + 4] for i in range(0, 22, 4)),
+        f"{y}-{m:02d}-{d:02d}", f"{d}.{m}.{y}", f"{m}/{d}/{y}", f"{digits(1)}.{digits(1)}.{digits(1)}.{digits(1)}",
+        f"+49 {digits(3)} {digits(7)}", f"+33{digits(9)}", f"2{digits(2)}-5{digits(2)}-{digits(4)}",
+        f"12{digits(1)}-4{digits(1)}-6{digits(3)}", "AKIA" + "".join(random.choice(list(DIGITS + "QWERTZ"), 16)),
+        f"secret: {digits(5)}abc{digits(9)}",
+    ]
+
+
+@pytest.mark.parametrize("key", KEYS[:3])
+def test_no_original_value_is_left_anywhere(spark, random, key):
+    values = [generated(random) for _ in range(40)]
+    found, counts = changed(spark, [" then ".join(["a text", *own, "end", own[0]]) for own in values], key)
+    for text, own, n in zip(found, values, counts, strict=True):
+        assert n == len(own) + 1
+        for value in own:
+            bare = value.removeprefix("secret: ")
+            assert not re.search(rf"(?<![\w.+-]){re.escape(bare)}(?!\w)", text), (bare, text)
+
+
+def test_repeated_rows_are_equal(spark):
+    found, counts = changed(spark, ["card 4539578763621486, a@b.org"] * 5)
+    assert len(set(found)) == 1 and counts == [2] * 5
