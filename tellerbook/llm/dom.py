@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from dataclasses import dataclass, field
 
+# A quote opens a value only behind =, and only if it is closed; each part is taken once.
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
+    r"<!--(?:.*?-->|.*)|<[!?][^>]*+>"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)>",
+    re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+# Where quotes run to the end of the page: a tag ends at the next >.
+_PLAIN_TAG = re.compile(r"<!--(?:.*?-->|.*)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.DOTALL)
+_ATTRIBUTE = re.compile(r"(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))")
 
 #: Elements of HTML by how they are read (fixed values).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -24,6 +30,8 @@ ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
     "th": {"td", "th"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "option": {"option"}, "body": {"head"},
 }
+#: Elements of other languages, which may close themselves.
+FOREIGN = ("svg", "math")
 HOLDERS = frozenset("html body div article section main aside nav table ul ol dl form blockquote td th".split())
 ENDS_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 "
@@ -54,41 +62,95 @@ def attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(text)}
 
 
+class _Open:
+    """The stack of open elements, and where in it each tag is."""
+
+    def __init__(self) -> None:
+        self.tags, self.nodes = ["#page"], [0]
+        self.places: dict[str, list[int]] = {}
+        self.holders: list[int] = []
+        self.blocks: list[int] = [0]
+        self.unseen = self.links = 0
+
+    def push(self, tag: str, node: int) -> None:
+        self.places.setdefault(tag, []).append(len(self.tags))
+        if tag in HOLDERS:
+            self.holders.append(len(self.tags))
+        if tag not in INLINE:
+            self.blocks.append(len(self.tags))
+        self.tags.append(tag)
+        self.nodes.append(node)
+        self.unseen += tag in UNSEEN
+        self.links += tag == "a"
+
+    def close(self, to: int) -> None:
+        while len(self.tags) > to:
+            tag = self.tags.pop()
+            self.nodes.pop()
+            self.places[tag].pop()
+            if tag in HOLDERS:
+                self.holders.pop()
+            if tag not in INLINE:
+                self.blocks.pop()
+            self.unseen -= tag in UNSEEN
+            self.links -= tag == "a"
+
+    def last(self, tag: str) -> int:
+        own = self.places.get(tag)
+        return own[-1] if own else 0
+
+    def close_within_holder(self, ended: set[str]) -> None:
+        """Close the open elements of these tags above the nearest holder of another tag."""
+        holder = next((i for i in reversed(self.holders) if self.tags[i] not in ended), 0)
+        own = (self.places.get(tag, []) for tag in ended)
+        lowest = min((places[k] for places in own if (k := bisect_right(places, holder)) < len(places)), default=0)
+        if lowest:
+            self.close(lowest)
+
+    def close_inline(self, tag: str) -> None:
+        """Close an inline element, if it is open above the nearest block."""
+        if self.last(tag) > self.blocks[-1]:
+            self.close(self.last(tag))
+
+
 def parse(page: str) -> Tree:
-    """The tree of a page; tags that nothing opened or closed do no harm."""
-    tree = Tree()
-    open_: list[tuple[str, int]] = [("#page", 0)]
+    """The tree of a page; tags that nothing opened or closed do no harm.
+
+    A tag ends at the first > outside quoted values; what starts like a tag and has no
+    such end is text. The page is read once, in time that grows with its length.
+    """
+    tree, open_ = Tree(), _Open()
     run: list[str] = []
-    links = unseen = linked = 0
-    at, size = 0, len(page)
+    linked = 0
+    at, size, last_end = 0, len(page), page.rfind(">")
+    form = _TAG
 
     def flush() -> None:
         nonlocal linked
         if run:
             text = " ".join(html.unescape("".join(run)).split())
             if text:
-                tree.add(open_[-1][1], "#text", "", text, linked)
+                tree.add(open_.nodes[-1], "#text", "", text, linked)
             run.clear()
         linked = 0
 
-    def close(to: int) -> None:
-        nonlocal unseen, links
-        for tag, _ in open_[to:]:
-            unseen -= tag in UNSEEN
-            links -= tag == "a"
-        del open_[to:]
-
     while at < size:
-        found = _TAG.search(page, at)
-        end = found.start() if found else size
-        if end > at and not unseen:
+        start = page.find("<", at)
+        found = None
+        if start >= 0:
+            comment = page.startswith("<!--", start)
+            if start < last_end or comment:
+                found = form.match(page, start)
+                if found is None and form is _TAG and (found := _PLAIN_TAG.match(page, start)):
+                    # Quotes led to the end of the page; from here on they are not trusted.
+                    form = _PLAIN_TAG
+        end = size if start < 0 else start if found else start + 1
+        if end > at and not open_.unseen:
             run.append(page[at:end])
-            if links:
+            if open_.links:
                 linked += end - at
-        if not found:
-            break
-        at = found.end()
-        tag = (found[2] or "").lower()
+        at = found.end() if found else end
+        tag = (found[2] or "").lower() if found else ""
         if not tag:
             continue
         block = tag not in INLINE
@@ -97,32 +159,23 @@ def parse(page: str) -> Tree:
         elif tag in ("br", "img"):
             run.append(" ")
         if found[1]:
-            for i in range(len(open_) - 1, 0, -1):
-                if open_[i][0] == tag:
-                    close(i)
-                    break
-                if not block and open_[i][0] not in INLINE:
-                    break
+            if not block:
+                open_.close_inline(tag)
+            elif open_.last(tag):
+                open_.close(open_.last(tag))
             continue
         if tag in RAW:
             raw_end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.IGNORECASE).search(page, at)
             at = page.find(">", raw_end.start()) + 1 if raw_end else size
             at = at or size
             continue
-        if tag in VOID or found[3].endswith("/") and tag in ("br", "hr"):
+        if tag in VOID or found[3].endswith("/") and tag in ("br", "hr", *FOREIGN):
             continue
-        if block and unseen and open_[-1][0] == "head" and tag not in UNSEEN:
-            close(len(open_) - 1)
+        if block and open_.unseen and open_.tags[-1] == "head" and tag not in UNSEEN:
+            open_.close(len(open_.tags) - 1)
         if tag in ENDS_P or tag in ENDS:
-            ended = ENDS.get(tag, set()) | ({"p"} if tag in ENDS_P else set())
-            for i in range(len(open_) - 1, 0, -1):
-                if open_[i][0] in ended:
-                    close(i)
-                elif open_[i][0] in HOLDERS:
-                    break
-        node = tree.add(open_[-1][1], tag, found[3]) if block and not unseen else open_[-1][1]
-        open_.append((tag, node))
-        unseen += tag in UNSEEN
-        links += tag == "a"
+            open_.close_within_holder(ENDS.get(tag, set()) | ({"p"} if tag in ENDS_P else set()))
+        node = tree.add(open_.nodes[-1], tag, found[3]) if block and not open_.unseen else open_.nodes[-1]
+        open_.push(tag, node)
     flush()
     return tree

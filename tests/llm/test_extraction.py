@@ -1,4 +1,5 @@
 import itertools
+import time
 
 import numpy as np
 import pytest
@@ -100,3 +101,45 @@ def test_tables(spark, model):
 def test_a_long_page_is_read_whole(model):
     page = "<article>" + f"<p>{ARTICLE}</p>" * 5000 + "</article>"
     assert main_texts([page], model) == ["\n".join([ARTICLE] * 5000)]
+
+
+def words(page):
+    return [t for t in parse(page).texts if t]
+
+
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ("<p title=O'Brien>one</p><p>don't two</p>", ["one", "don't two"]),
+        ('<p class=x">one</p><p>two "three"</p>', ["one", 'two "three"']),
+        ('<p title="a > b">one</p>', ["one"]),
+        ("<p title='a > b' class=\"c>d\">one</p>", ["one"]),
+        ('<p title = "a > b">one</p>', ["one"]),
+        ('<p title="never closed>one</p><p>two</p>', ["one", "two"]),
+        ('<p "odd">one</p>', ["one"]),
+        ('<p>one <svg viewBox="0 0 1 1"/> two</p><p>three</p>', ["one", "two", "three"]),
+        ("<p>one <math/>two</p>", ["one", "two"]),
+        ("<p>one <svg><path d='x'/><g/></svg> two</p>", ["one", "two"]),
+        ("a < b <c> d <", ["a < b", "d <"]),
+        ("one<!-- > never closed <p>two", ["one"]),
+        ("one <a href=x/>two</a> three", ["one two three"]),
+        ("<td>a<td>b<tr>c<li>d<li>e", ["a", "b", "c", "d", "e"]),
+        ("<b>one<i>two</b>three</i> four", ["onetwothree four"]),
+        ("<p>x<i>y<div>z</i> w</div>", ["xy", "z w"]),
+    ],
+)
+def test_tags_with_odd_quotes(page, texts):
+    assert words(page) == texts
+
+
+ENDLESS = ['<a "', '<a x="', "<a x='>", '<a x=">"', "<p>", "<p><x>", "<b>", "</i>", "<i><div>", "</section>", "<td>", "<!", "<!-", "< ", "=\"'", "<svg/>", "<li><b>"]
+
+
+@pytest.mark.parametrize("part", ENDLESS)
+def test_parsing_is_linear(part):
+    """Two megabytes of what used to be read again and again."""
+    begun = time.perf_counter()
+    parse(part * (2_000_000 // len(part)) + "</i><p>end>")
+    mixed = "<i><div>" + "<b>" * 100_000 + part * 200_000
+    parse(mixed)
+    assert time.perf_counter() - begun < 20
