@@ -13,10 +13,10 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from tellerbook.functions.columns import iso_text  # noqa: E402
+from tellerbook.functions.columns import iso_text, utc_date  # noqa: E402
 from tellerbook.operators import quality  # noqa: E402
 from tellerbook.operators.gold import gold_account_summary  # noqa: E402
 from tellerbook.operators.silver import (  # noqa: E402
@@ -24,6 +24,7 @@ from tellerbook.operators.silver import (  # noqa: E402
     flag_high_value,
     silver_cast,
 )
+from tellerbook.operators.sketches import daily_sketches, stream_sketches, united  # noqa: E402
 from tellerbook.operators.synth import transactions_for  # noqa: E402
 from tellerbook.plans.deltas import fold_changes, refresh_gold_deltas  # noqa: E402
 from tellerbook.plans.pipeline import (  # noqa: E402
@@ -55,9 +56,11 @@ from tellerbook.sources.events import (  # noqa: E402
     read_event_stream,
     write_events,
 )
+from tellerbook.sources.fields import promote_field, read_bronze_with_extra  # noqa: E402
 from tellerbook.streaming.daily import (  # noqa: E402
     read_stream_gold,
     read_stream_latest,
+    read_stream_sketches,
     stream_dedup,
     stream_gold,
     stream_latest,
@@ -65,6 +68,8 @@ from tellerbook.streaming.daily import (  # noqa: E402
     write_updates,
 )
 from tellerbook.streaming.ingest import run_ingest  # noqa: E402
+from tellerbook.streaming.latest import read_latest_by_time, stream_latest_bounded  # noqa: E402
+from tellerbook.streaming.repair import LiveGold, run_live_gold  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -413,6 +418,76 @@ def q_stream_latest(spark: SparkSession, folder: str) -> DataFrame:
     return _plain_time(read_stream_latest(spark, f"{root}/silver"))
 
 
+def _by_time(events: DataFrame, after: str, before: str) -> DataFrame:
+    return events.where((F.col("timestamp") >= after) & (F.col("timestamp") < before))
+
+
+def q_stream_latest_bounded(spark: SparkSession, folder: str) -> DataFrame:
+    """Events and corrections in three deliveries by time; old ids are forgotten between them."""
+    root = working_folder(spark, "bounded")
+    events = click_events(spark, folder).union(_corrections(spark, folder))
+    for after, before in (("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "9999")):
+        write_events(_by_time(events, after, before), f"{root}/landing")
+        lines = read_event_stream(spark, f"{root}/landing")
+        rows = stream_silver(accepted(parse_events(lines)), CLICK_THRESHOLD)
+        write_updates(stream_latest_bounded(rows), f"{root}/silver", f"{root}/checkpoint")
+    return _plain_time(read_latest_by_time(spark.read.schema(SILVER).parquet(f"{root}/silver")))
+
+
+def q_stream_late_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Events arrive in no order, over several batches; rows behind the frontier repair gold."""
+    root = working_folder(spark, "repair")
+    events = click_events(spark, folder).union(_corrections(spark, folder))
+    third = F.pmod(F.xxhash64("transaction_id", "timestamp"), F.lit(3))
+    live = LiveGold(spark, root, threshold=CLICK_THRESHOLD, buckets=BUCKETS)
+    for part in (1, 0, 2):
+        write_events(events.where(third == part), f"{root}/landing")
+        run_live_gold(live, f"{root}/landing")
+    live.close_days()
+    return read_gold(spark, live.gold)
+
+
+def q_bronze_promoted_field(spark: SparkSession, folder: str) -> DataFrame:
+    """A field that the schema doesn't know becomes a column, over the batches that had it."""
+    root = working_folder(spark, "fields")
+    events = table(spark, folder, "events").select(F.col("event_id").cast("string").alias("transaction_id"), "props")
+    lines = encode_events(click_events(spark, folder).join(events, "transaction_id"))
+    # The column is JSON text; here it goes into the message as an object.
+    nested = F.regexp_replace(F.replace(F.col("value"), F.lit('\\"'), F.lit('"')), r'"props":"(\{.*\})"', '"props":$1')
+    lines.select(nested.alias("value")).write.text(f"{root}/landing")
+    run_ingest(spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint", keep_unknown=True)
+    append_bronze(order_events(spark, folder), f"{root}/bronze", 0)
+    rows = promote_field(read_bronze_with_extra(spark, f"{root}/bronze"), "$.props.k", "int", "k")
+    return rows.select("transaction_id", "transaction_type", "k")
+
+
+def q_sketch_monthly_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored daily sketches united by month, against the exact counts."""
+    silver = build_silver(lineitem_events(spark, folder))
+    root = working_folder(spark, "sketches")
+    daily_sketches(silver).write.parquet(root)
+    return _against_exact(spark.read.parquet(root), silver)
+
+
+def q_stream_monthly_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """The same of sketches that a stream keeps, on which copies leave no trace."""
+    root = working_folder(spark, "stream-sketches")
+    write_updates(stream_sketches(_redelivered(spark, folder, root)), f"{root}/ids", f"{root}/checkpoint")
+    silver = build_silver(click_events(spark, folder), CLICK_THRESHOLD)
+    return _against_exact(read_stream_sketches(spark, f"{root}/ids"), silver)
+
+
+def _against_exact(sketches: DataFrame, silver: DataFrame) -> DataFrame:
+    def month(day: str | Column) -> Column:
+        return F.date_format(day, "yyyy-MM")
+
+    exact = silver.groupBy(month(utc_date(F.col("transaction_timestamp"))).alias("period")).agg(
+        F.countDistinct("sender_account").alias("accounts")
+    )
+    held = F.col("accounts").between(F.col("at_least"), F.col("at_most")).alias("within_bound")
+    return united(sketches, month("date_transaction")).join(exact, "period").select("period", "accounts", held)
+
+
 # Synthesis
 
 
@@ -538,6 +613,13 @@ FROM ({silver})
 GROUP BY 1, 2, 3"""
 
 
+def _monthly_sql(silver: str) -> str:
+    return f"""
+SELECT strftime(transaction_timestamp, '%Y-%m') AS period, count(DISTINCT sender_account) AS accounts,
+       true AS within_bound
+FROM ({silver}) GROUP BY 1"""
+
+
 _CLICK_SILVER = _silver_sql(_CLICKS, 100)
 _CLICK_GOLD = _gold_sql(_CLICK_SILVER)
 _CORRECTED_SILVER = _silver_sql(f"{_CLICKS} UNION ALL {_CORRECTIONS}", 100)
@@ -729,6 +811,14 @@ WHERE date_transaction BETWEEN DATE '{GAP[0]}' AND DATE '{GAP[1]}'""",
         "stream_dedup": _CLICK_SILVER,
         "stream_daily_window": _CLICK_GOLD,
         "stream_latest": _silver_sql(_LINEITEM),
+        "stream_latest_bounded": _CORRECTED_SILVER,
+        "stream_late_repair": _gold_sql(_CORRECTED_SILVER),
+        "bronze_promoted_field": """
+SELECT CAST(event_id AS VARCHAR) AS transaction_id, event_type AS transaction_type,
+       CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), o_orderpriority, NULL FROM orders""",
+        "sketch_monthly_ids": _monthly_sql(_silver_sql(_LINEITEM)),
+        "stream_monthly_ids": _monthly_sql(_CLICK_SILVER),
         "synth_backfill": _synth_sql(
             "orders", "o_orderkey", 6, "", "'PIX', 'TED', 'CREDIT_CARD', 'DEBIT'",
             f"(1000 + {_draw_sql(5, 1_499_001)})",

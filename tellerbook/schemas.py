@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BinaryType,
     BooleanType,
     DateType,
     DecimalType,
@@ -12,6 +13,7 @@ from pyspark.sql.types import (
     StructField,
     StructType,
     TimestampType,
+    VariantType,
 )
 
 KEY = "transaction_id"
@@ -36,6 +38,10 @@ EVENT = StructType(
 )
 EVENT_TEXT_FIELDS = tuple(f.name for f in EVENT if f.dataType == StringType())
 
+# Fields of a message that EVENT doesn't know, kept on request.
+EXTRA = "extra"
+WITH_EXTRA = StructType([StructField(EXTRA, VariantType())])
+
 # The append-only log: the message fields, the raw text and reason of rejected
 # lines, the trigger time, and the directory levels.
 BRONZE_PARTITIONS = ("ingest", "batch_id", "outcome", "transaction_type")
@@ -92,3 +98,6 @@ GOLD_PARTS = StructType(
         StructField("high_rest", DoubleType()),
     ]
 )
+
+# Distinct ids of a day.
+SKETCHES = StructType([StructField(DATE, DateType()), StructField("ids", BinaryType())])

@@ -114,6 +114,15 @@ def read_bronze(
     return _accepted(_log(spark, root, file_format, added), added)
 
 
+def read_bronze_batch(
+    spark: SparkSession, root: str, batch_id: int, ingest: str = "batch", file_format: str = "parquet"
+) -> DataFrame:
+    """The accepted events of one batch; no other folder is listed."""
+    path = f"{root}/ingest={ingest}/batch_id={int(batch_id)}"
+    rows = spark.read.format(file_format).schema(BRONZE).option("basePath", root).load(path)
+    return _accepted(rows)
+
+
 def read_bronze_table(spark: SparkSession, table: str) -> DataFrame:
     """All accepted events of the catalog table."""
     return _accepted(spark.table(table))

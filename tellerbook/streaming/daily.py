@@ -19,6 +19,7 @@ from tellerbook.schemas import (
     KEY,
     QUEUE_RETENTION,
     SILVER,
+    SKETCHES,
 )
 
 TIME = "transaction_timestamp"
@@ -134,6 +135,11 @@ def read_stream_latest(spark: SparkSession, path: str) -> DataFrame:
     return _latest_updates(spark, path, SILVER, (KEY,))
 
 
+def read_stream_sketches(spark: SparkSession, path: str) -> DataFrame:
+    """The newest sketch of each day written by ``write_updates``."""
+    return _latest_updates(spark, path, SKETCHES, (DATE,))
+
+
 def rows_dropped_by_watermark(query: StreamingQuery) -> int:
     """Late rows the query left out, over the progress Spark still keeps."""
     return sum(

@@ -56,6 +56,7 @@ def run_ingest(
     missing_text: str | None = None,
     rebalance: bool = False,
     file_format: str = "parquet",
+    keep_unknown: bool = False,
 ) -> StreamingQuery:
     """Ingest a landing folder; bad lines go to quarantine, the rest goes on.
 
@@ -64,7 +65,7 @@ def run_ingest(
     """
     ensure_bronze(spark, root, file_format=file_format)
     lines = read_event_stream(spark, landing, max_files, max_bytes)
-    parsed = parse_events(lines, missing_text)
+    parsed = parse_events(lines, missing_text, keep_unknown)
     query = write_bronze_stream(parsed, root, checkpoint, every, rebalance, file_format)
     if not every:
         query.awaitTermination()

@@ -1,0 +1,73 @@
+import random
+
+from helpers import bronze, event, lands, rows
+
+from tellerbook.operators.silver import build_silver
+from tellerbook.schemas import SILVER
+from tellerbook.sources.events import accepted, parse_events, read_event_stream
+from tellerbook.streaming.daily import stream_silver, write_updates
+from tellerbook.streaming.latest import _rank, read_latest_by_time, stream_latest_bounded
+
+
+def deliver(spark, folder, name, items, **options):
+    """One more delivery through the stream; the rows of its state before and after."""
+    lands(f"{folder}/landing", name, items)
+    lines = read_event_stream(spark, f"{folder}/landing")
+    latest = stream_latest_bounded(stream_silver(accepted(parse_events(lines))), **options)
+    query = write_updates(latest, f"{folder}/out", f"{folder}/checkpoint")
+    return [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+
+
+def written(spark, folder):
+    return spark.read.schema(SILVER).parquet(f"{folder}/out")
+
+
+def test_equals_the_batch_within_the_retention(spark, folder, other_zone):
+    rng = random.Random(3)
+    items = []
+    for day in (1, 2, 3):
+        delivery = [
+            event(
+                f"t{rng.randrange(15)}",
+                f"2026-07-{rng.randint(day, day + 4):02d}T{rng.randint(0, 23):02d}:00:00",
+                rng.choice([1.0, 2.5, 20_000.0]),
+                sender_account=f"{rng.randint(100, 102)}-00000",
+            )
+            for _ in range(40)
+        ]
+        items += delivery
+        deliver(spark, folder, f"{day}.json", delivery)
+    expected = build_silver(bronze(spark, items)).select(*SILVER.fieldNames())
+    assert rows(read_latest_by_time(written(spark, folder))) == rows(expected)
+
+
+def test_only_newer_versions_are_emitted(spark, folder):
+    deliver(spark, folder, "1.json", [event("a", amount=5.0), event("a", amount=7.0), event("a", "2026-07-06T00:00:00")])
+    deliver(spark, folder, "2.json", [event("a", amount=7.0), event("a", amount=6.0), event("b")])
+    deliver(spark, folder, "3.json", [event("a", "2026-07-08T00:00:00", amount=1.0)])
+    found = [(r.transaction_id, r.amount_usd) for r in written(spark, folder).collect()]
+    assert sorted(found) == [("a", 1.0), ("a", 7.0), ("b", 100.0)]
+
+
+def test_state_is_given_back(spark, folder):
+    old = [event(f"old{i}", "2026-07-01T00:00:00") for i in range(50)]
+    assert max(deliver(spark, folder, "1.json", old)) == 50
+    # An id that changes again is held from its new time on.
+    deliver(spark, folder, "2.json", [event("old0", "2026-07-14T00:00:00")])
+    sizes = deliver(spark, folder, "3.json", [event("new", "2026-07-20T00:00:00")])
+    assert sizes[-1] == 2
+    sizes = deliver(spark, folder, "4.json", [event("newer", "2026-08-20T00:00:00")])
+    assert sizes[-1] == 1
+    assert read_latest_by_time(written(spark, folder)).count() == 52
+
+
+def test_rows_behind_the_watermark_are_left_out(spark, folder):
+    deliver(spark, folder, "1.json", [event("a", "2026-07-20T00:00:00")])
+    deliver(spark, folder, "2.json", [event("b", "2026-07-01T00:00:00"), event("c", "2026-07-19T00:00:00")])
+    assert sorted(r.transaction_id for r in written(spark, folder).collect()) == ["a", "c"]
+
+
+def test_rank_is_that_of_structs(spark):
+    values = [None, float("-inf"), -1.0, 0.0, 2.0, float("inf"), float("nan")]
+    assert sorted(values[::-1], key=lambda v: _rank((v,))) [:6] == values[:6]
+    assert _rank((1, None)) < _rank((1, "")) < _rank((1, "a")) < _rank((2, None))

@@ -9,6 +9,7 @@ from test_silver_gold import many_events
 import tellerbook.plans.pipeline as pipeline
 from tellerbook.operators.quality import QualityError
 from tellerbook.operators.silver import build_silver
+from tellerbook.plans import stored as stored_layers
 from tellerbook.schemas import GOLD, SILVER
 from tellerbook.sources.bronze import append_bronze, read_bronze
 from tellerbook.sources.events import read_events
@@ -202,8 +203,8 @@ def test_interrupted_refresh_can_be_repeated(book, monkeypatch, fail_at):
         return run
 
     with monkeypatch.context() as patch:
-        patch.setattr(pipeline, "remove_folder", stopping(pipeline.remove_folder))
-        patch.setattr(pipeline, "write_daily", stopping(pipeline.write_daily))
+        patch.setattr(stored_layers, "remove_folder", stopping(stored_layers.remove_folder))
+        patch.setattr(stored_layers, "write_daily", stopping(stored_layers.write_daily))
         try:
             book.refresh()
         except OSError:
