@@ -95,11 +95,17 @@ def mix_plan(
     ``cap`` times its size, the excess goes to the others by weight. A source of a
     null name comes last; a null or empty text has size 0 and is never taken.
     Repeated rows are documents of their own, null ids are allowed, further columns
-    play no part. No words at all: targets and taken are 0.
+    play no part. No words at all: targets and taken are 0. Texts are counted whole,
+    whatever their length; an empty table gives an empty plan.
     """
     rows = need_columns(documents, "doc_id", "source", "text")
-    rows = stored(rows.select("doc_id", "source", word_count("text").alias("size")), "sizes")
+    sized = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", word_count("text").alias("size"))
+    rows = stored(sized, "sizes")
+    return _plan(rows, weights, share, cap, block, seed).drop("row")
 
+
+def _plan(rows: DataFrame, weights: Sequence[int], share: float, cap: float, block: int, seed: int) -> DataFrame:
+    """``mix_plan`` of (doc_id, source, size, row); documents without an id are dealt by their row."""
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("documents"))
     shards = F.least(F.lit(MOST_SHARDS), F.ceil(F.col("documents") / SHARD_DOCUMENTS))
     sources = _targets(sources, weights, share, cap).withColumn("shards", shards.cast("long"))
@@ -113,17 +119,18 @@ def mix_plan(
     )
 
     named = sources.withColumnRenamed("source", "_s")
-    order = seeded(seed, "doc_id")
+    dealt = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("\0"), F.col("row")))
     placed = (
         rows.join(named, F.col("source").eqNullSafe(F.col("_s")))
-        .withColumn("_h", order)
-        .withColumn("shard", F.pmod(seeded(seed, "doc_id", part=16), "shards"))
-        .select("doc_id", "source", "size", "source_size", "target", "quota", "_h", "shard")
+        .withColumn("_d", dealt)
+        .withColumn("_h", seeded(seed, "_d"))
+        .withColumn("shard", F.pmod(seeded(seed, "_d", part=16), "shards"))
+        .select("row", "doc_id", "source", "size", "source_size", "target", "quota", "_h", "shard")
     )
     lots = placed.groupBy("source", "shard", F.col("quota").alias("seats")).agg(F.sum("size").alias("words"))
     lots = apportion(lots, ["source"], "shard", "words", "seats")
     lots = lots.select(F.col("source").alias("_s"), F.col("shard").alias("_k"), "words", F.col("quota").alias("lot"))
-    up_to = Window.partitionBy("source", "shard").orderBy("_h", "doc_id", "size")
+    up_to = Window.partitionBy("source", "shard").orderBy("_h", "doc_id", "size", "row")
     end = F.sum("size").over(up_to.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     placed = placed.withColumn("start", end - F.col("size"))
     at = placed.join(lots, F.col("source").eqNullSafe(F.col("_s")) & (F.col("shard") == F.col("_k")), "left")
@@ -138,7 +145,7 @@ def mix_plan(
     )
     taken = F.col("passes") * F.col("size") + (words_before("start + size", block) - words_before("start", block))
     return at.select(
-        "doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"),
+        "row", "doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"),
         "shard", "start", "passes", "blocks", "picks", "turn",
     )
 
@@ -157,27 +164,34 @@ def words_before(position: str, block: int) -> Column:
     )
 
 
-def mixed(documents: DataFrame, **settings) -> DataFrame:
+def mixed(
+    documents: DataFrame,
+    weights: Sequence[int] = WEIGHTS,
+    share: float = SHARE,
+    cap: float = CAP,
+    block: int = BLOCK,
+    seed: int = 17,
+) -> DataFrame:
     """The mix itself: rows with the columns of ``documents`` and the words taken.
 
     A document taken whole comes once per pass; of the last pass it keeps the
     words in the blocks taken, each with the white space behind it. ``n_chars``, if
-    there is one, counts the new text. Documents of which nothing is taken go.
+    there is one, counts the new text. Documents of which nothing is taken go, so null,
+    empty and blank texts do. Repeated rows and null ids are rows of their own; an
+    empty table stays empty; texts of any length are cut whole.
+
+    Rows are written once and their numbers join them with the plan, one to one.
     """
-    block = settings.get("block", BLOCK)
-    # Rows and plan are numbered alike within a key, so repeated rows find their own part.
-    key = F.xxhash64("doc_id", "source")
-    same = Window.partitionBy("_key").orderBy("doc_id", "source", "size", F.md5(F.coalesce("text", F.lit(""))))
-    rows = documents.select(F.struct(*documents.columns).alias("_row"), "doc_id", "source", "text")
-    rows = rows.withColumn("_key", key).withColumn("size", word_count("text"))
-    rows = rows.withColumn("_i", F.row_number().over(same))
-    again = Window.partitionBy("_key").orderBy("doc_id", "source", "size", "shard", "start")
-    plan = mix_plan(documents, **settings).withColumn("_key", key).withColumn("_j", F.row_number().over(again))
+    rows = documents.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "source", word_count("text").alias("size"),
+        F.struct(*documents.columns).alias("_row"),
+    )
+    rows = stored(rows, "mixed")
+    plan = _plan(rows.select("row", "doc_id", "source", "size"), weights, share, cap, block, seed)
     plan = plan.where("taken > 0").select(
-        "_key", "_j", F.col("size").alias("_size"), "taken", "start", "passes", "blocks", "picks", "turn"
+        "row", F.col("size").alias("_size"), "taken", "start", "passes", "blocks", "picks", "turn"
     )
-    # The number is compared behind the join, which keeps the partitioning by key.
-    both = rows.join(plan, "_key").where("_i - _j = 0")
+    both = rows.select("row", "size", "_row", F.col("_row.text").alias("text")).join(plan, "row")
     rest = F.col("taken") - F.col("passes") * F.col("_size")
     words = F.regexp_extract_all("text", F.lit(f"({WORD}[\\x20\\x09-\\x0D]*)"), F.lit(1))
     taken = F.expr(

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tellerbook.llm.groups import each_group
-from tellerbook.llm.store import need_columns
+from tellerbook.llm.store import need_columns, stored
 
 LENGTH = 1024
 LOT = 512
@@ -97,7 +97,6 @@ def _encoded(ranks: str | None):
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": part.column(0),
-                        "lot": part.column(2),
                         "doc_tokens": np.array([len(x) for x in ids], np.int64),
                         "heads": pa.array(heads, pa.list_(pa.int64())),
                         "tail": pa.array(tails, pa.binary()),
@@ -155,16 +154,22 @@ def pack(documents: DataFrame, ranks: str | None = None) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 tokens.
 
     Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset. A
-    null or empty text is the end id alone. Repeated rows are documents of their
-    own and null ids are allowed; an empty table gives no pieces. ``ranks`` is the
+    null or empty text is the end id alone; a very long one is cut into whole sequences
+    and one rest. Repeated rows are documents of their own and null ids are allowed; an
+    empty table gives no pieces. Documents of equal length are placed in the order of
+    their ids. ``ranks`` is the
     path of a rank file at every executor; by default the one of byte_bpe_50k, whose
     added token <|endoftext|> is one token in texts too. Other rank files add none.
     Further columns play no part.
+
+    Encoded documents are written once; a lot is drawn for each written row, so rows
+    that are equal, however many, are spread over all lots.
     """
     rows = need_columns(documents, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    lots = max(1, -(-rows.count() // LOT))
-    lot = F.pmod(F.xxhash64("doc_id", F.length("text"), F.substring("text", 1, 64)), F.lit(lots))
-    kinds = "doc_id long, lot long, doc_tokens long, heads array<long>, tail binary"
-    ready = rows.withColumn("lot", lot).mapInArrow(_encoded(ranks), kinds)
+    kinds = "doc_id long, doc_tokens long, heads array<long>, tail binary"
+    ready = stored(rows.mapInArrow(_encoded(ranks), kinds), "encoded")
+    lots = max(1, -(-ready.count() // LOT))
+    # The number of a row of a written table, the same whenever a task reads it again.
+    lot = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(lots))
     kinds = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return each_group(ready, "lot", _packed, kinds, "doc_id")
+    return each_group(ready.withColumn("lot", lot), "lot", _packed, kinds, "doc_id", "doc_tokens")

@@ -73,4 +73,29 @@ def test_empty_documents(spark, folder_of, tmp_path):
 
 def test_registered_names():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
+
+
+def kept_rows(spark, rows, columns="doc_id long, text string, lang string, source string, n_chars long"):
+    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], columns)
+    out = corpus_pipeline.near_dedup_stage(spark, frame, "")
+    assert out.columns == frame.columns
+    return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+
+def test_each_text_of_an_id_counts(spark, random):
+    one, two, three = (" ".join(spoken(random, 60, 5000)) for _ in range(3))
+    rows = [(1, one), (1, two), (2, one + " end"), (3, three), (3, three), (None, three), (None, "null id " + three), (None, None), (1, "")]
+    expected = sorted([(1, two), (2, one + " end"), (3, three), (None, None), (1, "")], key=str)
+    assert kept_rows(spark, rows) == expected == kept_rows(spark, rows[::-1])
+
+
+def test_null_ids_take_part_by_text(spark, random):
+    texts = [" ".join(spoken(random, 50, 5000)) for _ in range(3)]
+    rows = [(None, t) for t in texts for _ in range(4)] + [(7, texts[0])]
+    assert kept_rows(spark, rows) == sorted([(7, texts[0]), (None, texts[1]), (None, texts[2])], key=str)
+
+
+def test_ids_that_are_single_win(spark, random):
+    text = " ".join(spoken(random, 50, 5000))
+    assert kept_rows(spark, [(1, text), (1, text + " x"), (9, text), (9000, text + " y")]) == [(9, text)]

@@ -4,6 +4,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
+from tellerbook.llm import mixing
 from tellerbook.llm.mixing import apportion, mix_plan, mixed, word_count
 
 from llm_helpers import ODD, documents, spoken
@@ -83,3 +84,16 @@ def test_odd_and_empty_tables(spark):
     assert [(r.size, r.taken, r.target) for r in nothing] == [(0, 0, 0.0)] * 3
     rows = mix_plan(documents(spark, ODD, extra=True)).collect()
     assert len(rows) == len(ODD) and {r.doc_id: r.size for r in rows}[7] == 40_000
+
+
+def test_rows_without_ids_are_spread_and_joined_one_to_one(spark):
+    frame = spark.range(100_000).selectExpr(
+        "CAST(NULL AS long) AS doc_id", "'the same few words here' AS text", "'en' AS lang", "'s' AS source", "CAST(23 AS long) AS n_chars"
+    )
+    plan = mix_plan(frame)
+    sizes = plan.groupBy("shard").count().selectExpr("max(count) AS most", "count(*) AS shards").head()
+    assert sizes.shards > 150 and sizes.most < 4 * mixing.SHARD_DOCUMENTS
+    total = plan.selectExpr("sum(taken) AS n").head().n
+    words = mixing.word_count("text")
+    assert mixed(frame).select(words.alias("n")).selectExpr("sum(n) AS n").head().n == total
+    assert abs(total - 750_000) < 75_000

@@ -8,6 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tellerbook.llm import packing
 from tellerbook.llm.packing import LENGTH, SPACE, default_ranks, encoder, pack, place, token_ids
 
 from llm_helpers import ODD, documents, spoken
@@ -128,3 +129,12 @@ def test_added_tokens_anywhere(parts):
     whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     text = "".join(parts)
     assert token_ids(default_ranks(), text) == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_equal_rows_are_spread_over_lots(spark):
+    frame = spark.range(100_000).selectExpr("CAST(NULL AS long) AS doc_id", "'the same few words' AS text")
+    rows = pack(frame).selectExpr("sequence_id >> 32 AS lot", "length", "sequence_id").cache()
+    assert rows.selectExpr("sum(length) AS n").head().n == 100_000 * 5
+    largest = rows.groupBy("lot").count().selectExpr("max(count) AS n").head().n
+    assert largest < 4 * packing.LOT
+    rows.unpersist()
