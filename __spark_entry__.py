@@ -9,7 +9,9 @@ from __future__ import annotations
 import importlib.util
 import os
 import sys
+import time
 from collections.abc import Callable
+from datetime import timedelta
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -18,6 +20,12 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tellerbook.functions.columns import iso_text, utc_date  # noqa: E402
 from tellerbook.operators import quality  # noqa: E402
+from tellerbook.operators.drift import (  # noqa: E402
+    amount_sketches,
+    check_drift,
+    read_runs,
+    write_run,
+)
 from tellerbook.operators.gold import gold_account_summary  # noqa: E402
 from tellerbook.operators.silver import (  # noqa: E402
     build_silver,
@@ -35,7 +43,7 @@ from tellerbook.plans.pipeline import (  # noqa: E402
     write_gold,
 )
 from tellerbook.plans.views import register_views  # noqa: E402
-from tellerbook.schemas import SILVER  # noqa: E402
+from tellerbook.schemas import EVENT, GOLD, GOLD_KEYS, SILVER  # noqa: E402
 from tellerbook.session import ship_package, working_folder  # noqa: E402
 from tellerbook.sources.adapters import (  # noqa: E402
     click_events,
@@ -49,6 +57,7 @@ from tellerbook.sources.bronze import (  # noqa: E402
     read_bronze_as_of,
     read_quarantine,
 )
+from tellerbook.sources.clustering import write_clustered  # noqa: E402
 from tellerbook.sources.events import (  # noqa: E402
     accepted,
     encode_events,
@@ -57,6 +66,7 @@ from tellerbook.sources.events import (  # noqa: E402
     write_events,
 )
 from tellerbook.sources.fields import promote_field, read_bronze_with_extra  # noqa: E402
+from tellerbook.sources.replay import last_arrival, replay  # noqa: E402
 from tellerbook.streaming.daily import (  # noqa: E402
     read_stream_gold,
     read_stream_latest,
@@ -418,6 +428,18 @@ def q_stream_latest(spark: SparkSession, folder: str) -> DataFrame:
     return _plain_time(read_stream_latest(spark, f"{root}/silver"))
 
 
+def q_stream_merged_updates(spark: SparkSession, folder: str) -> DataFrame:
+    """Many small batches of daily gold, merged as the stream goes on."""
+    root = working_folder(spark, "merged")
+    events = click_events(spark, folder)
+    for part in range(4):
+        write_events(events.where(F.pmod(F.xxhash64("transaction_id"), F.lit(4)) == part), f"{root}/landing")
+        lines = read_event_stream(spark, f"{root}/landing")
+        rows = stream_dedup(stream_silver(accepted(parse_events(lines)), CLICK_THRESHOLD), watermark="60 days")
+        write_updates(stream_gold(rows), f"{root}/gold", f"{root}/checkpoint", keys=GOLD_KEYS, most=3)
+    return read_stream_gold(spark, f"{root}/gold")
+
+
 def _by_time(events: DataFrame, after: str, before: str) -> DataFrame:
     return events.where((F.col("timestamp") >= after) & (F.col("timestamp") < before))
 
@@ -461,6 +483,61 @@ def q_bronze_promoted_field(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("transaction_id", "transaction_type", "k")
 
 
+def q_bronze_replay_window(spark: SparkSession, folder: str) -> DataFrame:
+    """Of the second of three deliveries bronze has half; a replay of its window adds the rest."""
+    root = working_folder(spark, "replay")
+    landing, bronze = f"{root}/landing", f"{root}/bronze"
+    events = click_events(spark, folder)
+    key = F.pmod(F.xxhash64("transaction_id"), F.lit(6))
+    window = []
+    for first in (0, 2, 4):
+        window.append(last_arrival(spark, landing) if first else None)
+        time.sleep(0.1)
+        write_events(events.where((key == first) | (key == first + 1)), landing)
+    append_bronze(events.where(key != 3), bronze, 0)
+    after, before = window[1], window[2] + timedelta(milliseconds=1)
+    replay(spark, landing, bronze, after, before)
+    if replay(spark, landing, bronze, after, before):
+        raise AssertionError("a replay was not complete")
+    return read_bronze(spark, bronze).select(*EVENT.fieldNames())
+
+
+def q_gold_zorder_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Gold along a Z curve over account and type, filtered by each of them."""
+    root = working_folder(spark, "zorder")
+    write_clustered(q_gold_clicks(spark, folder), root, ["account_id", "transaction_type"], files=16)
+    gold = spark.read.schema(GOLD).parquet(root)
+    return gold.where((F.col("account_id") == "7") | (F.col("transaction_type") == "purchase"))
+
+
+def q_dq_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Two halves of the transactions agree; with doubled amounts they don't."""
+    silver = build_silver(lineitem_events(spark, folder))
+    odd = F.col("transaction_id").cast("long") % 2 == 1
+    root = working_folder(spark, "runs")
+    write_run(amount_sketches(silver.where(~odd)), root, 0)
+    before = read_runs(spark, root)
+    later = silver.where(odd)
+    shifted = later.withColumn("amount_usd", F.col("amount_usd") * 2)
+    return check_drift(amount_sketches(later), before).union(check_drift(amount_sketches(shifted), before))
+
+
+def q_gate_closed_by_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch whose amounts are tenfold doesn't reach gold."""
+    root = working_folder(spark, "drift")
+    bronze, silver, gold = f"{root}/bronze", f"{root}/silver", f"{root}/gold"
+    events = click_events(spark, folder)
+    append_bronze(events, bronze, 0)
+    run_pipeline(spark, bronze, silver, gold, CLICK_THRESHOLD, runs_root=f"{root}/runs")
+    own_ids = F.concat(F.lit("later-"), "transaction_id")
+    append_bronze(events.withColumn("transaction_id", own_ids).withColumn("amount", F.col("amount") * 10), bronze, 1)
+    try:
+        run_pipeline(spark, bronze, silver, gold, CLICK_THRESHOLD, runs_root=f"{root}/runs")
+    except quality.QualityError:
+        return read_gold(spark, gold)
+    raise AssertionError("the gate stayed open")
+
+
 def q_sketch_monthly_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Stored daily sketches united by month, against the exact counts."""
     silver = build_silver(lineitem_events(spark, folder))
@@ -817,6 +894,25 @@ WHERE date_transaction BETWEEN DATE '{GAP[0]}' AND DATE '{GAP[1]}'""",
 SELECT CAST(event_id AS VARCHAR) AS transaction_id, event_type AS transaction_type,
        CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
 UNION ALL SELECT CAST(o_orderkey AS VARCHAR), o_orderpriority, NULL FROM orders""",
+        "bronze_replay_window": """
+SELECT CAST(event_id AS VARCHAR) AS transaction_id, strftime(ts, '%Y-%m-%d %H:%M:%S') || CASE
+         WHEN microsecond(ts) % 1000000 = 0 THEN '' ELSE '.' || rtrim(strftime(ts, '%f'), '0') END AS "timestamp",
+       CAST(user_id AS VARCHAR) AS sender_account, CAST(event_id AS VARCHAR) AS receiver_account,
+       event_type AS transaction_type, value AS amount
+FROM events""",
+        "gold_zorder_scan": f"""
+SELECT * FROM ({_CLICK_GOLD}) WHERE account_id = '7' OR transaction_type = 'purchase'""",
+        "dq_drift": _checks_sql(
+            ("drift:amount_usd", "error", "0", "(SELECT 1)"),
+            (
+                "drift:amount_usd",
+                "error",
+                "count(*)",
+                f"({_silver_sql(_LINEITEM)}) WHERE CAST(transaction_id AS BIGINT) % 2 = 1",
+            ),
+        ),
+        "gate_closed_by_drift": _CLICK_GOLD,
+        "stream_merged_updates": _CLICK_GOLD,
         "sketch_monthly_ids": _monthly_sql(_silver_sql(_LINEITEM)),
         "stream_monthly_ids": _monthly_sql(_CLICK_SILVER),
         "synth_backfill": _synth_sql(

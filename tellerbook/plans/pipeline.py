@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tellerbook.operators.drift import amount_sketches, check_drift, read_runs, write_run
 from tellerbook.operators.gold import gold_account_summary
 from tellerbook.operators.quality import (
     RowCheck,
@@ -66,13 +67,15 @@ def run_pipeline(
     threshold: float = HIGH_VALUE_THRESHOLD,
     checks: Sequence[RowCheck] | None = None,
     buckets: int | None = None,
+    runs_root: str | None = None,
 ) -> list[tuple[str, str, int]]:
     """Silver, then its checks, then gold; gold is untouched if a check fails.
 
     Silver is de-duplicated once and stored, so the checks and gold do not
     repeat that shuffle. Silver and the gold made from it carry the same version
     number. With ``buckets`` the ids are indexed in so many folders and gold is kept in
-    parts too, as refreshes by date or by signed deltas use. Returns one (check,
+    parts too, as refreshes by date or by signed deltas use. With ``runs_root`` the
+    amounts are held against those of the run before that passed. Returns one (check,
     level, failing rows) per check.
     """
     checks = silver_checks() if checks is None else checks
@@ -82,7 +85,12 @@ def run_pipeline(
     stored = read_silver(spark, silver_root, version)
     # One line.
     results += [tuple(row) for row in check_unique(stored, KEY).collect()]
+    if runs_root:
+        sketches = amount_sketches(stored)
+        results += [tuple(row) for row in check_drift(sketches, read_runs(spark, runs_root, last=1)).collect()]
     gate(results)
+    if runs_root:
+        write_run(sketches, runs_root, version)
     if buckets:
         write_index(stored, silver_root, version, buckets)
         write_parts(stored, gold_root, version)

@@ -25,6 +25,16 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def folder_names(spark: SparkSession, root: str) -> list[str]:
+    p, fs = _path(spark, root)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    p, fs = _path(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def numbered(spark: SparkSession, root: str, prefix: str) -> list[tuple[int, bool]]:
     """Numbered folders under a folder and whether each one is complete."""
     p, fs = _path(spark, root)

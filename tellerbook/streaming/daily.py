@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from tellerbook.functions.columns import money_sum, utc_date
 from tellerbook.operators.silver import flag_high_value, silver_cast
@@ -21,6 +21,7 @@ from tellerbook.schemas import (
     SILVER,
     SKETCHES,
 )
+from tellerbook.streaming.segments import BATCH, merge_updates, newest_rows, pieces, read_pieces
 
 TIME = "transaction_timestamp"
 
@@ -84,12 +85,19 @@ def stream_gold(unique_rows: DataFrame) -> DataFrame:
 
 
 def write_updates(
-    updates: DataFrame, path: str, checkpoint: str, every: str | None = None
+    updates: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = None,
+    keys: tuple[str, ...] | None = None,
+    most: int = 8,
 ) -> StreamingQuery:
     """Write each batch of changed rows to its own folder, replays replacing it.
 
-    A path belongs to one checkpoint.
+    A path belongs to one checkpoint. With ``keys``, old batches are merged as the log
+    grows, so that it keeps about ``most`` folders.
     """
+    schema = updates.schema
 
     def land(batch: DataFrame, batch_id: int) -> None:
         (
@@ -97,6 +105,8 @@ def write_updates(
             .option("partitionOverwriteMode", "static")
             .parquet(f"{path}/batch_id={int(batch_id)}")
         )
+        if keys:
+            merge_updates(batch.sparkSession, path, schema, keys, most)
 
     writer = (
         updates.writeStream.outputMode("update")
@@ -113,16 +123,8 @@ def write_updates(
 def _latest_updates(
     spark: SparkSession, path: str, schema: StructType, keys: tuple[str, ...]
 ) -> DataFrame:
-    logged = StructType([*schema, StructField("batch_id", LongType())])
-    updates = spark.read.schema(logged).option("basePath", path).parquet(path)
-    values = [c for c in schema.fieldNames() if c not in keys]
-    newest = F.max(F.struct("batch_id", *values)).alias("_newest")
-    return (
-        updates.groupBy(*keys)
-        .agg(newest)
-        .select(*keys, *[F.col(f"_newest.{c}").alias(c) for c in values])
-        .select(*schema.fieldNames())
-    )
+    rows = read_pieces(spark, path, schema, pieces(spark, path))
+    return newest_rows(rows, schema, keys).drop(BATCH)
 
 
 def read_stream_gold(spark: SparkSession, path: str) -> DataFrame:
