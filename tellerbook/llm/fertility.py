@@ -5,7 +5,9 @@ that are raw bytes (white space apart), and the entropy of the tokens, as a shar
 the highest possible for so many tokens. Bands come from the quartiles over all
 distinct texts that pass the base rules, by language and by length (each doubling of
 the number of tokens is a class of its own, as short texts vary more and entropy
-depends on length). A document outside a band is rejected. Exact copies count as one
+depends on length). A class of fewer than ``ENOUGH`` texts takes the band of itself and
+its neighbours of half and twice the length, or else of its language, its script, or all
+texts: the first of these with enough. A document outside a band is rejected. Exact copies count as one
 text, near copies as a few: a text stands for those of its class with which it shares
 one of ``ORDERS`` least hashes of its windows, one order after the other.
 """
@@ -27,6 +29,10 @@ WINDOW = 5
 #: A band's ends lie WIDTH times as far from the median as the quartile on that side.
 QUANTILES, WIDTH = (0.25, 0.5, 0.75), 6.0
 MEASURES = ("chars_per_token", "byte_share", "entropy")
+#: Distinct texts that a band needs; the band of all texts serves with fewer.
+ENOUGH = 30
+#: Up to so many classes (languages x scripts x doublings) bands are sent to all tasks, beyond it they are joined.
+FEW_CLASSES = 20_000
 #: Least distance of a band's ends from its median, where a language hardly varies.
 LEAST = {"chars_per_token": 0.2, "byte_share": 0.02, "entropy": 0.04}
 #: First letters of blocks of scripts (fixed values).
@@ -41,8 +47,9 @@ ORDERS = mix(np.arange(2001, 2005, dtype=np.uint64))
 _FIRST = np.array([a for a, _ in SCRIPTS], np.uint32)
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
+CLASS = ("lang", "script", "doubling")
 KINDS = (
-    "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+    "doc_id long, lang string, script string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
     "n_repeat_words long, n_tokens long, chars_per_token double, byte_share double, entropy double, "
     "least array<long>"
 )
@@ -134,11 +141,13 @@ def _measure(vocabulary: str | None):
                 tokens = [_measured(ids, int(c), raw) for ids, c in zip(pieces.encode(whole, num_threads=1), chars, strict=True)]
                 langs = batch.column(2).slice(at, n).to_pylist()
                 columns = list(zip(*tokens, strict=True))
+                scripts = [script(t) for t in whole]
                 owns = [windows(hashes[a:b], WINDOW) for a, b in zip(first[:-1], first[1:], strict=True)]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": batch.column(0).slice(at, n),
-                        "lang": [x or script(t) for x, t in zip(langs, whole, strict=True)],
+                        "lang": [x or own for x, own in zip(langs, scripts, strict=True)],
+                        "script": scripts,
                         "n_words": np.diff(first),
                         "word_chars": words,
                         "n_symbols": symbols,
@@ -171,19 +180,56 @@ def _distinct(measured: DataFrame) -> DataFrame:
     chosen = measured.where("NOT base_failed")
     for k in range(len(ORDERS)):
         own = F.struct(F.xxhash64("least", *MEASURES).alias("h"), "least", *MEASURES)
-        chosen = chosen.groupBy("lang", "doubling", F.col("least")[k].alias("_least")).agg(F.min(own).alias("own"))
-        chosen = chosen.select("lang", "doubling", "own.least", *[f"own.{m}" for m in MEASURES])
+        chosen = chosen.groupBy(*CLASS, F.col("least")[k].alias("_least")).agg(F.min(own).alias("own"))
+        chosen = chosen.select(*CLASS, "own.least", *[f"own.{m}" for m in MEASURES])
     return chosen
 
 
+def _bands(measured: DataFrame) -> DataFrame:
+    """The band of each class of documents: of the narrowest pool with enough texts.
+
+    A text is in the pools of its class, of the classes beside it, its language, its
+    script, and of all; pools are aggregated in the tasks before any exchange.
+    """
+    none, beside = F.lit(None).cast("string"), F.sequence(F.col("doubling") - 1, F.col("doubling") + 1)
+    level = "struct<level:int,name:string,doubling:bigint>"
+    pools = F.array(
+        F.struct(F.lit(0), "lang", "doubling").cast(level),
+        F.struct(F.lit(2), "lang", F.lit(-1)).cast(level),
+        F.struct(F.lit(3), "script", F.lit(-1)).cast(level),
+        F.struct(F.lit(4), none, F.lit(-1)).cast(level),
+    )
+    pools = F.concat(pools, F.transform(beside, lambda d: F.struct(F.lit(1), "lang", d).cast(level)))
+    quartiles = [F.percentile_approx(m, list(QUANTILES), 10_000).alias(f"{m}_band") for m in MEASURES]
+    found = _distinct(measured).select(F.explode(pools).alias("pool"), *MEASURES)
+    found = found.groupBy("pool").agg(F.count("*").alias("n"), *quartiles).where((F.col("n") >= ENOUGH) | (F.col("pool.level") == 4))
+
+    classes = measured.where("NOT base_failed").select(*CLASS).distinct()
+    asked = F.array(
+        F.struct(F.lit(0), "lang", "doubling").cast(level),
+        F.struct(F.lit(1), "lang", "doubling").cast(level),
+        F.struct(F.lit(2), "lang", F.lit(-1)).cast(level),
+        F.struct(F.lit(3), "script", F.lit(-1)).cast(level),
+        F.struct(F.lit(4), none, F.lit(-1)).cast(level),
+    )
+    asked = classes.select(*CLASS, F.explode(asked).alias("pool"))
+    same = (F.col("a.pool.level") == F.col("b.pool.level")) & (F.col("a.pool.doubling") == F.col("b.pool.doubling"))
+    same &= F.col("a.pool.name").eqNullSafe(F.col("b.pool.name"))
+    names = [f"{m}_band" for m in MEASURES]
+    held = asked.alias("a").join(found.alias("b"), same).select(*[f"a.{c}" for c in CLASS], "a.pool.level", *[f"b.{n}" for n in names])
+    best = held.groupBy(*CLASS).agg(F.min(F.struct("level", *names)).alias("own"))
+    return stored(best.select(*CLASS, *[f"own.{n}" for n in names]), "bands")
+
+
 def quality_rules(documents: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """The base counts, tokeniser measures and the verdict on every document.
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, kept, the measures and ``outside``, the measure that decided. A null
-    text has no words and fails the base rules. A null lang stands for the text's
-    commonest script. A language and length none of whose documents pass the base
-    rules has no band. Repeated rows are documents of their
+    base_failed, kept, the measures and ``outside``, the measure that decided. A null,
+    empty or blank text has no words and fails the base rules; texts are measured whole,
+    whatever their length. A null lang stands for the text's commonest script. Every
+    document that passes the base rules is held against a band, also one that is alone
+    in its language and length. Repeated rows are documents of their
     own, further columns play no part, an empty table stays empty.
     """
     rows = need_columns(documents, "doc_id", "text", "lang").select(F.col("doc_id").cast("long"), "text", "lang")
@@ -191,10 +237,10 @@ def quality_rules(documents: DataFrame, vocabulary: str | None = None) -> DataFr
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     measured = measured.withColumn("base_failed", failed)
     measured = measured.withColumn("doubling", F.floor(F.log2(F.greatest(F.lit(1), F.col("n_tokens")))))
-    bands = _distinct(measured).groupBy("lang", "doubling").agg(
-        *[F.percentile_approx(m, list(QUANTILES), 10_000).alias(f"{m}_band") for m in MEASURES]
-    )
-    joined = measured.join(bands, ["lang", "doubling"], "left")
+    bands = _bands(measured)
+    if bands.count() <= FEW_CLASSES:
+        bands = F.broadcast(bands)
+    joined = measured.join(bands, list(CLASS), "left")
     outside = F.coalesce(*[F.when(_outside(m), F.lit(m)) for m in MEASURES])
     judged = joined.withColumn("outside", F.when(~F.col("base_failed"), outside))
     return judged.select(

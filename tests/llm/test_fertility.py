@@ -1,3 +1,4 @@
+import math
 from collections import Counter
 
 import pytest
@@ -5,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_helpers import ODD, documents, spoken
 
+from tellerbook.llm import fertility
 from tellerbook.llm.fertility import default_vocabulary, quality_rules, script
 
 TEXT = st.text(alphabet="ab \t\n#é\x1f　", max_size=120)
@@ -91,3 +93,66 @@ def test_copies_of_one_text_do_not_narrow_the_bands(spark, random, near):
     alone = {r.doc_id for r in quality_rules(documents(spark, own)).collect() if r.kept}
     found = {r.doc_id for r in quality_rules(documents(spark, own + copies)).collect() if r.kept}
     assert len(alone) > 100 and alone <= found
+
+
+def quartile(values, share):
+    """The smallest value that at least this share of the values does not exceed."""
+    values = sorted(values)
+    return values[max(0, math.ceil(share * len(values)) - 1)]
+
+
+def verdicts(rows, texts):
+    """Every document's verdict, pool by pool."""
+    passed = [r for r in rows if not r.base_failed]
+    at = {r.doc_id: (r.lang, script(texts[r.doc_id]), int(math.log2(max(1, r.n_tokens)))) for r in rows}
+    out = {}
+    for r in rows:
+        lang, own, doubling = at[r.doc_id]
+        pools = (
+            [p for p in passed if at[p.doc_id][::2] == (lang, doubling)],
+            [p for p in passed if at[p.doc_id][0] == lang and abs(at[p.doc_id][2] - doubling) <= 1],
+            [p for p in passed if at[p.doc_id][0] == lang],
+            [p for p in passed if at[p.doc_id][1] == own],
+        )
+        pool = next((p for p in pools if len(p) >= fertility.ENOUGH), passed)
+        kept = not r.base_failed
+        for m in fertility.MEASURES if kept else ():
+            low, middle, high = (quartile([p[m] for p in pool], q) for q in fertility.QUANTILES)
+            below, above = (max(fertility.WIDTH * d, fertility.LEAST[m]) for d in (middle - low, high - middle))
+            kept &= middle - below <= r[m] <= middle + above
+        out[r.doc_id] = kept
+    return out
+
+
+def test_verdicts_equal_brute_force(spark, random):
+    """Large and small classes of languages, scripts and lengths, some of one document alone."""
+    vocabulary = {
+        "en": "the of and to in is was for that with from this have are not but which his her parliament".split(),
+        "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch".split(),
+        "ru": "и в не на я быть он с что а по это она этот к но они мы весь который".split(),
+    }
+    junk = "qzx#vw kjq%xz zzxqj wqkzx ƕƥǂ xjqzk".split()
+    texts, langs = [], []
+    for lang, n in (("en", 150), ("de", 40), ("ru", 12)):
+        for _ in range(n):
+            length = int(2 ** random.uniform(4, 9))
+            words = list(random.choice(vocabulary[lang], length))
+            for _ in range(int(random.choice([0] * 11 + [length // 2]))):
+                words[int(random.integers(length))] = str(random.choice(junk)) + str(random.integers(1000))
+            texts.append(" ".join([*words, f"n{len(texts)}"]))
+            langs.append(lang)
+    texts += [" ".join(f"{random.choice(junk)}{i}" for i in range(14)), " ".join(random.choice(vocabulary["en"], 4000)), "one two"]
+    langs += ["xx", "en", "en"]
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(zip(texts, langs, strict=True))]
+    found = quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    expected = verdicts(found, texts)
+    assert {r.doc_id: r.kept for r in found} == expected
+    # The one document of its language is judged, and by others'.
+    assert not expected[len(texts) - 3] and 100 < sum(expected.values()) < len(texts) - 3
+
+
+def test_bands_are_joined_where_they_are_many(spark, random, monkeypatch):
+    texts = [" ".join(spoken(random, 40)) for _ in range(50)] + ["ﬂŋƕ ƥƿǂ ȡȴɕ ʥʬ ᴂᴔ ᶀᶑ ḁḕ ẩỗ ἁἇ ὂὃ ₣₾ ℈℔ ⅋ ↈ ⌘ ⏏"]
+    before = sorted(quality_rules(documents(spark, texts)).collect())
+    monkeypatch.setattr(fertility, "FEW_CLASSES", 0)
+    assert sorted(quality_rules(documents(spark, texts)).collect()) == before
