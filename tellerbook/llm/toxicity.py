@@ -2,12 +2,15 @@
 
 A word is lower-cased and has a vector of its own and one for each run of three
 to five characters of it, its two ends marked; all are hashed into ``BUCKETS``
-rows of one table. The vectors of this bag are averaged, and a softmax over two
-classes reads the average. A text is as toxic as its worst bag: averages over
+rows of one table. A bag holds the vectors of ``WINDOW`` words in a row; they are
+averaged, and a softmax over two classes reads the average. Bags begin every
+``STRIDE`` words, and a text is as toxic as its worst one: averages over
 whole texts would dilute a few words in a long text (README has the figures).
 Table and softmax are trained together by Adam over a bounded sample of labelled
-texts, at first on all bags and then on the worst one of each text. Misspelt
-words share most runs with the words they come from.
+texts, at first on all bags and then on the worst one of each text; a part put aside
+then sets scale and offset of the logits (Platt's method). Misspelt
+words share most runs with the words they come from, and a word's neighbours can
+outweigh it.
 
 For scoring, the table is multiplied by the softmax's weights once, so each
 bucket has one number and a bag's logit is an average of such numbers.
@@ -30,8 +33,14 @@ from tellerbook.llm.words import mix
 BUCKETS = 1 << 17
 WIDTH = 4
 RUNS = (3, 4, 5)
+#: Words of a bag, and words from the beginning of one bag to the next.
+WINDOW, STRIDE = 8, 4
 #: The softmax sees averages enlarged, which speeds up training.
-GAIN = 6.0
+GAIN = 120.0
+#: By so much a step of rate 1 shrinks the table: what only a few texts speak for fades.
+DECAY = 1.0
+#: Of each class every so manieth text is put aside, to calibrate the scores.
+ASIDE = 5
 #: The classifier is fitted on at most so many labelled texts of each class.
 SAMPLE = {0: 2000, 1: 800}
 #: Characters handled at once, and vectors gathered at once.
@@ -100,6 +109,20 @@ class Text:
         return np.maximum(0, self.ends - self.starts + 3 - n)
 
 
+def bags_of(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, end and text of each bag, for texts whose words lie between the bounds.
+
+    The last bag of a text ends with it; a text without words has none.
+    """
+    first, sizes = bounds[:-1], np.diff(bounds)
+    counts = np.where(sizes > 0, 1 + -(-np.maximum(0, sizes - WINDOW) // STRIDE), 0)
+    owner = np.repeat(np.arange(len(sizes)), counts)
+    step = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    last = np.maximum(first, bounds[1:] - WINDOW)
+    starts = np.minimum(first[owner] + STRIDE * step, last[owner])
+    return starts, np.minimum(starts + WINDOW, bounds[1:][owner]), owner
+
+
 @dataclass
 class Model:
     """One number for each bucket, and the softmax's bias."""
@@ -107,7 +130,8 @@ class Model:
     buckets: np.ndarray
     bias: float
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
+    def logits(self, texts: list[str | None]) -> np.ndarray:
+        """The logit of each text's worst bag, not a number without words."""
         out = []
         for part in _slices(texts):
             own = Text(part)
@@ -119,11 +143,18 @@ class Model:
                 first = own.starts[some] - 1
                 total[some] += sums[first + count[some]] - sums[first]
                 n += count
-            worst, some = np.full(len(part), np.nan), np.diff(own.bounds) > 0
-            if some.any():
-                worst[some] = np.maximum.reduceat(total / n, own.bounds[:-1][some])
+            starts, ends, owner = bags_of(own.bounds)
+            worst = np.full(len(part), np.nan)
+            if len(owner):
+                sums, counts = (np.concatenate([[0.0], np.cumsum(x)]) for x in (total, n))
+                averages = (sums[ends] - sums[starts]) / (counts[ends] - counts[starts])
+                some, at = np.unique(owner, return_index=True)
+                worst[some] = np.maximum.reduceat(averages, at)
             out.append(worst)
-        logits = self.bias + GAIN * (np.concatenate(out) if out else np.zeros(0))
+        return self.bias + GAIN * (np.concatenate(out) if out else np.zeros(0))
+
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        logits = self.logits(texts)
         chance = 1 / (1 + np.exp(-np.clip(logits, -40, 40)))
         return np.round(np.where(np.isnan(chance), 0.0, chance), 6)
 
@@ -140,11 +171,11 @@ def _sums(rows: np.ndarray, at: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 class _Bags:
-    """The bag of each distinct word, and which words each text has."""
+    """The runs of each distinct word, the words of all texts in a row, and the bags of these."""
 
     def __init__(self, texts: list[str | None]):
         known: dict[int, int] = {}
-        cells, lengths, owners, words, first = [], [], [], [], 0
+        cells, lengths, words, sizes = [], [], [], [0]
         for part in _slices(texts):
             own = Text(part)
             runs = {k: own.run_buckets(k) for k in RUNS}
@@ -158,11 +189,8 @@ class _Bags:
                     mine = np.concatenate([whole[w : w + 1], *(runs[k][s : s + counts[k][w]] for k in RUNS)])
                     lengths.append(len(mine))
                     cells.append(mine.astype(np.int32))
-            for i, (a, b) in enumerate(zip(own.bounds[:-1], own.bounds[1:], strict=True)):
-                kind = np.unique(ids[back[a:b]])
-                owners.append(np.full(len(kind), first + i, np.int32))
-                words.append(kind)
-            first += len(part)
+            words.append(ids[back])
+            sizes += np.diff(own.bounds).tolist()
         self.count = len(lengths)
         self.lengths = np.array(lengths, np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
@@ -175,33 +203,77 @@ class _Bags:
         order = np.argsort(self.cell, kind="stable")
         self.cell_starts = np.searchsorted(self.cell, np.arange(len(self.used)), sorter=order)
         self.word_of = np.repeat(np.arange(self.count, dtype=np.int32), self.lengths)[order]
-        #: Pairs of a text and a word it has, by text.
-        self.owner, self.word = np.concatenate(owners), np.concatenate(words)
+        #: The words of all texts in a row, and the bags among them.
+        self.words = np.concatenate(words)
+        self.first, self.end, self.owner = bags_of(np.cumsum(sizes))
+        runs_up_to = np.concatenate([[0], np.cumsum(self.lengths[self.words])])
+        self.sizes = (runs_up_to[self.end] - runs_up_to[self.first]).astype(np.float32)
         self.owner_starts = np.flatnonzero(np.append(True, np.diff(self.owner) > 0))
 
     def averages(self, table: np.ndarray) -> np.ndarray:
-        return _sums(table, self.cell, self.starts) / self.lengths[:, None].astype(np.float32)
-
-    def slopes(self, back: np.ndarray) -> np.ndarray:
-        """How the loss changes with the table, from how it changes with the averages."""
-        back = back / self.lengths[:, None].astype(np.float32)
-        return _sums(back, self.word_of, self.cell_starts)
+        """Of each bag the average of its vectors."""
+        sums = _sums(table, self.cell, self.starts)[self.words]
+        up_to = np.concatenate([np.zeros((1, table.shape[1])), np.cumsum(sums, axis=0, dtype=np.float64)])
+        return ((up_to[self.end] - up_to[self.first]) / self.sizes[:, None]).astype(np.float32)
+
+    def slopes(self, back: np.ndarray, bags: np.ndarray) -> np.ndarray:
+        """How the loss changes with the table, from how it changes with these bags' averages."""
+        back = back / self.sizes[bags, None]
+        edges = np.zeros((len(self.words) + 1, back.shape[1]))
+        np.add.at(edges, self.first[bags], back)
+        np.add.at(edges, self.end[bags], -back)
+        held = np.cumsum(edges[:-1], axis=0)
+        each = [np.bincount(self.words, held[:, k], self.count) for k in range(back.shape[1])]
+        return _sums(np.stack(each, axis=1).astype(np.float32), self.word_of, self.cell_starts)
 
     def worst(self, logits: np.ndarray) -> np.ndarray:
-        """Of each text with words, the pair with the highest logit, the first of equal ones."""
-        own = logits[self.word]
-        most = np.maximum.reduceat(own, self.owner_starts)
-        sizes = np.diff(np.append(self.owner_starts, len(own)))
-        at = np.flatnonzero(own == np.repeat(most, sizes))
+        """Of each text with words, the bag with the highest logit, the first of equal ones."""
+        most = np.maximum.reduceat(logits, self.owner_starts)
+        sizes = np.diff(np.append(self.owner_starts, len(logits)))
+        at = np.flatnonzero(logits == np.repeat(most, sizes))
         return at[np.append(True, np.diff(self.owner[at]) > 0)]
 
 
+def scale_and_offset(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """The logistic curve over logits that fits labels best, none of them held for certain."""
+    ones, zeros = (labels == 1).sum(), (labels == 0).sum()
+    wanted = np.where(labels == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
+    at = np.array([1.0, 0.0])
+    columns = np.stack([logits, np.ones(len(logits))], axis=1)
+    for _ in range(50):
+        chance = 1 / (1 + np.exp(-np.clip(columns @ at, -40, 40)))
+        bend = columns.T @ (columns * (chance * (1 - chance))[:, None]) + 1e-6 * np.eye(2)
+        at = at - np.linalg.solve(bend, columns.T @ (chance - wanted))
+    return float(at[0]), float(at[1])
+
+
 def train(texts: list[str | None], labels: list[int], steps: int = 60, rate: float = 0.05, seed: int = 5) -> Model:
-    """Fit table and softmax together; without both labels, a constant score."""
+    """Fit and calibrate; without both labels, a constant score.
+
+    Too few texts to put some of both classes aside are all fitted, and not calibrated.
+    """
     y = np.asarray(labels, np.float32)
     if not len(y) or y.min() == y.max() or not any((t or "").split() for t in texts):
         bias = 0.0 if not len(y) else float(np.clip(np.log((y.mean() + 1e-3) / (1.001 - y.mean())), -5, 5))
         return Model(np.zeros(BUCKETS, np.float32), bias)
+    place = np.where(y == 1, np.cumsum(y == 1), np.cumsum(y == 0))
+    aside = place % ASIDE == 0
+    few = min((aside & (y == c)).sum() for c in (0, 1)) < 2 or not any((t or "").split() for t, a in zip(texts, aside, strict=True) if not a)
+    if few:
+        return _fitted(texts, y, steps, rate, seed)
+    model = _fitted([t for t, a in zip(texts, aside, strict=True) if not a], y[~aside], steps, rate, seed)
+    logits = model.logits([t for t, a in zip(texts, aside, strict=True) if a])
+    told = ~np.isnan(logits)
+    if len(set(y[aside][told])) < 2:
+        return model
+    scale, offset = scale_and_offset(logits[told], y[aside][told])
+    if scale <= 0:
+        return model
+    return Model((model.buckets * scale).astype(np.float32), scale * model.bias + offset)
+
+
+def _fitted(texts: list[str | None], y: np.ndarray, steps: int, rate: float, seed: int) -> Model:
+    """Table and softmax, trained together."""
     bags = _Bags(texts)
     random = np.random.default_rng(seed)
     weights = {
@@ -211,22 +283,23 @@ def train(texts: list[str | None], labels: list[int], steps: int = 60, rate: flo
     }
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in weights.items()}
     marks = y[bags.owner].astype(np.int64)
-    even = 1 / np.bincount(bags.owner)[bags.owner]
+    even = (1 / np.bincount(bags.owner)[bags.owner]).astype(np.float32)
+    every = np.arange(len(bags.owner))
     for step in range(1, steps + 1):
         seen = bags.averages(weights["table"]) * GAIN
         logits = seen @ weights["softmax"] + weights["bias"]
         if step <= steps // 6:
-            word, mark, share = bags.word, marks, even
+            chosen, share = every, even
         else:
-            at = bags.worst(logits[:, 1] - logits[:, 0])
-            word, mark, share = bags.word[at], marks[at], np.ones(len(at))
-        # How much each word counts as clean and as toxic.
-        want = np.bincount(2 * word + mark, share, 2 * bags.count).reshape(-1, 2).astype(np.float32) / len(y)
-        chance = np.exp(logits - logits.max(axis=1, keepdims=True))
-        chance /= chance.sum(axis=1, keepdims=True)
-        error = chance * want.sum(axis=1, keepdims=True) - want
+            chosen = bags.worst(logits[:, 1] - logits[:, 0])
+            share = np.ones(len(chosen), np.float32)
+        logits, seen = logits[chosen], seen[chosen]
+        error = np.exp(logits - logits.max(axis=1, keepdims=True))
+        error /= error.sum(axis=1, keepdims=True)
+        error[np.arange(len(chosen)), marks[chosen]] -= 1
+        error *= share[:, None] / len(y)
         slopes = {
-            "table": bags.slopes(error @ weights["softmax"].T * GAIN),
+            "table": bags.slopes(error @ weights["softmax"].T * GAIN, chosen),
             "softmax": seen.T @ error + 1e-5 * weights["softmax"],
             "bias": error.sum(axis=0),
         }
@@ -236,6 +309,7 @@ def train(texts: list[str | None], labels: list[int], steps: int = 60, rate: flo
             m += 0.1 * (slope - m)
             v += 0.01 * (slope * slope - v)
             weights[k] -= pace * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        weights["table"] *= 1 - pace * DECAY
     apart = weights["softmax"][:, 1] - weights["softmax"][:, 0]
     buckets = np.zeros(BUCKETS, np.float32)
     buckets[bags.used] = weights["table"] @ apart
@@ -247,7 +321,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: dict[int, int] | None =
 
     At most ``sample`` texts of each class, the first by a hash of their ids, are
     fetched; that bounds the driver's memory. Rows with a null label or text do
-    not count.
+    not count; repeated rows of a document count once. Texts are read whole.
     """
     own = need_columns(labels, "doc_id", "toxic").where(F.col("toxic").isin(0, 1) & ~held_out("doc_id"))
     own = own.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -271,7 +345,7 @@ def score(documents: DataFrame, model: Model, threshold: float = 0.7) -> DataFra
     """Adds score (0 to 1) and predicted (1 from ``threshold``) to every row.
 
     The whole text is read, at any length. A null or empty text or one without
-    words has score 0. All columns of ``documents`` stay, but for earlier ones named
+    words has score 0; repeated rows get equal scores. All columns of ``documents`` stay, but for earlier ones named
     score or predicted; an empty table stays empty.
     """
     rows = documents.drop("score", "predicted")

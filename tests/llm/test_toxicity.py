@@ -5,7 +5,7 @@ import pytest
 from llm_helpers import ODD, documents, spoken
 from pyspark.sql import functions as F
 
-from tellerbook.llm.toxicity import BUCKETS, RUNS, Model, Text, _Bags, fit, held_out, score, toxicity, train
+from tellerbook.llm.toxicity import BUCKETS, GAIN, RUNS, STRIDE, WINDOW, Model, Text, _Bags, fit, held_out, score, toxicity, train
 
 BAD = ["grumblefex", "snarkwolt", "vilepotch"]
 MISSPELT = ["grumblefexx", "gruumblefex", "snarkwolts", "snarkwollt", "vilepotche", "xvilepotch"]
@@ -44,17 +44,76 @@ def test_a_long_text_does_not_dilute(model):
     assert plain < 0.7 <= toxic
 
 
-def test_scores_equal_word_by_word_sums():
+def cells(text):
+    """The buckets of a text's words, word by word."""
+    own = Text([text])
+    runs = {k: own.run_buckets(k) for k in RUNS}
+    counts = {k: own.run_counts(k) for k in RUNS}
+    return [
+        np.concatenate([own.word_buckets()[w : w + 1], *(runs[k][s : s + counts[k][w]] for k in RUNS)])
+        for w, s in enumerate(own.starts - 1)
+    ]
+
+
+def test_scores_are_those_of_the_worst_average():
     random = np.random.default_rng(5)
-    model = Model(random.normal(size=BUCKETS).astype(np.float32), 0.3)
-    texts = ["Ab cde\tfghij  x", "", None, " \n", "éé 😀 " * 50, "z" * 700_000, "a b"]
-    bags = _Bags([t for t in texts if t and t.split()])
-    logits = 0.3 + 6.0 * bags.averages(model.buckets[bags.used][:, None])[:, 0]
-    worst = iter(logits[bags.word[bags.worst(logits)]])
-    want = [1 / (1 + np.exp(-np.clip(next(worst), -40, 40))) if t and t.split() else 0.0 for t in texts]
+    model = Model(random.normal(size=BUCKETS).astype(np.float32) / 50, 0.3)
+    texts = ["Ab cde\tfghij  x", "", None, " \n", "éé 😀 " * 50, "z" * 700_000, "a b", " ".join(spoken(random, 500))]
+    want = []
+    for text in texts:
+        words = cells(text or "")
+        starts = [*range(0, max(0, len(words) - WINDOW), STRIDE), max(0, len(words) - WINDOW)]
+        bags = [np.concatenate(words[i : i + WINDOW]) for i in starts] if words else []
+        logit = max((0.3 + GAIN * model.buckets[b].astype(float).mean() for b in bags), default=-100)
+        want.append(1 / (1 + np.exp(-np.clip(logit, -40, 40))))
     assert np.allclose(model.scores(texts), want, atol=1e-4)
 
 
+def test_training_averages_the_same_bags():
+    random = np.random.default_rng(6)
+    texts = [" ".join(spoken(random, n)) for n in (1, 7, 8, 9, 11, 12, 13, 100)]
+    table = random.normal(size=BUCKETS).astype(np.float32)
+    bags = _Bags(texts)
+    averages = bags.averages(table[bags.used][:, None])[:, 0]
+    best = Model(table, 0.0).logits(texts) / GAIN
+    assert np.allclose(averages[bags.worst(averages)], best, atol=1e-4)
+    # The slopes are those of the averages: a step along them is seen in first order.
+    back = random.normal(size=(len(bags.owner), 1)).astype(np.float32)
+    slope = bags.slopes(back, np.arange(len(bags.owner)))
+    step = random.normal(size=slope.shape).astype(np.float32)
+    moved = bags.averages(table[bags.used][:, None] + step)[:, 0] - averages
+    assert np.isclose((back[:, 0] * moved).sum(), (slope * step).sum(), rtol=1e-2, atol=1e-2)
+
+
+def test_a_word_is_toxic_by_its_neighbours():
+    """One word in all texts; only the words around it tell."""
+    def texts(random, n):
+        out, marks = [], []
+        for i in range(n):
+            words = spoken(random, int(random.integers(20, 120)), 150)
+            at = int(random.integers(1, len(words)))
+            words[at:at] = ["you", "deserve", "burning", "forever"] if i % 3 == 0 else ["sunlight", "was", "burning", "bright"]
+            out.append(" ".join(words))
+            marks.append(int(i % 3 == 0))
+        return out, np.array(marks)
+
+    model = train(*texts(np.random.default_rng(7), 500))
+    held, marks = texts(np.random.default_rng(8), 300)
+    assert ((model.scores(held) >= 0.7) == marks).mean() > 0.97
+    same = "w1 w2 w3 {} burning {} w4 w5 w6"
+    toxic, clean = model.scores([same.format("you deserve", "forever"), same.format("sunlight was", "bright")])
+    assert clean < 0.7 <= toxic
+
+
+def test_long_and_repeated_texts_are_learnt_from(spark, random):
+    texts, marks = made(random, 90)
+    texts[1] = " ".join(spoken(random, 40_000, 150))
+    frame = documents(spark, texts)
+    labels = spark.createDataFrame(list(enumerate(marks)), "doc_id long, toxic int")
+    once, twice = fit(frame, labels), fit(frame.union(frame), labels.union(labels))
+    assert (once.buckets == twice.buckets).all() and once.bias == twice.bias
+
+
 def test_runs_of_a_word():
     own = Text(["abc de"])
     assert [own.run_counts(k).tolist() for k in RUNS] == [[3, 2], [2, 1], [1, 0]]
