@@ -10,6 +10,7 @@ import importlib.util
 import os
 import sys
 import time
+import uuid
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -53,9 +54,12 @@ from tellerbook.sources.adapters import (  # noqa: E402
 )
 from tellerbook.sources.bronze import (  # noqa: E402
     append_bronze,
+    ensure_bronze,
     read_bronze,
     read_bronze_as_of,
+    read_bronze_table,
     read_quarantine,
+    refresh_bronze_table,
 )
 from tellerbook.sources.clustering import write_clustered  # noqa: E402
 from tellerbook.sources.events import (  # noqa: E402
@@ -237,6 +241,17 @@ def q_bronze_merge_schema(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("batch_id", "channel").agg(F.count("*").alias("n"))
 
 
+def q_bronze_catalog_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The log as a catalog table, declared before its batches are written."""
+    root = working_folder(spark, "catalog")
+    name = f"default.transactions_raw_{uuid.uuid4().hex}"
+    ensure_bronze(spark, root, name)
+    append_bronze(click_events(spark, folder), root, 0)
+    append_bronze(order_events(spark, folder), root, 1)
+    refresh_bronze_table(spark, name)
+    return read_bronze_table(spark, name).select("transaction_id", "transaction_type", "amount", "batch_id")
+
+
 # Quality
 
 
@@ -395,6 +410,22 @@ def q_stream_ingest_gold(spark: SparkSession, folder: str) -> DataFrame:
     return gold_account_summary(silver, unique_ids=True)
 
 
+def q_stream_paced_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """One file a trigger, so several batches; a pull that finds nothing adds none."""
+    root = working_folder(spark, "paced")
+    landing, bronze = f"{root}/landing", f"{root}/bronze"
+    events = order_events(spark, folder)
+    for part in range(3):
+        write_events(events.where(F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == part), landing)
+    batches = []
+    for _ in range(2):
+        run_ingest(spark, landing, bronze, f"{root}/checkpoint", max_files=1)
+        batches.append(read_bronze(spark, bronze).select("batch_id").distinct().count())
+    if batches[0] < 3 or batches[1] != batches[0]:
+        raise AssertionError(f"batches: {batches}")
+    return read_bronze(spark, bronze).select("transaction_id", "sender_account", "transaction_type", "amount")
+
+
 def _redelivered(spark: SparkSession, folder: str, root: str) -> DataFrame:
     """A stream in which every event is delivered twice."""
     events = click_events(spark, folder)
@@ -800,6 +831,11 @@ SELECT as_of, transaction_type, count(*) AS n,
        CAST(sum(CAST(amount_usd AS DECIMAL(18,2))) AS DOUBLE) AS total
 FROM log JOIN (VALUES (0), (1)) v(as_of) ON batch_id <= as_of
 GROUP BY 1, 2""",
+        "bronze_catalog_table": f"""
+SELECT transaction_id, transaction_type, amount_usd AS amount, CAST(0 AS BIGINT) AS batch_id FROM ({_CLICKS})
+UNION ALL SELECT transaction_id, transaction_type, amount_usd, 1 FROM ({_ORDERS})""",
+        "stream_paced_ingest": f"""
+SELECT transaction_id, sender_account, transaction_type, amount_usd AS amount FROM ({_ORDERS})""",
         "bronze_merge_schema": """
 SELECT CAST(0 AS BIGINT) AS batch_id, CAST(NULL AS VARCHAR) AS channel, count(*) AS n
 FROM lineitem
