@@ -1,24 +1,30 @@
 """Near-duplicate documents: an LSH forest over MinHash signatures.
 
-Every distinct shingle set gets a signature of 128 minima. The forest keeps
-``ORDERS`` orders of it, each over positions of its own. In every order, sets
-that begin with the same values are neighbours: their longest common prefix is at
-least the region's depth. A region is four values deep; where more than
-``DENSE`` sets share these, it is split at six values, or as many fewer as the
-similarity asks for (``deep_values``). Members of a region are
-compared by signature, and pairs that may reach the threshold by their whole
-sets. A region of any size is compared in blocks of ``BLOCK`` sets, so no task
-holds more than two blocks and no pair of a region is left out.
-
-A pair at a similarity of 0.85 shares four values of an order with probability
-0.52, and in none of 20 orders with 4e-7 (six values, dense regions: 8e-5). At 0.80
-it is in none with 3e-5 (five values, dense regions: 4e-4). The
+Every distinct shingle set gets a signature of 128 minima. The forest keeps several
+orders of it; an order reads the signature's values in a sequence of its own, and sets
+whose sequences begin alike stand next to each other in it. A region is what has a
+common prefix of some depth in an order. It begins at four values. Where a region holds
+more sets than one task compares (``TASK``), its sets go on to the next depth of
+``DEPTHS``, in as many orders as keep the chance to part a pair at the threshold
+below ``MISS`` there. So the depth follows the region: a pair is compared at the first
+depth at which one of the regions that it shares is small enough, or in the deepest
+regions, which are compared whole in blocks of ``BLOCK`` sets, whatever their size.
+
+Members of a region are compared by signature, and pairs that may reach the threshold
+by their whole sets. In a region the sets are sorted by size, and a set meets only
+those whose size lets the two reach the threshold.
+
+A pair at a similarity of 0.85 shares four values of an order with
+probability 0.52; ``miss`` gives the chance that it does so in none, and meets the
+noise of the signature too. The
 signature filter lies five standard deviations below the threshold.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +37,16 @@ from tellerbook.llm.store import need_columns, stored
 from tellerbook.llm.words import mix, shingle_sets
 
 SIZE = 128
+#: Orders at the first depth, and the least at any.
 ORDERS = 20
-DEPTHS = (4, 6)
-DENSE = 1024
-#: A pair at the threshold is in no dense region with at most this probability, if four values allow it.
+#: Values of the common prefix of a region.
+DEPTHS = (4, 5, 6, 8, 10, 12)
+#: Sets that one task compares, all with all.
+TASK = 1024
+#: At a further depth a pair at the threshold is in no common region with at most this probability.
 MISS = 4e-4
+#: Depths that need more orders than this are not used.
+MOST_ORDERS = 160
 BLOCK = 256
 
 _MULTIPLIERS = (mix(np.arange(1, SIZE + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -53,20 +64,49 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return least
 
 
-def prefixes(signatures: np.ndarray, depth: int) -> np.ndarray:
-    """Per signature and order, a hash of the order's first values."""
-    own = signatures[:, : ORDERS * DEPTHS[-1]].reshape(len(signatures), ORDERS, DEPTHS[-1])
-    total = np.arange(1, ORDERS + 1, dtype=np.uint64)[None, :] * np.uint64(0xD6E8FEB86659FD93)
+@lru_cache(maxsize=1024)
+def sequence(order: int) -> np.ndarray:
+    """The places of the signature that an order reads; the first orders begin with places of their own."""
+    drawn = np.argsort(mix(np.arange(SIZE, dtype=np.uint64) + np.uint64((order + 1) << 20)))
+    own = SIZE // ORDERS
+    if order >= ORDERS:
+        return drawn[: DEPTHS[-1]]
+    first = np.arange(order * own, (order + 1) * own)
+    return np.concatenate([first, drawn[~np.isin(drawn, first)]])[: DEPTHS[-1]]
+
+
+def prefixes(signatures: np.ndarray, depth: int, orders: int) -> np.ndarray:
+    """Per signature and order, a hash of the first values that the order reads."""
+    total = np.arange(1, orders + 1, dtype=np.uint64)[None, :] * np.uint64(0xD6E8FEB86659FD93)
+    total = np.repeat(total, len(signatures), axis=0)
+    places = np.array([sequence(t)[:depth] for t in range(orders)]).reshape(orders, depth)
     for k in range(depth):
-        total = total + own[:, :, k].astype(np.uint64) * _PREFIX[k]
+        total = total + signatures[:, places[:, k]].astype(np.uint64) * _PREFIX[k]
     return mix(total)
 
 
-def deep_values(similarity: int) -> int:
-    """The values that split dense regions: as many as ``MISS`` allows, at most six and at least a region's four."""
-    share = similarity / 100
-    depths = range(DEPTHS[0], DEPTHS[1] + 1)
-    return max((d for d in depths if (1 - share**d) ** ORDERS <= MISS), default=DEPTHS[0])
+def miss(depth: int, orders: int, similarity: int) -> float:
+    """The chance that a pair at the threshold shares no region of a depth.
+
+    Its signatures agree in a binomial number of places; given that, each order's places
+    are a draw of ``depth`` among all.
+    """
+    share, total = similarity / 100, 0.0
+    for equal in range(SIZE + 1):
+        weight = comb(SIZE, equal) * share**equal * (1 - share) ** (SIZE - equal)
+        total += weight * (1 - comb(equal, depth) / comb(SIZE, depth)) ** orders
+    return total
+
+
+@lru_cache(maxsize=256)
+def orders_at(depth: int, similarity: int) -> int:
+    """How many orders a depth needs, so that ``MISS`` holds."""
+    return next((k for k in range(ORDERS, MOST_ORDERS + 1) if miss(depth, k, similarity) <= MISS), MOST_ORDERS + 1)
+
+
+def depths_for(similarity: int) -> list[int]:
+    """The first depth, and the further ones for which ``MOST_ORDERS`` are enough."""
+    return [d for d in DEPTHS if d == DEPTHS[0] or orders_at(d, similarity) <= MOST_ORDERS]
 
 
 def _listed(values: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -75,29 +115,42 @@ def _listed(values: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, width, dtype=np.int32)), flat)
 
 
-def _sketches(deep: int):
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n = batch.num_rows
+        sizes, one, two = np.zeros(n, np.int64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+        signs = np.zeros((n, SIZE), np.uint16)
+        for i, own in enumerate(shingle_sets(batch.column(1))):
+            sizes[i] = len(own)
+            if len(own):
+                one[i] = own.sum(dtype=np.uint64)
+                two[i] = mix(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
+                signs[i] = signature(own).astype(np.uint16)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "doc_id": batch.column(0),
+                "n_shingles": sizes,
+                "d1": one.view(np.int64),
+                "d2": two.view(np.int64),
+                "sign": pa.array([s.tobytes() for s in signs], pa.binary()),
+                "keys": _listed(prefixes(signs, DEPTHS[0], ORDERS).view(np.int64), pa.int64()),
+            }
+        )
+
+
+def _signs(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), SIZE)
+
+
+def _deeper(depth: int, orders: int):
+    """(doc_id, d1, sign) to the keys of their regions at a depth."""
+
     def function(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            sizes, one, two = np.zeros(n, np.int64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-            signs = np.zeros((n, SIZE), np.uint32)
-            for i, own in enumerate(shingle_sets(batch.column(1))):
-                sizes[i] = len(own)
-                if len(own):
-                    one[i] = own.sum(dtype=np.uint64)
-                    two[i] = mix(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
-                    signs[i] = signature(own)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch.column(0),
-                    "n_shingles": sizes,
-                    "d1": one.view(np.int64),
-                    "d2": two.view(np.int64),
-                    "sign": pa.array([s.tobytes() for s in signs.astype(np.uint16)], pa.binary()),
-                    "shallow": _listed(prefixes(signs, DEPTHS[0]).view(np.int64), pa.int64()),
-                    "deep": _listed(prefixes(signs, deep).view(np.int64), pa.int64()),
-                }
-            )
+            if batch.num_rows:
+                keys = prefixes(_signs(batch.column(2)), depth, orders)
+                listed = _listed(keys.view(np.int64), pa.int64())
+                yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "d1": batch.column(1), "keys": listed})
 
     return function
 
@@ -121,10 +174,10 @@ class _Region:
         n = rows.num_rows
         self.n, self.ids = n, rows.column("doc_id").to_numpy()
         self.sizes = rows.column("n_shingles").to_numpy()
-        self.signs = np.frombuffer(b"".join(rows.column("sign").to_pylist()), np.uint16).reshape(n, SIZE)
-        self.order = rows.column("t")[0].as_py()
-        deep = rows.column("deep").combine_chunks()
-        self.deep = deep.flatten().to_numpy().reshape(n, ORDERS)
+        self.signs = _signs(rows.column("sign"))
+        # The regions of earlier orders at this depth, to leave out pairs that meet there.
+        order, depth = (rows.column(c)[0].as_py() for c in ("t", "depth"))
+        self.earlier = prefixes(self.signs, depth, order) if order else None
         self.block = rows.column("block").to_numpy()
         self.two = rows.column("two_blocks")[0].as_py()
         share = similarity / 100
@@ -133,12 +186,15 @@ class _Region:
 
     def pairs(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(i, partners j > i, equal values) that no earlier order shows and that may reach the threshold."""
+        # Sorted by size: the sets that may be similar to one end where sizes grow too large.
+        ends = np.searchsorted(self.sizes, self.sizes / self.share + 1e-9, side="right")
         for i in range(self.n - 1):
-            rest = slice(i + 1, self.n)
-            low, high = np.minimum(self.sizes[rest], self.sizes[i]), np.maximum(self.sizes[rest], self.sizes[i])
-            open_ = low >= self.share * high - 1e-9
-            if self.order:
-                open_ &= ~(self.deep[rest, : self.order] == self.deep[i, : self.order]).any(axis=1)
+            rest = slice(i + 1, ends[i])
+            if rest.start >= rest.stop:
+                continue
+            open_ = np.ones(rest.stop - rest.start, bool)
+            if self.earlier is not None:
+                open_ &= ~(self.earlier[rest] == self.earlier[i]).any(axis=1)
             if self.two:
                 open_ &= self.block[rest] != self.block[i]
             j = np.flatnonzero(open_) + i + 1
@@ -187,6 +243,51 @@ def _links(similarity: int):
     return function
 
 
+def _regions(keyed: DataFrame, depth: int) -> DataFrame:
+    """(doc_id, d1, t, key, members) of the regions of two members or more at a depth."""
+    keys = keyed.select("doc_id", "d1", F.posexplode("keys").alias("t", "key"))
+    counts = keys.groupBy("t", "key").agg(F.count("*").alias("members")).where("members > 1")
+    return stored(keys.join(counts, ["t", "key"]), f"regions-{depth}")
+
+
+def _forest(heads: DataFrame, similarity: int) -> DataFrame:
+    """(doc_id, d1, t, depth, block, two_blocks, g): which sets are compared with each other in which task.
+
+    Regions that one task can hold are groups of their own; the sets of larger ones go
+    on to the next depth. The larger ones of the last depth are cut into blocks, every two
+    of which are a group.
+    """
+    population, found = heads.select("doc_id", "d1", "keys"), None
+    depths = depths_for(similarity)
+    for place, depth in enumerate(depths):
+        last = place + 1 == len(depths)
+        regions = _regions(population, depth).withColumn("depth", F.lit(depth))
+        fits = regions if last else regions.where(F.col("members") <= TASK)
+        blocks = F.when(F.col("members") <= TASK, 1).otherwise(F.ceil(F.col("members") / BLOCK)).cast("int")
+        groups = (
+            fits.withColumn("blocks", blocks)
+            .withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("low", F.least("block", "other"))
+            .withColumn("high", F.greatest("block", "other"))
+            .select(
+                "doc_id", "d1", "t", "depth", "block",
+                (F.col("low") != F.col("high")).alias("two_blocks"),
+                F.xxhash64("depth", "t", "key", "low", "high").alias("g"),
+            )
+        )
+        found = groups if found is None else found.union(groups)
+        thick = regions.where(F.col("members") > TASK).select("doc_id", "d1")
+        if last or thick.isEmpty():
+            return found
+        deeper = depths[place + 1]
+        crowd = heads.join(thick.distinct(), ["doc_id", "d1"]).select("doc_id", "d1", "sign")
+        population = crowd.mapInArrow(
+            _deeper(deeper, orders_at(deeper, similarity)), "doc_id long, d1 long, keys array<long>"
+        )
+    raise AssertionError("no depths")
+
+
 def near_duplicates(documents: DataFrame, similarity: int = 80) -> DataFrame:
     """Classes of documents linked by 100 * intersection >= similarity * union of shingle sets.
 
@@ -195,11 +296,12 @@ def near_duplicates(documents: DataFrame, similarity: int = 80) -> DataFrame:
     doc_id, so copies cost nothing. A null or empty text, or one without words, has
     no shingles and is a class of its own. A null doc_id is linked with nothing.
     Repeated rows of a doc_id come out once each; their sets all count. Further
-    columns of ``documents`` play no part.
+    columns of ``documents`` play no part; texts of any length are read whole; an empty
+    table stays empty.
     """
     rows = need_columns(documents, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    kinds = "doc_id long, n_shingles long, d1 long, d2 long, sign binary, shallow array<long>, deep array<long>"
-    sketches = stored(rows.mapInArrow(_sketches(deep_values(similarity)), kinds), "sketches")
+    kinds = "doc_id long, n_shingles long, d1 long, d2 long, sign binary, keys array<long>"
+    sketches = stored(rows.mapInArrow(_sketches, kinds), "sketches")
 
     same = ["n_shingles", "d1", "d2"]
     full = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -207,46 +309,17 @@ def near_duplicates(documents: DataFrame, similarity: int = 80) -> DataFrame:
     copies = full.join(reps, same).where("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     heads = stored(
         full.drop("doc_id").dropDuplicates(same).join(reps, same).select(
-            F.col("rep").alias("doc_id"), "d1", "n_shingles", "sign", "shallow", "deep"
+            F.col("rep").alias("doc_id"), "d1", "n_shingles", "sign", "keys"
         ),
         "heads",
     )
-
-    def crowded(column: str, of: DataFrame) -> DataFrame:
-        """(doc_id, t, key, members) of regions with two members or more."""
-        keys = of.select("doc_id", "d1", F.posexplode(column).alias("t", "key"))
-        counts = keys.groupBy("t", "key").agg(F.count("*").alias("members")).where("members > 1")
-        return keys.join(counts, ["t", "key"])
-
-    shallow = stored(crowded("shallow", heads), "regions")
-    thick = shallow.where(F.col("members") > DENSE).select("doc_id", "d1", "t")
-    deep = heads.select("doc_id", "d1", F.posexplode("deep").alias("t", "key")).join(thick, ["doc_id", "d1", "t"])
-    counts = deep.groupBy("t", "key").agg(F.count("*").alias("members")).where("members > 1")
-    regions = (
-        shallow.where(F.col("members") <= DENSE)
-        .select("doc_id", "d1", "t", "key", "members")
-        .union(deep.join(counts, ["t", "key"]).select("doc_id", "d1", "t", "key", "members"))
-    )
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = (
-        regions.withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("low", F.least("block", "other"))
-        .withColumn("high", F.greatest("block", "other"))
-        .select(
-            "doc_id", "d1", "t", "block",
-            (F.col("low") != F.col("high")).alias("two_blocks"),
-            F.xxhash64("t", "key", "low", "high").alias("g"),
-        )
-    )
-    dealt = stored(dealt, "dealt")
     own = ["doc_id", "d1"]
+    dealt = stored(_forest(heads, similarity), "dealt")
     # Most sets share no region: from here on only those that do are moved.
-    heads = heads.select("doc_id", "d1", "n_shingles", "sign", "deep")
+    heads = heads.select("doc_id", "d1", "n_shingles", "sign")
     heads = stored(heads.join(dealt.select(*own).distinct(), own), "crowd")
     members = dealt.join(heads, own)
-    wanted = each_group(members, "g", _wanted(similarity), "doc_id long, d1 long, g long", *own)
+    wanted = each_group(members, "g", _wanted(similarity), "doc_id long, d1 long, g long", "n_shingles", *own)
     wanted = stored(wanted, "wanted")
 
     # The same kind of join at every size; the ids are too many to broadcast in general.
@@ -254,7 +327,7 @@ def near_duplicates(documents: DataFrame, similarity: int = 80) -> DataFrame:
     sets = texts.mapInArrow(_ship_sets, "doc_id long, d1 long, shingles binary")
     sets = sets.groupBy(*own).agg(F.max("shingles").alias("shingles"))
     whole = dealt.join(wanted, [*own, "g"], "left_semi").join(heads, own).join(sets, own)
-    links = each_group(whole, "g", _links(similarity), "a long, b long", *own)
+    links = each_group(whole, "g", _links(similarity), "a long, b long", "n_shingles", *own)
 
     roots = components(links.union(copies), "near-classes")
     root = F.coalesce("root", "doc_id")

@@ -62,7 +62,7 @@ def test_a_dense_region_is_compared_whole(spark, random, monkeypatch):
         for _ in range(int(random.integers(1, 5))):
             copy[int(random.integers(0, len(copy)))] = f"own{i}"
         texts.append(" ".join(copy))
-    monkeypatch.setattr(near_dedup, "DENSE", 20)
+    monkeypatch.setattr(near_dedup, "TASK", 20)
     monkeypatch.setattr(near_dedup, "BLOCK", 8)
     assert result(near_duplicates(documents(spark, texts), 85)) == brute(texts, 85)
 
@@ -105,7 +105,7 @@ def test_signatures_estimate_similarity(random):
 
 def test_dense_regions_at_80_miss_few_pairs(spark, random, monkeypatch):
     """Pairs at the threshold whose every region counts as dense: 180 shingles, 160 of them shared."""
-    monkeypatch.setattr(near_dedup, "DENSE", 1)
+    monkeypatch.setattr(near_dedup, "TASK", 1)
     pairs, texts = 4000, []
     for i in range(pairs):
         words = [f"p{i}w{k}" for k in range(184)]
@@ -113,4 +113,57 @@ def test_dense_regions_at_80_miss_few_pairs(spark, random, monkeypatch):
     found = near_duplicates(documents(spark, texts), 80)
     missed = found.where("doc_id % 2 = 1 AND kept").count()
     assert missed <= pairs * 1e-3
-    assert near_dedup.deep_values(80) == 5 and near_dedup.deep_values(85) == 6
+
+
+@pytest.mark.parametrize("similarity", [80, 85])
+def test_every_depth_has_the_orders_it_needs(similarity):
+    random = np.random.default_rng(1)
+    for depth in near_dedup.depths_for(similarity)[1:]:
+        orders = near_dedup.orders_at(depth, similarity)
+        assert near_dedup.miss(depth, orders, similarity) <= near_dedup.MISS
+        # Signatures of pairs at the threshold, drawn: about as many are parted as said.
+        equal = random.random((20_000, near_dedup.SIZE)) < similarity / 100
+        shared = np.zeros(len(equal), bool)
+        for t in range(orders):
+            shared |= equal[:, near_dedup.sequence(t)[:depth]].all(axis=1)
+        assert (~shared).mean() < 3 * near_dedup.MISS
+    assert near_dedup.miss(near_dedup.DEPTHS[0], near_dedup.ORDERS, similarity) < near_dedup.MISS
+
+
+def test_depth_follows_the_region(spark, random, monkeypatch):
+    """Texts that share a preface crowd the shallow regions; they part deeper down, and no pair is lost."""
+    monkeypatch.setattr(near_dedup, "TASK", 12)
+    preface = spoken(random, 90, 5000)
+    texts = []
+    for i in range(120):
+        words = [*preface, *(f"t{i}w{k}" for k in range(60))]
+        texts += [" ".join(words), " ".join([*words[:-1], "other"])]
+    for i in range(20):
+        words = [f"own{i}w{k}" for k in range(150)]
+        texts += [" ".join(words), " ".join([*words, "end"])]
+    frame = documents(spark, texts)
+    assert result(near_duplicates(frame, 85)) == brute(texts, 85)
+    sketches = frame.select("doc_id", "text").mapInArrow(
+        near_dedup._sketches, "doc_id long, n_shingles long, d1 long, d2 long, sign binary, keys array<long>"
+    )
+    dealt = near_dedup._forest(sketches, 85)
+    depths = {r.depth: r.n for r in dealt.groupBy("depth").agg({"g": "count"}).withColumnRenamed("count(g)", "n").collect()}
+    assert len(depths) > 3
+    alone = dealt.where(f"doc_id >= 240").agg({"depth": "max"}).head()[0]
+    assert alone == near_dedup.DEPTHS[0]
+    largest = dealt.where("NOT two_blocks AND depth < 12").groupBy("g").count().agg({"count": "max"}).head()[0]
+    assert largest <= 12
+
+
+def test_prefixes_of_an_order_agree_at_every_depth(random):
+    a = random.integers(0, 1 << 16, (1, near_dedup.SIZE)).astype(np.uint16)
+    b = a.copy()
+    for order in (0, 7, 19, 20, 60):
+        places = near_dedup.sequence(order)
+        assert len(set(places.tolist())) == near_dedup.DEPTHS[-1]
+        b[:] = a
+        b[0, places[6]] += 1
+        same = [near_dedup.prefixes(a, d, order + 1)[0, order] == near_dedup.prefixes(b, d, order + 1)[0, order] for d in near_dedup.DEPTHS]
+        assert same == [d <= 6 for d in near_dedup.DEPTHS]
+    firsts = np.concatenate([near_dedup.sequence(t)[:6] for t in range(near_dedup.ORDERS)])
+    assert len(set(firsts.tolist())) == 120
