@@ -255,8 +255,8 @@ def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every page's main text.
 
     Character references are decoded, white space inside a block is one space, and
-    blocks are joined by line feeds. A null or empty page gives an empty text.
-    Repeated rows come out as often; further columns play no part; an empty table
+    blocks are joined by line feeds. A null or empty page gives an empty text; one of any
+    length is parsed whole, in time that grows with its length. Repeated rows come out as often; further columns play no part; an empty table
     stays empty. Without ``model`` one is fitted.
     """
     model = model or fit(pages)

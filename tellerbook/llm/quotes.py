@@ -131,8 +131,9 @@ def reply_ordered(conversations: DataFrame) -> DataFrame:
     the first), quoted (turns quoted, by level) and formatted. The order is that of
     turns, which replies follow; equal turns are parts of one message, go by role and
     text, and share their links. Null conv_id or
-    turn: the message comes out without position or links. A null text stays null.
-    Repeated rows come out as often; further columns play no part.
+    turn: the message comes out without position or links. A null text stays null, an
+    empty one empty; texts of any length are cut up whole. Repeated rows come out as
+    often; further columns play no part; an empty table stays empty.
     """
     rows = need_columns(conversations, "conv_id", "turn", "role", "text")
     rows = rows.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")

@@ -111,7 +111,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     smallest vec_id reachable) and kept for every row. Null labels, vectors that are
     null, empty, zero or of other length, and null or non-finite components link
     with nothing, nor does a null vec_id. Repeated rows are linked with each other.
-    Further columns play no part.
+    Further columns play no part; an empty table stays empty.
     """
     rows = need_columns(vectors, "vec_id", "embedding", "label").withColumn("vec_id", F.col("vec_id").cast("long"))
     kind = rows.schema["embedding"].dataType.elementType.simpleString()
