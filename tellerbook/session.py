@@ -9,6 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
 # Settings the jobs are written for. On a cluster pass the same ones to
 # spark-submit, and size spark.sql.shuffle.partitions to the data: adaptive
 # execution merges partitions, but adds none to an exchange that groups by key.
@@ -17,7 +19,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass": (
+    STATE_STORE: (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.ui.enabled": "false",

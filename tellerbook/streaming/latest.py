@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tellerbook.schemas import KEY, QUEUE_RETENTION, SILVER
-from tellerbook.session import ship_package
+from tellerbook.session import SETTINGS, STATE_STORE, ship_package
 
 TIME = "transaction_timestamp"
 # Times go through Python as microseconds, which no zone can change.
@@ -73,8 +73,10 @@ def stream_latest_bounded(
     Rows behind the watermark, or without a time, are left out: they belong to a refresh.
     A version that comes after its id was forgotten counts as the first; readers of
     the updates keep the latest per id, so an older one of them still loses if the reader
-    compares times (see ``read_latest_by_time``).
+    compares times (see ``read_latest_by_time``). Needs the RocksDB state store, which it
+    selects for the session; streams that have a checkpoint keep theirs.
     """
+    rows.sparkSession.conf.set(STATE_STORE, SETTINGS[STATE_STORE])
     ship_package(rows.sparkSession)
     timed = rows.where(F.col(TIME).isNotNull()).withWatermark(TIME, watermark)
     latest = (
