@@ -339,18 +339,27 @@ def _corrections(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def q_gold_refresh_dates(spark: SparkSession, folder: str) -> DataFrame:
-    """Corrections move ids to other days and types."""
+def _refreshed(spark: SparkSession, folder: str, buckets: int | None) -> DataFrame:
     root = working_folder(spark, "refresh")
     bronze, silver, gold = f"{root}/bronze", f"{root}/silver", f"{root}/gold"
     append_bronze(click_events(spark, folder), bronze, 0)
-    run_pipeline(spark, bronze, silver, gold, CLICK_THRESHOLD, buckets=BUCKETS)
+    run_pipeline(spark, bronze, silver, gold, CLICK_THRESHOLD, buckets=buckets)
     append_bronze(_corrections(spark, folder), bronze, 1)
     fresh = read_bronze(spark, bronze).where(F.col("batch_id") > 0)
     refresh_gold_dates(spark, fresh, silver, gold, CLICK_THRESHOLD)
     return read_gold(spark, gold)
 
 
+def q_gold_refresh_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """Corrections move ids to other days and types."""
+    return _refreshed(spark, folder, None)
+
+
+def q_gold_refresh_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, with the days of the earlier versions looked up in the index."""
+    return _refreshed(spark, folder, BUCKETS)
+
+
 def q_gold_delta_refresh(spark: SparkSession, folder: str) -> DataFrame:
     """The same corrections by signed differences; coming again, they change nothing."""
     root = working_folder(spark, "delta")
@@ -918,6 +927,7 @@ WHERE date_transaction BETWEEN DATE '{GAP[0]}' AND DATE '{GAP[1]}'""",
         "gold_after_backfill": _CLICK_GOLD,
         "gate_closed": _CLICK_GOLD,
         "gold_refresh_dates": _gold_sql(_CORRECTED_SILVER),
+        "gold_refresh_indexed": _gold_sql(_CORRECTED_SILVER),
         "gold_delta_refresh": _gold_sql(_CORRECTED_SILVER),
         "silver_after_deltas": _CORRECTED_SILVER,
         "stream_ingest_gold": _gold_sql(_silver_sql(_LINEITEM)),
