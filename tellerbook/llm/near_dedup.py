@@ -10,6 +10,12 @@ below ``MISS`` there. So the depth follows the region: a pair is compared at the
 depth at which one of the regions that it shares is small enough, or in the deepest
 regions, which are compared whole in blocks of ``BLOCK`` sets, whatever their size.
 
+Many sets in one region are mostly near copies of each other. So the sets of regions of more
+than ``BLOCK`` are first held against a few pivots drawn from these, whole set against whole set;
+what is linked to one pivot is one class, and only sets of different classes are compared
+from there on. A region of one class needs no comparison at all, and the largest class of a
+region meets only the sets outside it.
+
 Members of a region are compared by signature, and pairs that may reach the threshold
 by their whole sets. In a region the sets are sorted by size, and a set meets only
 those whose size lets the two reach the threshold.
@@ -28,7 +34,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tellerbook.llm.graph import Forest, components
@@ -48,6 +54,8 @@ MISS = 4e-4
 #: Depths that need more orders than this are not used.
 MOST_ORDERS = 160
 BLOCK = 256
+#: Pivots that a crowded region draws one after the other, while each links a sixteenth of the sets it meets.
+PIVOTS = 4
 
 _MULTIPLIERS = (mix(np.arange(1, SIZE + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _SHIFTS = (mix(np.arange(9001, 9001 + SIZE, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
@@ -142,15 +150,26 @@ def _signs(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), SIZE)
 
 
-def _deeper(depth: int, orders: int):
-    """(doc_id, d1, sign) to the keys of their regions at a depth."""
+def _deeper(depth: int, orders: int, before: int):
+    """(doc_id, d1, sign, open) to the keys of their regions at a depth, by order.
+
+    Of the ``before`` orders of the last depth only those in ``open`` go on: a region
+    lies in that of the same order there, and if it was compared, so were its parts.
+    """
 
     def function(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 keys = prefixes(_signs(batch.column(2)), depth, orders)
-                listed = _listed(keys.view(np.int64), pa.int64())
-                yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "d1": batch.column(1), "keys": listed})
+                goes = np.ones(keys.shape, bool)
+                goes[:, :before] = False
+                for own, thick in zip(goes, batch.column(3).to_pylist(), strict=True):
+                    own[thick] = True
+                at, t = np.nonzero(goes)
+                taken = pa.array(at)
+                yield pa.RecordBatch.from_pydict(
+                    {"doc_id": batch.column(0).take(taken), "d1": batch.column(1).take(taken), "t": pa.array(t, pa.int32()), "key": keys[at, t].view(np.int64)}
+                )
 
     return function
 
@@ -167,22 +186,63 @@ def _ship_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _least(similarity: int) -> float:
+    """Equal values of two signatures that may reach the threshold: five deviations below it."""
+    share = similarity / 100
+    return SIZE * share - 5 * np.sqrt(SIZE * share * (1 - share))
+
+
+def _similar(x: np.ndarray, y: np.ndarray, similarity: int) -> bool:
+    both = len(x) + len(y) - len(np.union1d(x, y))
+    return 100 * both >= similarity * (len(x) + len(y) - both)
+
+
+def _near_pivots(similarity: int):
+    """Pairs of a set and a pivot that may reach the threshold, with their equal values."""
+
+    def function(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                equal = (_signs(batch.column("sign")) == _signs(batch.column("pivot_sign"))).sum(axis=1)
+                rows = batch.select(["doc_id", "d1", "pivot", "pivot_d1"]).append_column("equal", pa.array(equal, pa.int64()))
+                yield rows.filter(pa.array(equal >= _least(similarity)))
+
+    return function
+
+
+def _pivot_links(similarity: int):
+    """The pairs of a set and a pivot that reach the threshold."""
+
+    def function(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = ([np.frombuffer(s.as_buffer(), np.uint64) for s in batch.column(c)] for c in ("shingles", "pivot_shingles"))
+            linked = [_similar(x, y, similarity) for x, y in zip(one, two, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("pivot")], ["a", "b"]).filter(
+                pa.array(linked, pa.bool_())
+            )
+
+    return function
+
+
 class _Region:
     """The members of one region, or of two of its blocks."""
 
     def __init__(self, rows: pa.Table, similarity: int):
         n = rows.num_rows
         self.n, self.ids = n, rows.column("doc_id").to_numpy()
+        self.classes = rows.column("class").to_numpy()
         self.sizes = rows.column("n_shingles").to_numpy()
         self.signs = _signs(rows.column("sign"))
-        # The regions of earlier orders at this depth, to leave out pairs that meet there.
+        # The regions of earlier orders at this depth, to leave out pairs that meet there;
+        # not those that go on to the next depth, where pairs may part.
         order, depth = (rows.column(c)[0].as_py() for c in ("t", "depth"))
         self.earlier = prefixes(self.signs, depth, order) if order else None
+        for i, thick in enumerate(rows.column("open").to_pylist() if order else []):
+            self.earlier[i, [t for t in thick if t < order]] ^= np.uint64(i + 1)
         self.block = rows.column("block").to_numpy()
         self.two = rows.column("two_blocks")[0].as_py()
-        share = similarity / 100
-        self.share = share
-        self.least = SIZE * share - 5 * np.sqrt(SIZE * share * (1 - share))
+        self.share = similarity / 100
+        self.least = _least(similarity)
 
     def pairs(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(i, partners j > i, equal values) that no earlier order shows and that may reach the threshold."""
@@ -192,7 +252,7 @@ class _Region:
             rest = slice(i + 1, ends[i])
             if rest.start >= rest.stop:
                 continue
-            open_ = np.ones(rest.stop - rest.start, bool)
+            open_ = self.classes[rest] != self.classes[i]
             if self.earlier is not None:
                 open_ &= ~(self.earlier[rest] == self.earlier[i]).any(axis=1)
             if self.two:
@@ -231,9 +291,7 @@ def _links(similarity: int):
         trees, a, b = Forest(region.n), [], []
         for _, i, j in found:
             if trees.find(i) != trees.find(j):
-                x, y = sets[i], sets[j]
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                if 100 * both >= similarity * (len(x) + len(y) - both):
+                if _similar(sets[i], sets[j], similarity):
                     trees.join(i, j)
                     a.append(region.ids[i])
                     b.append(region.ids[j])
@@ -243,48 +301,129 @@ def _links(similarity: int):
     return function
 
 
-def _regions(keyed: DataFrame, depth: int) -> DataFrame:
+def _regions(keys: DataFrame, depth: int) -> DataFrame:
     """(doc_id, d1, t, key, members) of the regions of two members or more at a depth."""
-    keys = keyed.select("doc_id", "d1", F.posexplode("keys").alias("t", "key"))
     counts = keys.groupBy("t", "key").agg(F.count("*").alias("members")).where("members > 1")
     return stored(keys.join(counts, ["t", "key"]), f"regions-{depth}")
 
 
-def _forest(heads: DataFrame, similarity: int) -> DataFrame:
-    """(doc_id, d1, t, depth, block, two_blocks, g): which sets are compared with each other in which task.
+def _sets(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, d1, shingles) of the texts of these ids."""
+    # The same kind of join at every size; the ids are too many to broadcast in general.
+    texts = rows.join(ids.distinct().hint("merge"), "doc_id")
+    sets = texts.mapInArrow(_ship_sets, "doc_id long, d1 long, shingles binary")
+    return sets.groupBy("doc_id", "d1").agg(F.max("shingles").alias("shingles"))
+
 
-    Regions that one task can hold are groups of their own; the sets of larger ones go
-    on to the next depth. The larger ones of the last depth are cut into blocks, every two
-    of which are a group.
+def _classed(rows: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """Rows with the class of their set among ``classes`` (node, root); others are their own."""
+    if classes is None:
+        return rows.withColumn("class", F.col("doc_id"))
+    known = classes.withColumnRenamed("node", "doc_id")
+    return rows.join(known, "doc_id", "left").withColumn("class", F.coalesce("root", "doc_id")).drop("root")
+
+
+def _pivoted(regions: DataFrame, heads: DataFrame, rows: DataFrame, similarity: int) -> DataFrame | None:
+    """(a, b): links of the sets of crowded regions with pivots, confirmed on the whole sets.
+
+    Each round draws a pivot in every region; a set of another class than the pivot's meets
+    the likest one of its regions. So a round costs no more than the rows of the regions.
+    """
+    crowded, links, classes = regions.where(F.col("members") > BLOCK).select("doc_id", "d1", "t", "key"), None, None
+    if crowded.isEmpty():
+        return None
+    signs = stored(heads.join(crowded.select("doc_id", "d1").distinct(), ["doc_id", "d1"]).select("doc_id", "d1", "sign"), "signs")
+    as_pivot = {"doc_id": "pivot", "d1": "pivot_d1", "sign": "pivot_sign", "shingles": "pivot_shingles"}
+    for drawn in range(PIVOTS):
+        drawing = F.min(F.struct(F.xxhash64("doc_id", "d1", F.lit(drawn)), F.col("doc_id").alias("pivot"), F.col("d1").alias("pivot_d1"), F.col("class").alias("pivot_class")))
+        members = _classed(crowded, classes)
+        pivots = members.groupBy("t", "key").agg(drawing.alias("_pivot")).select("t", "key", "_pivot.*")
+        met = members.join(pivots, ["t", "key"]).where("class != pivot_class")
+        met = met.select("doc_id", "d1", "pivot", "pivot_d1").distinct()
+        near = met.join(signs, ["doc_id", "d1"]).join(signs.withColumnsRenamed(as_pivot), ["pivot", "pivot_d1"])
+        near = near.mapInArrow(_near_pivots(similarity), "doc_id long, d1 long, pivot long, pivot_d1 long, equal long")
+        likest = F.max(F.struct("equal", "pivot", "pivot_d1")).alias("_likest")
+        near = stored(near.groupBy("doc_id", "d1").agg(likest).select("doc_id", "d1", "_likest.*"), "near-pivots")
+        sets = _sets(rows, near.select("doc_id").union(near.select("pivot")))
+        whole = near.join(sets, ["doc_id", "d1"]).join(sets.withColumnsRenamed(as_pivot), ["pivot", "pivot_d1"])
+        found = whole.select("doc_id", "pivot", "shingles", "pivot_shingles").mapInArrow(_pivot_links(similarity), "a long, b long")
+        found = stored(found, "pivot-links")
+        # Two numbers.
+        linked = found.count()
+        if not linked:
+            break
+        links = found if links is None else links.union(found)
+        if 16 * linked < near.count():
+            break
+        if drawn + 1 < PIVOTS:
+            classes = stored(components(links, "pivot-classes"), "classes")
+    return links
+
+
+def _first_regions(heads: DataFrame) -> DataFrame:
+    return _regions(heads.select("doc_id", "d1", F.posexplode("keys").alias("t", "key")), DEPTHS[0])
+
+
+def _forest(
+    heads: DataFrame, similarity: int, first: DataFrame | None = None, classes: DataFrame | None = None
+) -> DataFrame:
+    """(doc_id, d1, class, t, depth, open, block, two_blocks, g): which sets are compared with each other in which task.
+
+    ``first`` has the regions of the first depth, ``classes`` (node, root) what is known to be linked.
+    Regions that one task can hold are groups of their own, and so are those of a large class
+    and few others; the sets of other ones go on to the next depth. What is larger than a task
+    is cut into blocks, every two of which are a group; of the largest class no two blocks
+    meet. Regions of one class are left out.
     """
-    population, found = heads.select("doc_id", "d1", "keys"), None
+    regions, found = _first_regions(heads) if first is None else first, None
     depths = depths_for(similarity)
     for place, depth in enumerate(depths):
         last = place + 1 == len(depths)
-        regions = _regions(population, depth).withColumn("depth", F.lit(depth))
-        fits = regions if last else regions.where(F.col("members") <= TASK)
-        blocks = F.when(F.col("members") <= TASK, 1).otherwise(F.ceil(F.col("members") / BLOCK)).cast("int")
+        regions = _classed(regions, classes).withColumn("depth", F.lit(depth))
+        if classes is None:
+            regions = regions.withColumn("largest", F.lit(0)).withColumn("top", F.lit(None).cast("long"))
+        else:
+            counts = regions.groupBy("t", "key", "class").agg(F.count("*").alias("n"))
+            counts = counts.groupBy("t", "key").agg(F.max(F.struct("n", "class")).alias("_top"), F.count("*").alias("kinds"))
+            counts = counts.where("kinds > 1").select("t", "key", F.col("_top.n").alias("largest"), F.col("_top.class").alias("top"))
+            regions = stored(regions.join(counts, ["t", "key"]), f"classed-{depth}")
+        few = (F.col("members") <= TASK) | (F.col("members") - F.col("largest") <= min(BLOCK, TASK))
+        thick = None if last else regions.where(~few)
+        thick = None if last or thick.isEmpty() else thick.groupBy("doc_id", "d1").agg(F.collect_list("t").alias("open"))
+        if thick is None:
+            fits = regions.withColumn("open", F.array().cast("array<int>"))
+        else:
+            own = Window.partitionBy("doc_id", "d1")
+            fits = regions.withColumn("open", F.collect_list(F.when(~few, F.col("t"))).over(own)).where(few)
+        cut, in_top = F.col("members") > TASK, F.col("class").eqNullSafe(F.col("top"))
+        # Blocks of the largest class come first, those of all others behind them.
+        tops = F.when(cut & F.col("top").isNotNull(), F.ceil(F.col("largest") / BLOCK)).otherwise(0)
+        rest = F.when(F.col("top").isNotNull(), F.col("members") - F.col("largest")).otherwise(F.col("members"))
+        dealt = F.xxhash64("doc_id")
         groups = (
-            fits.withColumn("blocks", blocks)
-            .withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            fits.withColumn("tops", tops.cast("int"))
+            .withColumn("rests", F.when(cut, F.ceil(rest / BLOCK)).otherwise(1).cast("int"))
+            .withColumn(
+                "block",
+                F.when(cut & in_top, F.pmod(dealt, F.greatest("tops", F.lit(1)))).otherwise(F.col("tops") + F.pmod(dealt, F.col("rests"))).cast("int"),
+            )
+            .withColumn("other", F.explode(F.sequence(F.when(cut & in_top, F.col("tops")).otherwise(0), F.col("tops") + F.col("rests") - 1)))
             .withColumn("low", F.least("block", "other"))
             .withColumn("high", F.greatest("block", "other"))
             .select(
-                "doc_id", "d1", "t", "depth", "block",
+                "doc_id", "d1", "class", "t", "depth", "open", "block",
                 (F.col("low") != F.col("high")).alias("two_blocks"),
                 F.xxhash64("depth", "t", "key", "low", "high").alias("g"),
             )
         )
         found = groups if found is None else found.union(groups)
-        thick = regions.where(F.col("members") > TASK).select("doc_id", "d1")
-        if last or thick.isEmpty():
+        if thick is None:
             return found
         deeper = depths[place + 1]
-        crowd = heads.join(thick.distinct(), ["doc_id", "d1"]).select("doc_id", "d1", "sign")
-        population = crowd.mapInArrow(
-            _deeper(deeper, orders_at(deeper, similarity)), "doc_id long, d1 long, keys array<long>"
-        )
+        crowd = heads.join(thick, ["doc_id", "d1"]).select("doc_id", "d1", "sign", "open")
+        before = orders_at(depth, similarity) if place else ORDERS
+        deep = _deeper(deeper, orders_at(deeper, similarity), before)
+        regions = _regions(crowd.mapInArrow(deep, "doc_id long, d1 long, t int, key long"), deeper)
     raise AssertionError("no depths")
 
 
@@ -314,7 +453,10 @@ def near_duplicates(documents: DataFrame, similarity: int = 80) -> DataFrame:
         "heads",
     )
     own = ["doc_id", "d1"]
-    dealt = stored(_forest(heads, similarity), "dealt")
+    first = _first_regions(heads)
+    pivot_links = _pivoted(first, heads, rows, similarity)
+    classes = None if pivot_links is None else stored(components(pivot_links, "pivot-classes"), "classes")
+    dealt = stored(_forest(heads, similarity, first, classes), "dealt")
     # Most sets share no region: from here on only those that do are moved.
     heads = heads.select("doc_id", "d1", "n_shingles", "sign")
     heads = stored(heads.join(dealt.select(*own).distinct(), own), "crowd")
@@ -322,14 +464,12 @@ def near_duplicates(documents: DataFrame, similarity: int = 80) -> DataFrame:
     wanted = each_group(members, "g", _wanted(similarity), "doc_id long, d1 long, g long", "n_shingles", *own)
     wanted = stored(wanted, "wanted")
 
-    # The same kind of join at every size; the ids are too many to broadcast in general.
-    texts = rows.join(wanted.select("doc_id").distinct().hint("merge"), "doc_id")
-    sets = texts.mapInArrow(_ship_sets, "doc_id long, d1 long, shingles binary")
-    sets = sets.groupBy(*own).agg(F.max("shingles").alias("shingles"))
-    whole = dealt.join(wanted, [*own, "g"], "left_semi").join(heads, own).join(sets, own)
+    sets = _sets(rows, wanted.select("doc_id"))
+    whole = dealt.join(wanted, [*own, "g"], "left_semi").join(heads.join(sets, own), own)
     links = each_group(whole, "g", _links(similarity), "a long, b long", "n_shingles", *own)
 
-    roots = components(links.union(copies), "near-classes")
+    links = links.union(copies) if pivot_links is None else links.union(copies).union(pivot_links)
+    roots = components(links, "near-classes")
     root = F.coalesce("root", "doc_id")
     return (
         sketches.select("doc_id", "n_shingles")

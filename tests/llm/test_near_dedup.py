@@ -1,6 +1,7 @@
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tellerbook.llm import near_dedup
@@ -167,3 +168,42 @@ def test_prefixes_of_an_order_agree_at_every_depth(random):
         assert same == [d <= 6 for d in near_dedup.DEPTHS]
     firsts = np.concatenate([near_dedup.sequence(t)[:6] for t in range(near_dedup.ORDERS)])
     assert len(set(firsts.tolist())) == 120
+
+
+def test_rows_of_a_crowd_of_near_copies_grow_with_its_size(spark, random, monkeypatch):
+    """Near copies that reach the threshold are one class, and no two blocks of it are dealt out."""
+    dealt = []
+    whole = near_dedup.stored
+
+    def counts(rows, purpose):
+        out = whole(rows, purpose)
+        if purpose == "dealt":
+            dealt.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "stored", counts)
+    monkeypatch.setattr(near_dedup, "TASK", 16)
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    base = spoken(random, 300)
+    texts = []
+    for i in range(160):
+        copy = list(base)
+        copy[int(random.integers(0, len(copy)))] = f"own{i}"
+        texts.append(" ".join(copy))
+    other = " ".join(spoken(random, 100) + base[:200])
+    assert result(near_duplicates(documents(spark, [*texts, other]), 85)) == brute([*texts, other], 85)
+    assert dealt[0] < 160 * 20
+
+
+def test_a_region_that_goes_on_hides_no_pair(random):
+    signs = np.repeat(random.integers(0, 1 << 16, (1, near_dedup.SIZE)).astype(np.uint16), 2, axis=0)
+    columns = {
+        "doc_id": [1, 2], "class": [1, 2], "n_shingles": [50, 50], "sign": [s.tobytes() for s in signs],
+        "t": [1, 1], "depth": [4, 4], "block": [0, 0], "two_blocks": [False, False],
+    }
+
+    def pairs(open_):
+        rows = pa.table(columns | {"open": pa.array([open_, open_], pa.list_(pa.int32()))})
+        return [(i, j.tolist()) for i, j, _ in near_dedup._Region(rows, 85).pairs()]
+
+    assert pairs([]) == [] and pairs([0]) == [(0, [1])]
