@@ -71,3 +71,14 @@ def test_rank_is_that_of_structs(spark):
     values = [None, float("-inf"), -1.0, 0.0, 2.0, float("inf"), float("nan")]
     assert sorted(values[::-1], key=lambda v: _rank((v,))) [:6] == values[:6]
     assert _rank((1, None)) < _rank((1, "")) < _rank((1, "a")) < _rank((2, None))
+
+
+def test_ids_of_a_bucket_share_one_state(spark, folder):
+    old = [event(f"old{i}", "2026-07-01T00:00:00") for i in range(30)]
+    assert max(deliver(spark, folder, "1.json", old, buckets=2)) == 2
+    # Of a bucket only the ids whose retention is over are forgotten.
+    later = [event("old0", "2026-07-01T00:00:00", 7.0), event("old0", "2026-07-14T00:00:00"), event("old1", "2026-07-12T00:00:00")]
+    deliver(spark, folder, "2.json", later, buckets=2)
+    deliver(spark, folder, "3.json", [event("old0", "2026-07-13T00:00:00"), event("old1", "2026-07-13T00:00:00")], buckets=2)
+    found = [(r.transaction_id, r.transaction_timestamp.day) for r in written(spark, folder).collect()]
+    assert sorted(found) == sorted([(f"old{i}", 1) for i in range(30)] + [("old0", 14), ("old1", 12), ("old1", 13)])
