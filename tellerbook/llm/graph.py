@@ -13,28 +13,24 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     """(node, root): the smallest node reachable, for every node of an edge.
 
     ``edges`` has two long columns a and b. Large-star and small-star steps hang
-    every node below the smallest neighbour until nothing changes; the number of
+    every node below the smallest neighbour until all are stars; the number of
     rounds grows with the logarithm of the longest path. Only minima are gathered
     by key, and each round is written to the shared folder. Loops (a = b) and
     repeated edges do no harm; no edges give no rows.
     """
     links = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v")
     now = stored(links.distinct(), purpose)
-    mark = _mark(now)
-    while True:
+    while not _stars(now):
         now = stored(_small(_large(now)), purpose)
-        before, mark = mark, _mark(now)
-        if mark == before:
-            break
     node = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return node.union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def _mark(links: DataFrame) -> tuple:
-    """Tells one set of links from another: a count and sums of hashes."""
-    h = F.xxhash64("u", "v")
-    row = links.agg(F.count("*"), F.sum(h % 1_000_003), F.sum(F.shiftright(h, 24) % 1_000_033)).first()
-    return tuple(row)
+def _stars(links: DataFrame) -> bool:
+    """Whether every node hangs below one node that hangs below none."""
+    ends = links.selectExpr("u AS node", "1 AS up").union(links.selectExpr("v", "0"))
+    ups = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+    return ups.where("ups > 1 OR (ups = 1 AND least = 0)").isEmpty()
 
 
 def _large(links: DataFrame) -> DataFrame:
@@ -42,7 +38,7 @@ def _large(links: DataFrame) -> DataFrame:
     both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     joined = both.where("v > u").join(least, "u")
-    return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+    return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
 
 
 def _small(links: DataFrame) -> DataFrame:

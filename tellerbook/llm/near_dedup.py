@@ -12,9 +12,11 @@ regions, which are compared whole in blocks of ``BLOCK`` sets, whatever their si
 
 Many sets in one region are mostly near copies of each other. So the sets of regions of more
 than ``BLOCK`` are first held against a few pivots drawn from these, whole set against whole set;
-what is linked to one pivot is one class, and only sets of different classes are compared
-from there on. A region of one class needs no comparison at all, and the largest class of a
-region meets only the sets outside it.
+what pivots link is one class, and only sets of different classes are compared
+from there on. Where a region is larger than a task, its largest class meets only the sets outside
+it, and a region of one class needs no comparison at all.
+
+The texts of all documents are moved once, to keep those whose sets share a region.
 
 Members of a region are compared by signature, and pairs that may reach the threshold
 by their whole sets. In a region the sets are sorted by size, and a set meets only
@@ -34,7 +36,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tellerbook.llm.graph import Forest, components
@@ -54,8 +56,8 @@ MISS = 4e-4
 #: Depths that need more orders than this are not used.
 MOST_ORDERS = 160
 BLOCK = 256
-#: Pivots that a crowded region draws one after the other, while each links a sixteenth of the sets it meets.
-PIVOTS = 4
+#: Of the pivots of its crowded regions a set meets so many by signature, and of these so many by whole sets.
+MET, LIKEST = 8, 3
 
 _MULTIPLIERS = (mix(np.arange(1, SIZE + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _SHIFTS = (mix(np.arange(9001, 9001 + SIZE, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
@@ -307,11 +309,15 @@ def _regions(keys: DataFrame, depth: int) -> DataFrame:
     return stored(keys.join(counts, ["t", "key"]), f"regions-{depth}")
 
 
+def _texts(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of these ids."""
+    # The same kind of join at every size; the ids are too many to broadcast in general.
+    return rows.join(ids.distinct().hint("merge"), "doc_id")
+
+
 def _sets(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """(doc_id, d1, shingles) of the texts of these ids."""
-    # The same kind of join at every size; the ids are too many to broadcast in general.
-    texts = rows.join(ids.distinct().hint("merge"), "doc_id")
-    sets = texts.mapInArrow(_ship_sets, "doc_id long, d1 long, shingles binary")
+    sets = _texts(rows, ids).mapInArrow(_ship_sets, "doc_id long, d1 long, shingles binary")
     return sets.groupBy("doc_id", "d1").agg(F.max("shingles").alias("shingles"))
 
 
@@ -323,41 +329,38 @@ def _classed(rows: DataFrame, classes: DataFrame | None) -> DataFrame:
     return rows.join(known, "doc_id", "left").withColumn("class", F.coalesce("root", "doc_id")).drop("root")
 
 
-def _pivoted(regions: DataFrame, heads: DataFrame, rows: DataFrame, similarity: int) -> DataFrame | None:
+def _most(column: str, n: int) -> Column:
+    """The ``n`` largest structs of an array, as rows."""
+    return F.inline(F.slice(F.sort_array(column, asc=False), 1, n))
+
+
+def _pivoted(regions: DataFrame, heads: DataFrame, texts: DataFrame, similarity: int) -> DataFrame | None:
     """(a, b): links of the sets of crowded regions with pivots, confirmed on the whole sets.
 
-    Each round draws a pivot in every region; a set of another class than the pivot's meets
-    the likest one of its regions. So a round costs no more than the rows of the regions.
+    Each region draws two pivots, one as all regions do, so that those of one crowd agree, and
+    one of its own. A set meets those that most of its regions have drawn. This only saves
+    comparisons: sets of different classes are compared in their regions all the same.
     """
-    crowded, links, classes = regions.where(F.col("members") > BLOCK).select("doc_id", "d1", "t", "key"), None, None
+    crowded, own = regions.where(F.col("members") > BLOCK).select("doc_id", "d1", "t", "key"), ["doc_id", "d1"]
     if crowded.isEmpty():
         return None
-    signs = stored(heads.join(crowded.select("doc_id", "d1").distinct(), ["doc_id", "d1"]).select("doc_id", "d1", "sign"), "signs")
+    signs = stored(heads.join(crowded.select(*own).distinct(), own).select(*own, "sign"), "signs")
     as_pivot = {"doc_id": "pivot", "d1": "pivot_d1", "sign": "pivot_sign", "shingles": "pivot_shingles"}
-    for drawn in range(PIVOTS):
-        drawing = F.min(F.struct(F.xxhash64("doc_id", "d1", F.lit(drawn)), F.col("doc_id").alias("pivot"), F.col("d1").alias("pivot_d1"), F.col("class").alias("pivot_class")))
-        members = _classed(crowded, classes)
-        pivots = members.groupBy("t", "key").agg(drawing.alias("_pivot")).select("t", "key", "_pivot.*")
-        met = members.join(pivots, ["t", "key"]).where("class != pivot_class")
-        met = met.select("doc_id", "d1", "pivot", "pivot_d1").distinct()
-        near = met.join(signs, ["doc_id", "d1"]).join(signs.withColumnsRenamed(as_pivot), ["pivot", "pivot_d1"])
-        near = near.mapInArrow(_near_pivots(similarity), "doc_id long, d1 long, pivot long, pivot_d1 long, equal long")
-        likest = F.max(F.struct("equal", "pivot", "pivot_d1")).alias("_likest")
-        near = stored(near.groupBy("doc_id", "d1").agg(likest).select("doc_id", "d1", "_likest.*"), "near-pivots")
-        sets = _sets(rows, near.select("doc_id").union(near.select("pivot")))
-        whole = near.join(sets, ["doc_id", "d1"]).join(sets.withColumnsRenamed(as_pivot), ["pivot", "pivot_d1"])
-        found = whole.select("doc_id", "pivot", "shingles", "pivot_shingles").mapInArrow(_pivot_links(similarity), "a long, b long")
-        found = stored(found, "pivot-links")
-        # Two numbers.
-        linked = found.count()
-        if not linked:
-            break
-        links = found if links is None else links.union(found)
-        if 16 * linked < near.count():
-            break
-        if drawn + 1 < PIVOTS:
-            classes = stored(components(links, "pivot-classes"), "classes")
-    return links
+    pivot = F.struct(F.col("doc_id").alias("pivot"), F.col("d1").alias("pivot_d1"))
+    draws = [F.min_by(pivot, F.xxhash64(*own, salt)) for salt in (F.lit(-1), F.col("t"))]
+    pivots = crowded.groupBy("t", "key").agg(F.array_distinct(F.array(*draws)).alias("pivots"))
+    met = crowded.join(pivots, ["t", "key"]).select(*own, F.inline("pivots")).where("doc_id != pivot")
+    met = met.groupBy(*own, "pivot", "pivot_d1").agg(F.count("*").alias("shared"))
+    met = met.groupBy(*own).agg(F.collect_list(F.struct("shared", "pivot", "pivot_d1")).alias("met"))
+    met = met.select(*own, _most("met", MET)).drop("shared")
+    near = met.join(signs, own).join(signs.withColumnsRenamed(as_pivot), ["pivot", "pivot_d1"])
+    near = near.mapInArrow(_near_pivots(similarity), "doc_id long, d1 long, pivot long, pivot_d1 long, equal long")
+    near = near.groupBy(*own).agg(F.collect_list(F.struct("equal", "pivot", "pivot_d1")).alias("near"))
+    near = stored(near.select(*own, _most("near", LIKEST)), "near-pivots")
+    sets = _sets(texts, near.select("doc_id").union(near.select("pivot")))
+    whole = near.join(sets, own).join(sets.withColumnsRenamed(as_pivot), ["pivot", "pivot_d1"])
+    found = whole.select("doc_id", "pivot", "shingles", "pivot_shingles").mapInArrow(_pivot_links(similarity), "a long, b long")
+    return stored(found, "pivot-links")
 
 
 def _first_regions(heads: DataFrame) -> DataFrame:
@@ -373,23 +376,26 @@ def _forest(
     Regions that one task can hold are groups of their own, and so are those of a large class
     and few others; the sets of other ones go on to the next depth. What is larger than a task
     is cut into blocks, every two of which are a group; of the largest class no two blocks
-    meet. Regions of one class are left out.
+    meet. Such regions of one class are left out.
     """
     regions, found = _first_regions(heads) if first is None else first, None
     depths = depths_for(similarity)
     for place, depth in enumerate(depths):
         last = place + 1 == len(depths)
         regions = _classed(regions, classes).withColumn("depth", F.lit(depth))
-        if classes is None:
-            regions = regions.withColumn("largest", F.lit(0)).withColumn("top", F.lit(None).cast("long"))
-        else:
-            counts = regions.groupBy("t", "key", "class").agg(F.count("*").alias("n"))
+        small, wide = regions.where(F.col("members") <= TASK), regions.where(F.col("members") > TASK)
+        none = wide.isEmpty()
+        regions = small.withColumn("largest", F.lit(0).cast("long")).withColumn("top", F.lit(None).cast("long"))
+        if not none and classes is None:
+            regions = regions.unionByName(wide.withColumn("largest", F.lit(0).cast("long")).withColumn("top", F.lit(None).cast("long")))
+        elif not none:
+            counts = wide.groupBy("t", "key", "class").agg(F.count("*").alias("n"))
             counts = counts.groupBy("t", "key").agg(F.max(F.struct("n", "class")).alias("_top"), F.count("*").alias("kinds"))
             counts = counts.where("kinds > 1").select("t", "key", F.col("_top.n").alias("largest"), F.col("_top.class").alias("top"))
-            regions = stored(regions.join(counts, ["t", "key"]), f"classed-{depth}")
+            regions = stored(regions.unionByName(wide.join(counts, ["t", "key"])), f"classed-{depth}")
         few = (F.col("members") <= TASK) | (F.col("members") - F.col("largest") <= min(BLOCK, TASK))
-        thick = None if last else regions.where(~few)
-        thick = None if last or thick.isEmpty() else thick.groupBy("doc_id", "d1").agg(F.collect_list("t").alias("open"))
+        thick = None if last or none else regions.where(~few)
+        thick = None if thick is None or thick.isEmpty() else thick.groupBy("doc_id", "d1").agg(F.collect_list("t").alias("open"))
         if thick is None:
             fits = regions.withColumn("open", F.array().cast("array<int>"))
         else:
@@ -454,7 +460,9 @@ def near_duplicates(documents: DataFrame, similarity: int = 80) -> DataFrame:
     )
     own = ["doc_id", "d1"]
     first = _first_regions(heads)
-    pivot_links = _pivoted(first, heads, rows, similarity)
+    # All texts are moved here, and only here.
+    texts = stored(_texts(rows, first.select("doc_id")), "texts")
+    pivot_links = _pivoted(first, heads, texts, similarity)
     classes = None if pivot_links is None else stored(components(pivot_links, "pivot-classes"), "classes")
     dealt = stored(_forest(heads, similarity, first, classes), "dealt")
     # Most sets share no region: from here on only those that do are moved.
@@ -464,11 +472,12 @@ def near_duplicates(documents: DataFrame, similarity: int = 80) -> DataFrame:
     wanted = each_group(members, "g", _wanted(similarity), "doc_id long, d1 long, g long", "n_shingles", *own)
     wanted = stored(wanted, "wanted")
 
-    sets = _sets(rows, wanted.select("doc_id"))
+    sets = _sets(texts, wanted.select("doc_id"))
     whole = dealt.join(wanted, [*own, "g"], "left_semi").join(heads.join(sets, own), own)
     links = each_group(whole, "g", _links(similarity), "a long, b long", "n_shingles", *own)
 
-    links = links.union(copies) if pivot_links is None else links.union(copies).union(pivot_links)
+    links = links.union(copies)
+    links = links if classes is None else links.union(classes.select("node", "root"))
     roots = components(links, "near-classes")
     root = F.coalesce("root", "doc_id")
     return (

@@ -207,3 +207,43 @@ def test_a_region_that_goes_on_hides_no_pair(random):
         return [(i, j.tolist()) for i, j, _ in near_dedup._Region(rows, 85).pairs()]
 
     assert pairs([]) == [] and pairs([0]) == [(0, [1])]
+
+
+def test_crowds_move_the_texts_once(spark, random, monkeypatch):
+    """Three kinds of near copies in one crowd: all meet their pivots in one pass over the texts that were kept."""
+    written = []
+    whole = near_dedup.stored
+
+    def noted(rows, purpose):
+        written.append(purpose)
+        return whole(rows, purpose)
+
+    monkeypatch.setattr(near_dedup, "stored", noted)
+    monkeypatch.setattr(near_dedup, "TASK", 16)
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    base, texts = spoken(random, 200), []
+    for kind in range(3):
+        own = base[:180] + [f"kind{kind}w{k}" for k in range(40)]
+        for i in range(30):
+            copy = list(own)
+            copy[int(random.integers(0, len(copy)))] = f"own{i}"
+            texts.append(" ".join(copy))
+    assert result(near_duplicates(documents(spark, texts), 85)) == brute(texts, 85)
+    assert written.count("near-pivots") == written.count("texts") == 1
+
+
+def test_components_of_stars_need_no_further_round(spark, monkeypatch):
+    from tellerbook.llm import graph
+
+    written = []
+    whole = graph.stored
+
+    def noted(rows, purpose):
+        written.append(purpose)
+        return whole(rows, purpose)
+
+    monkeypatch.setattr(graph, "stored", noted)
+    frame = spark.createDataFrame([(3, i) for i in range(10, 40)] + [(4, 60), (60, 4), (7, 7)], "a long, b long")
+    found = sorted(map(tuple, components(frame).collect()))
+    assert found == sorted([(3, 3), (4, 4), (60, 4), *((i, 3) for i in range(10, 40))])
+    assert len(written) == 1
