@@ -349,18 +349,21 @@ def _pivoted(regions: DataFrame, heads: DataFrame, texts: DataFrame, similarity:
     pivot = F.struct(F.col("doc_id").alias("pivot"), F.col("d1").alias("pivot_d1"))
     draws = [F.min_by(pivot, F.xxhash64(*own, salt)) for salt in (F.lit(-1), F.col("t"))]
     pivots = crowded.groupBy("t", "key").agg(F.array_distinct(F.array(*draws)).alias("pivots"))
-    met = crowded.join(pivots, ["t", "key"]).select(*own, F.inline("pivots")).where("doc_id != pivot")
-    met = met.groupBy(*own, "pivot", "pivot_d1").agg(F.count("*").alias("shared"))
-    met = met.groupBy(*own).agg(F.collect_list(F.struct("shared", "pivot", "pivot_d1")).alias("met"))
-    met = met.select(*own, _most("met", MET)).drop("shared")
+    # Of a set's regions there are as many as orders.
+    drawn = F.flatten(F.collect_list("pivots")).alias("drawn")
+    met = crowded.join(pivots, ["t", "key"]).groupBy(*own).agg(drawn)
+    shared = F.transform(
+        F.filter(F.array_distinct("drawn"), lambda p: p["pivot"] != F.col("doc_id")),
+        lambda p: F.struct(F.size(F.filter("drawn", lambda q: q == p)).alias("shared"), p["pivot"].alias("pivot"), p["pivot_d1"].alias("pivot_d1")),
+    )
+    met = met.select(*own, shared.alias("met")).select(*own, _most("met", MET)).drop("shared")
     near = met.join(signs, own).join(signs.withColumnsRenamed(as_pivot), ["pivot", "pivot_d1"])
     near = near.mapInArrow(_near_pivots(similarity), "doc_id long, d1 long, pivot long, pivot_d1 long, equal long")
     near = near.groupBy(*own).agg(F.collect_list(F.struct("equal", "pivot", "pivot_d1")).alias("near"))
     near = stored(near.select(*own, _most("near", LIKEST)), "near-pivots")
     sets = _sets(texts, near.select("doc_id").union(near.select("pivot")))
     whole = near.join(sets, own).join(sets.withColumnsRenamed(as_pivot), ["pivot", "pivot_d1"])
-    found = whole.select("doc_id", "pivot", "shingles", "pivot_shingles").mapInArrow(_pivot_links(similarity), "a long, b long")
-    return stored(found, "pivot-links")
+    return whole.select("doc_id", "pivot", "shingles", "pivot_shingles").mapInArrow(_pivot_links(similarity), "a long, b long")
 
 
 def _first_regions(heads: DataFrame) -> DataFrame:
@@ -382,9 +385,9 @@ def _forest(
     depths = depths_for(similarity)
     for place, depth in enumerate(depths):
         last = place + 1 == len(depths)
+        none = regions.where(F.col("members") > TASK).isEmpty()
         regions = _classed(regions, classes).withColumn("depth", F.lit(depth))
         small, wide = regions.where(F.col("members") <= TASK), regions.where(F.col("members") > TASK)
-        none = wide.isEmpty()
         regions = small.withColumn("largest", F.lit(0).cast("long")).withColumn("top", F.lit(None).cast("long"))
         if not none and classes is None:
             regions = regions.unionByName(wide.withColumn("largest", F.lit(0).cast("long")).withColumn("top", F.lit(None).cast("long")))
@@ -429,7 +432,9 @@ def _forest(
         crowd = heads.join(thick, ["doc_id", "d1"]).select("doc_id", "d1", "sign", "open")
         before = orders_at(depth, similarity) if place else ORDERS
         deep = _deeper(deeper, orders_at(deeper, similarity), before)
-        regions = _regions(crowd.mapInArrow(deep, "doc_id long, d1 long, t int, key long"), deeper)
+        # Keys are read twice, to count them and to join the counts.
+        keys = stored(crowd.mapInArrow(deep, "doc_id long, d1 long, t int, key long"), f"keys-{deeper}")
+        regions = _regions(keys, deeper)
     raise AssertionError("no depths")
 
 
@@ -452,12 +457,9 @@ def near_duplicates(documents: DataFrame, similarity: int = 80) -> DataFrame:
     full = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = full.groupBy(*same).agg(F.min("doc_id").alias("rep"))
     copies = full.join(reps, same).where("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    heads = stored(
-        full.drop("doc_id").dropDuplicates(same).join(reps, same).select(
-            F.col("rep").alias("doc_id"), "d1", "n_shingles", "sign", "keys"
-        ),
-        "heads",
-    )
+    # Equal sets have equal signatures.
+    one = full.groupBy(*same).agg(F.min("doc_id").alias("doc_id"), F.first("sign").alias("sign"), F.first("keys").alias("keys"))
+    heads = stored(one.select("doc_id", "d1", "n_shingles", "sign", "keys"), "heads")
     own = ["doc_id", "d1"]
     first = _first_regions(heads)
     # All texts are moved here, and only here.

@@ -11,11 +11,12 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     """Write ``rows`` once and return the written table.
 
     What follows reads the files, so a lost executor costs no recomputation of
-    what came before.
+    what came before. Tasks put their files in place themselves, as nothing reads a table
+    before its job has ended: so the driver need not move them one by one.
     """
     spark = rows.sparkSession
     path = working_folder(spark, purpose)
-    rows.write.mode("overwrite").parquet(path)
+    rows.write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 

@@ -247,3 +247,22 @@ def test_components_of_stars_need_no_further_round(spark, monkeypatch):
     found = sorted(map(tuple, components(frame).collect()))
     assert found == sorted([(3, 3), (4, 4), (60, 4), *((i, 3) for i in range(10, 40))])
     assert len(written) == 1
+
+
+def test_components_within_one_batch_need_one_round(spark, random, monkeypatch):
+    from tellerbook.llm import graph
+
+    written = []
+    whole = graph.stored
+
+    def noted(rows, purpose):
+        written.append(purpose)
+        # One file, so one batch.
+        return whole(rows.coalesce(1), purpose)
+
+    monkeypatch.setattr(graph, "stored", noted)
+    order = random.permutation(300)
+    frame = spark.createDataFrame([(int(i), int(i) + 1) for i in order] + [(0, 1), (9, 8)], "a long, b long")
+    found = sorted(map(tuple, components(frame).collect()))
+    assert found == [(i, 0) for i in range(301)]
+    assert len(written) == 2
