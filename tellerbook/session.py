@@ -11,6 +11,9 @@ from pyspark.sql import SparkSession
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
+#: The JVM only interprets methods beyond this size; Spark then generates smaller ones, operator by operator.
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit", 8000
+
 # Settings the jobs are written for. On a cluster pass the same ones to
 # spark-submit, and size spark.sql.shuffle.partitions to the data: adaptive
 # execution merges partitions, but adds none to an exchange that groups by key.
@@ -42,6 +45,13 @@ def local_session(cores: int | str = "*", app: str = "tellerbook", **extra: str)
     return spark
 
 
+def limit_methods(spark: SparkSession) -> None:
+    """Keep generated code to methods that the JVM compiles; a lower limit stays."""
+    name, most = METHOD_LIMIT
+    if int(spark.conf.get(name)) > most:
+        spark.conf.set(name, str(most))
+
+
 def working_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder every executor can reach, for tables that cut lineage.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tellerbook.functions.columns import utc_instant
 from tellerbook.schemas import EVENT, EVENT_TEXT_FIELDS, EXTRA
+from tellerbook.session import limit_methods
 
 # Reasons a line is rejected.
 MALFORMED = "malformed"
@@ -114,8 +115,11 @@ def parse_events(
     rejected ones. An absent amount is 0.0. With ``missing_text`` set, absent
     text fields get that text and timestamps are not checked, so only lines
     that cannot be decoded or have no usable amount are rejected. ``keep_unknown``
-    adds ``extra``, a VARIANT object of the accepted line's other fields.
+    adds ``extra``, a VARIANT object of the accepted line's other fields. Parsing and what
+    follows it in a stage are more code than the JVM compiles in one method, so the
+    session gets a limit (see ``limit_methods``).
     """
+    limit_methods(lines.sparkSession)
     mark = uuid.uuid4().hex
     # Exploding one document is a plain column, except that Spark does not move
     # filters on the outcome below it, where they would parse the line again.

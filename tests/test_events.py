@@ -228,3 +228,15 @@ def test_lines_are_parsed_once_whatever_is_asked(spark):
     for part in (frame, accepted(frame), quarantined(frame)):
         plan = part._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("from_json(") == 1
+
+
+def test_parsing_keeps_generated_methods_to_what_the_jvm_compiles(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    try:
+        for given, then in (("65535", "8000"), ("4000", "4000")):
+            spark.conf.set(name, given)
+            parse_events(spark.createDataFrame([("{}",)], "value string"))
+            assert spark.conf.get(name) == then
+    finally:
+        spark.conf.set(name, before)
