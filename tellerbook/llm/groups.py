@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tellerbook.llm.store import few_tasks
+
 
 def _spans(key: pa.Array) -> list[int]:
     values = np.asarray(key)
@@ -56,7 +58,7 @@ def each_group(
             done(held)
         yield from flush()
 
-    return dealt.mapInArrow(run, schema)
+    return few_tasks(dealt).mapInArrow(run, schema)
 
 
 def _joined(parts: list) -> pa.Array:

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from tellerbook.llm.graph import Forest, components
 from tellerbook.llm.groups import each_group
-from tellerbook.llm.store import need_columns, stored
+from tellerbook.llm.store import few_tasks, need_columns, stored
 from tellerbook.llm.words import mix, shingle_sets
 
 SIZE = 128
@@ -317,7 +317,7 @@ def _texts(rows: DataFrame, ids: DataFrame) -> DataFrame:
 
 def _sets(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """(doc_id, d1, shingles) of the texts of these ids."""
-    sets = _texts(rows, ids).mapInArrow(_ship_sets, "doc_id long, d1 long, shingles binary")
+    sets = few_tasks(_texts(rows, ids)).mapInArrow(_ship_sets, "doc_id long, d1 long, shingles binary")
     return sets.groupBy("doc_id", "d1").agg(F.max("shingles").alias("shingles"))
 
 
@@ -358,12 +358,13 @@ def _pivoted(regions: DataFrame, heads: DataFrame, texts: DataFrame, similarity:
     )
     met = met.select(*own, shared.alias("met")).select(*own, _most("met", MET)).drop("shared")
     near = met.join(signs, own).join(signs.withColumnsRenamed(as_pivot), ["pivot", "pivot_d1"])
-    near = near.mapInArrow(_near_pivots(similarity), "doc_id long, d1 long, pivot long, pivot_d1 long, equal long")
+    near = few_tasks(near).mapInArrow(_near_pivots(similarity), "doc_id long, d1 long, pivot long, pivot_d1 long, equal long")
     near = near.groupBy(*own).agg(F.collect_list(F.struct("equal", "pivot", "pivot_d1")).alias("near"))
     near = stored(near.select(*own, _most("near", LIKEST)), "near-pivots")
     sets = _sets(texts, near.select("doc_id").union(near.select("pivot")))
     whole = near.join(sets, own).join(sets.withColumnsRenamed(as_pivot), ["pivot", "pivot_d1"])
-    return whole.select("doc_id", "pivot", "shingles", "pivot_shingles").mapInArrow(_pivot_links(similarity), "a long, b long")
+    whole = few_tasks(whole.select("doc_id", "pivot", "shingles", "pivot_shingles"))
+    return whole.mapInArrow(_pivot_links(similarity), "a long, b long")
 
 
 def _first_regions(heads: DataFrame) -> DataFrame:
@@ -433,7 +434,7 @@ def _forest(
         before = orders_at(depth, similarity) if place else ORDERS
         deep = _deeper(deeper, orders_at(deeper, similarity), before)
         # Keys are read twice, to count them and to join the counts.
-        keys = stored(crowd.mapInArrow(deep, "doc_id long, d1 long, t int, key long"), f"keys-{deeper}")
+        keys = stored(few_tasks(crowd).mapInArrow(deep, "doc_id long, d1 long, t int, key long"), f"keys-{deeper}")
         regions = _regions(keys, deeper)
     raise AssertionError("no depths")
 

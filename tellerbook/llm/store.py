@@ -7,8 +7,22 @@ from pyspark.sql import DataFrame
 from tellerbook.session import working_folder
 
 
+#: Tasks a core that a stage of Python or of files is cut into at most.
+TASKS_A_CORE = 8
+
+
+def few_tasks(rows: DataFrame) -> DataFrame:
+    """The same rows in no more tasks than keep all cores evenly busy.
+
+    Each task that starts a Python function or a file costs some ten milliseconds, however
+    few its rows. Shuffles keep their partitions; a task takes several, one after another, so it
+    holds no more at once. Rows of a partition stay together and in order.
+    """
+    return rows.coalesce(TASKS_A_CORE * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def stored(rows: DataFrame, purpose: str) -> DataFrame:
-    """Write ``rows`` once and return the written table.
+    """Write ``rows`` once, in ``few_tasks``, and return the written table.
 
     What follows reads the files, so a lost executor costs no recomputation of
     what came before. Tasks put their files in place themselves, as nothing reads a table
@@ -16,7 +30,7 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     """
     spark = rows.sparkSession
     path = working_folder(spark, purpose)
-    rows.write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(path)
+    few_tasks(rows).write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
