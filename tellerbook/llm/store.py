@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from tellerbook.session import working_folder
 
 
-#: Tasks a core that a stage of Python or of files is cut into at most.
-TASKS_A_CORE = 8
+#: A stage of Python or of files is cut into so many tasks a core, or into more where a task would take more partitions.
+TASKS_A_CORE, PARTITIONS_A_TASK = 8, 4
 
 
 def few_tasks(rows: DataFrame) -> DataFrame:
@@ -16,9 +16,12 @@ def few_tasks(rows: DataFrame) -> DataFrame:
 
     Each task that starts a Python function or a file costs some ten milliseconds, however
     few its rows. Shuffles keep their partitions; a task takes several, one after another, so it
-    holds no more at once. Rows of a partition stay together and in order.
+    holds no more at once. Rows of a partition stay together and in order. The number grows with that of
+    the shuffle partitions, which is sized to the data.
     """
-    return rows.coalesce(TASKS_A_CORE * rows.sparkSession.sparkContext.defaultParallelism)
+    spark = rows.sparkSession
+    dealt = int(spark.conf.get("spark.sql.shuffle.partitions")) // PARTITIONS_A_TASK
+    return rows.coalesce(max(TASKS_A_CORE * spark.sparkContext.defaultParallelism, dealt))
 
 
 def stored(rows: DataFrame, purpose: str) -> DataFrame:

@@ -59,3 +59,12 @@ def test_groups_stay_whole_with_many_partitions(spark, most):
         spark.conf.set("spark.sql.shuffle.partitions", was)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesced)
     assert got == {g: (len(range(g, 5000, 97)), sum(range(g, 5000, 97))) for g in range(97)}
+
+
+def test_tasks_grow_with_the_shuffle_partitions(spark, most):
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(12 * most))
+    try:
+        assert few_tasks(spark.range(0, 5000, 1, 12 * most)).rdd.getNumPartitions() == 3 * most
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
